@@ -24,8 +24,8 @@ HIGH_FROM = 60
 
 
 def _lookup(key: Column, table: dict[str, str], default: str) -> Column:
-    pairs = F.create_map(*[F.lit(part) for pair in table.items() for part in pair])
-    return F.coalesce(F.try_element_at(pairs, key), F.lit(default))
+    pairs = ", ".join(f"'{name}', '{value}'" for name, value in table.items())
+    return F.coalesce(F.try_element_at(F.expr(f"map({pairs})"), key), F.lit(default))
 
 
 def derive_region(country: Column) -> Column:

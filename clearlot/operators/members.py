@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Limits:
-    """Bounds for broadcast tables and the number of keys treated as frequent."""
+    """Bounds for broadcast tables, and what makes a key a frequent one: its rows, and its rank by rows."""
 
     broadcast_rows: int = 1_000_000
     broadcast_bytes: int = 64 * 1024 * 1024
+    frequent_rows: int = 100_000
     frequent_keys: int = 2_000
 
 
@@ -45,9 +46,12 @@ def measure(frame: DataFrame) -> Measure:
 
 
 def frequent(frame: DataFrame, key: str, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """The most frequent keys. Any other key holds at most one row in ``frequent_keys``."""
+    """The most frequent keys, at most ``frequent_keys`` of them.
+
+    Any other key has few rows, or less than one row in ``frequent_keys``.
+    """
     counts = frame.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    return counts.orderBy(F.desc("_n"), key).limit(limits.frequent_keys).select(key)
+    return counts.where(F.col("_n") >= limits.frequent_rows).orderBy(F.desc("_n"), key).limit(limits.frequent_keys).select(key)
 
 
 def flag_members(
@@ -64,8 +68,9 @@ def flag_members(
     already counted the members; repeated members may be included in it.
     """
     (name,) = members.columns
-    known = members.where(F.col(name).isNotNull()).select(F.col(name).alias("_member")).distinct()
-    size = size or measure(known)
+    filled = members.where(F.col(name).isNotNull()).select(F.col(name).alias("_member"))
+    size = size or measure(filled)
+    known = filled.distinct()
     if size.fits(limits):
         marked = known.withColumn("_hit", F.lit(True))
         joined = frame.join(F.broadcast(marked), F.col(key) == F.col("_member"), "left")

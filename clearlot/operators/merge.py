@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clearlot import contracts as C
 from clearlot.operators.members import DEFAULT_LIMITS, Limits, flag_members, measure
+from clearlot.session import staged
 
 
 class RepeatedKeyError(ValueError):
@@ -70,33 +72,23 @@ def upsert_update(
     )
 
 
-def one_per_key(
-    frame: DataFrame, keys: Sequence[str], order: Sequence[Column], limits: Limits = DEFAULT_LIMITS
-) -> DataFrame:
-    """The row of each key with the greatest ``order``.
+def one_per_key(frame: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key in the given order. NULL keys form one group.
 
-    An aggregate, not a window: each task first reduces its own rows to one per key, so a key holding a
-    third of all rows costs no more than any other. NULL keys form one group.
+    Keeping only rank 1 lets Spark drop all but one row per key and task before the shuffle, so a key holding
+    a third of all rows costs no more than any other.
     """
-    names = frame.columns
-    rank = F.struct(*[expression.alias(f"o{at}") for at, expression in enumerate(order)])
-    whole_row = F.struct(*[F.col(name) for name in names])
-    best = frame.groupBy(*[F.col(key).alias(f"_key{at}") for at, key in enumerate(keys)]).agg(
-        F.max(F.struct(rank.alias("rank"), whole_row.alias("row"))).alias("best")
-    )
-    return best.select(*[F.col(f"best.row.{name}").alias(name) for name in names])
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return frame.withColumn("_place", place).where(F.col("_place") == 1).drop("_place")
 
 
 def upsert_ignore(base: DataFrame, batch: DataFrame, key: str, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Insert only new keys. Of rows repeating a key inside the batch the smallest survives."""
+    """Insert only new keys. Of rows repeating a key inside the batch the smallest survives.
+
+    The whole row orders the candidates, so the survivor does not depend on row order.
+    """
     names = base.columns
-    ordered = batch.select(*names)
-    # The whole row orders the candidates, so the survivor does not depend on row order.
-    single = (
-        ordered.groupBy(F.col(key).alias("_key"))
-        .agg(F.min(F.struct(*names)).alias("row"))
-        .select(*[F.col(f"row.{name}").alias(name) for name in names])
-    )
+    single = one_per_key(batch.select(*names), [key], [F.col(name) for name in names])
     if measure(single.select(key)).fits(limits):
         batch_keys = single.select(F.col(key).alias("_key"))
         seen = base.select(key).join(F.broadcast(batch_keys), F.col(key) == F.col("_key"), "left_semi").distinct()
@@ -106,6 +98,11 @@ def upsert_ignore(base: DataFrame, batch: DataFrame, key: str, limits: Limits =
     return base.unionByName(added.select(*names))
 
 
+def upsert_entity(base: DataFrame, batch: DataFrame, entity: str, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
+    """The update the customer database makes: only the columns that may change are taken from the batch."""
+    return upsert_update(base, batch, C.PRIMARY_KEY[entity], C.SQL_UPDATE_COLUMNS[entity], limits)
+
+
 def concat_runs(runs: Sequence[DataFrame]) -> DataFrame:
     """All rows of all runs, matched by column name; columns a run lacks become NULL."""
     first, *rest = runs
@@ -117,8 +114,10 @@ def concat_runs(runs: Sequence[DataFrame]) -> DataFrame:
 def dedupe_latest(
     frame: DataFrame, keys: Sequence[str], newest: str, tie_break: Sequence[str] = ()
 ) -> DataFrame:
-    """The newest row of each key; ties go to the greatest ``tie_break`` columns."""
-    return one_per_key(frame, keys, [F.col(newest), *[F.col(name) for name in tie_break]])
+    """The newest row of each key; ties go to the greatest ``tie_break`` columns, then to the greatest rest."""
+    named = [newest, *tie_break]
+    rest = [name for name in frame.columns if name not in named and name not in keys]
+    return one_per_key(frame, keys, [F.desc(name) for name in [*named, *rest]])
 
 
 def repeated_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -126,13 +125,21 @@ def repeated_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
     return frame.groupBy(*keys).agg(F.count("*").alias("rows")).where("rows > 1")
 
 
-def flag_duplicates(frame: DataFrame, keys: Sequence[str], flag: str, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
-    """Add boolean ``flag``: whether another row has the same, completely non-NULL key."""
+def flag_duplicates(
+    frame: DataFrame, keys: Sequence[str], flag: str, limits: Limits = DEFAULT_LIMITS, stage: bool = False
+) -> DataFrame:
+    """Add boolean ``flag``: whether another row has the same, completely non-NULL key.
+
+    With ``stage`` the repeated keys are written once to the shared folder instead of being worked out both
+    for counting and for joining.
+    """
     whole = F.lit(True)
     for key in keys:
         whole = whole & F.col(key).isNotNull()
     keyed = frame.withColumn("_key", F.when(whole, F.to_json(F.struct(*keys))))
     repeated = repeated_keys(keyed.where(F.col("_key").isNotNull()), ["_key"]).select("_key")
+    if stage:
+        repeated = staged(repeated, "repeated-keys")
     return flag_members(keyed, "_key", repeated, flag, limits).drop("_key")
 
 

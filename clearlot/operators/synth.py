@@ -158,11 +158,11 @@ def synth_suppliers(
     return first.select(*[value.alias(column) for column, value in values.items()])
 
 
-def number_rows(frame: DataFrame, key: str, buckets: int = 4096) -> DataFrame:
+def number_rows(frame: DataFrame, key: str, buckets: int = 65_536) -> DataFrame:
     """Different non-NULL keys with the numbers 0..n-1, the same however the rows are partitioned.
 
     Keys are counted within hash buckets and the buckets are offset by the sizes of those before, so no
-    window ever holds more than one bucket of about n/4096 different keys, or the 4096 bucket sizes.
+    window ever holds more than one bucket of about n/65536 different keys, or the 65536 bucket sizes.
     """
     bucketed = (
         frame.where(F.col(key).isNotNull())

@@ -560,6 +560,13 @@ ORACLE["upsert_ignore"] = _sql(
       SELECT *, row_number() OVER (PARTITION BY account ORDER BY name, balance) AS place FROM order_batch)
     WHERE place = 1 AND account NOT IN (SELECT account FROM base)""",
 )
+ORACLE["sql_upsert"] = _sql(
+    (_PARTS, _LANDED_PARTS),
+    f"""SELECT prt.part_id, prt.category, TRY_CAST(lprt.unit_cost AS DOUBLE) AS unit_cost, {_int("lprt.moq")} AS moq,
+      {_int("lprt.lead_time_days_avg")} AS lead_time_days_avg,
+      CASE WHEN items = 2 THEN '["' || one || '","' || two || '"]' END AS qualified_supplier_ids
+    FROM prt JOIN lprt USING (k)""",
+)
 ORACLE["concat_runs"] = _sql(
     _A,
     """SELECT account, name, balance, CAST(NULL AS VARCHAR) AS origin FROM base

@@ -476,6 +476,15 @@ def upsert_ignore(spark: SparkSession, folder: str) -> DataFrame:
     return merge.upsert_ignore(_supplier_accounts(spark, folder), _order_accounts(spark, folder), "account")
 
 
+@query
+def sql_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts staged for the database, updated by the cleaned landing batch of the same parts."""
+    base = exports.stage_for_sql(parts(spark, folder), C.PARTS)
+    batch = exports.stage_for_sql(clean.clean(landed_parts(spark, folder), C.PARTS), C.PARTS)
+    merged = merge.upsert_entity(base, batch, C.PARTS)
+    return merged.select("part_id", "category", "unit_cost", "moq", "lead_time_days_avg", "qualified_supplier_ids")
+
+
 @query
 def concat_runs(spark: SparkSession, folder: str) -> DataFrame:
     runs = [

@@ -25,6 +25,7 @@ def local_session(cores: int | str = 8, name: str = "clearlot", memory: str = "8
         builder.config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

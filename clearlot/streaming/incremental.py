@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def watch_folder(spark: SparkSession, path: str, schema: T.StructType, pattern: str | None = None) -> DataFrame:
-    """A stream of the Parquet files that are or will be below ``path``."""
+def watch_folder(
+    spark: SparkSession, path: str, schema: T.StructType, pattern: str | None = None, files_per_batch: int | None = None
+) -> DataFrame:
+    """A stream of the Parquet files that are or will be below ``path``, a bounded number at a time if wanted."""
     reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     return reader.parquet(path)
