@@ -112,7 +112,8 @@ def _value_checks(frame: DataFrame, entity: str) -> dict[str, Column]:
         if not geo_shape(frame):
             tests["geo_coords incomplete"] = F.col("geo_coords.lat").isNull() | F.col("geo_coords.lon").isNull()
         for name in ("risk_score", "on_time_delivery_rate"):
-            tests[f"{name} out of range"] = (F.col(name) < 0) | (F.col(name) > 100)
+            value = F.col(name).try_cast("double")
+            tests[f"{name} out of range"] = (value < 0) | (value > 100)
     return tests
 
 
@@ -186,7 +187,7 @@ def constraint_report(frame: DataFrame, entity: str) -> DataFrame:
     for name, (precision, scale) in C.SQL_DECIMALS[entity].items():
         if name in kinds:
             limit = 10 ** (precision - scale)
-            tests[f"{name} wider than {precision},{scale}"] = F.abs(F.round(F.col(name).cast("double"), scale)) >= limit
+            tests[f"{name} wider than {precision},{scale}"] = F.abs(F.round(F.col(name).try_cast("double"), scale)) >= limit
     counts = [
         F.struct(F.lit(label).alias("constraint"), F.count_if(test).alias("rows")) for label, test in tests.items()
     ]

@@ -122,7 +122,7 @@ def range_summary(frame: DataFrame, bounds: Mapping[str, tuple[float | None, flo
     """One row per column: smallest and largest value and how many rows lie outside the bounds."""
     measures = []
     for name, (low, high) in bounds.items():
-        value = F.col(name)
+        value = F.col(name).try_cast("double")
         outside = F.lit(False)
         if low is not None:
             outside = outside | (value < low)
@@ -131,8 +131,8 @@ def range_summary(frame: DataFrame, bounds: Mapping[str, tuple[float | None, flo
         measures.append(
             F.struct(
                 F.lit(name).alias("column"),
-                F.min(value.cast("double")).alias("smallest"),
-                F.max(value.cast("double")).alias("largest"),
+                F.min(value).alias("smallest"),
+                F.max(value).alias("largest"),
                 F.count_if(outside).alias("outside"),
             )
         )
@@ -148,7 +148,7 @@ def anomaly_counts(frame: DataFrame, kinds: Mapping[str, Column]) -> DataFrame:
 
 def supplier_anomalies(as_of: Column) -> dict[str, Column]:
     return {
-        "out_of_range_rate": F.col("on_time_delivery_rate") > 100,
+        "out_of_range_rate": F.col("on_time_delivery_rate").try_cast("double") > 100,
         "missing_contact": F.col("contact_email").isNull(),
         "bogus_country": F.col("country") == "XX",
         "future_timestamp": F.col("source_timestamp").try_cast("timestamp") > as_of,
@@ -157,7 +157,7 @@ def supplier_anomalies(as_of: Column) -> dict[str, Column]:
 
 def part_anomalies(as_of: Column, units: Sequence[str]) -> dict[str, Column]:
     return {
-        "negative_cost": F.col("unit_cost") < 0,
+        "negative_cost": F.col("unit_cost").try_cast("double") < 0,
         "wrong_uom": ~F.col("uom").isin(*units),
         "future_timestamp": F.col("source_timestamp").try_cast("timestamp") > as_of,
     }

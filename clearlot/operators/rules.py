@@ -23,8 +23,13 @@ def _missing(name: str) -> Column:
     return F.col(name).isNull()
 
 
+def _number(name: str) -> Column:
+    """Text that is no number counts as NULL, as it does once the contract's types are in place."""
+    return F.col(name).try_cast("double")
+
+
 def _outside(name: str, low: float, high: float) -> Column:
-    return (F.col(name) < low) | (F.col(name) > high)
+    return (_number(name) < low) | (_number(name) > high)
 
 
 def _unknown(name: str, domain: Sequence[str]) -> Column:
@@ -39,8 +44,8 @@ def supplier_rules() -> list[Rule]:
         Rule("MISSING_LEGAL_NAME", _missing("legal_name")),
         Rule("INVALID_ON_TIME_RATE", _outside("on_time_delivery_rate", 0, 100)),
         Rule("INVALID_RISK_SCORE", _outside("risk_score", 0, 100)),
-        Rule("NEGATIVE_LEAD_TIME", F.col("lead_time_days_avg") < 0),
-        Rule("NEGATIVE_DEFECT_RATE", F.col("defect_rate_ppm") < 0),
+        Rule("NEGATIVE_LEAD_TIME", _number("lead_time_days_avg") < 0),
+        Rule("NEGATIVE_DEFECT_RATE", _number("defect_rate_ppm") < 0),
         Rule("INVALID_FINANCIAL_TIER", _unknown("financial_risk_tier", C.FINANCIAL_TIERS)),
         Rule("INVALID_STATUS", _unknown("approved_status", C.APPROVED_STATUSES)),
         Rule("INVALID_COUNTRY_CODE", (F.length(country) != 2) | (country == BOGUS_COUNTRY)),
@@ -58,9 +63,9 @@ def part_key_rules() -> list[Rule]:
 
 def part_value_rules() -> list[Rule]:
     return [
-        Rule("NEGATIVE_UNIT_COST", F.col("unit_cost") < 0),
-        Rule("NEGATIVE_MOQ", F.col("moq") < 0),
-        Rule("NEGATIVE_LEAD_TIME", F.col("lead_time_days_avg") < 0),
+        Rule("NEGATIVE_UNIT_COST", _number("unit_cost") < 0),
+        Rule("NEGATIVE_MOQ", _number("moq") < 0),
+        Rule("NEGATIVE_LEAD_TIME", _number("lead_time_days_avg") < 0),
         Rule("INVALID_CATEGORY", _unknown("category", C.PART_CATEGORIES)),
         Rule("INVALID_LIFECYCLE_STATUS", _unknown("lifecycle_status", C.LIFECYCLE_STATUSES)),
     ]
