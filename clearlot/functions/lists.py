@@ -6,17 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What counts as white space around a list element. Spark's trim knows blanks only.
-_SPACE = r"[\s\u001c-\u001f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
-_EDGE_SPACE = f"^{_SPACE}|{_SPACE}$"
+WHITE_SPACE = (
+    " \t\n\u000b\u000c\r\u001c\u001d\u001e\u001f\u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_space(value: Column) -> Column:
-    return F.regexp_replace(value, _EDGE_SPACE, "")
+    return F.btrim(value, F.lit(WHITE_SPACE))
 
 
 def text_to_list(value: Column) -> Column:
     """``a, b``, ``["a","b"]`` and ``['a','b']`` as an array without empty elements; NULL stays NULL."""
-    unbracketed = F.regexp_replace(F.regexp_replace(value, r"^[\[\]]+|[\[\]]+$", ""), "[\"']", "")
+    unbracketed = F.translate(F.btrim(value, F.lit("[]")), "\"'", "")
     bare = F.when(value.startswith("["), unbracketed).otherwise(value)
     return F.filter(F.transform(F.split(bare, ","), strip_space), lambda item: item != "")
 

@@ -70,29 +70,30 @@ def flag_members(
     (name,) = members.columns
     filled = members.where(F.col(name).isNotNull()).select(F.col(name).alias("_member"))
     size = size or measure(filled)
-    known = filled.distinct()
     if size.fits(limits):
-        marked = known.withColumn("_hit", F.lit(True))
+        marked = filled.distinct().withColumn("_hit", F.lit(True))
         joined = frame.join(F.broadcast(marked), F.col(key) == F.col("_member"), "left")
         return joined.withColumn(flag, F.col("_hit").isNotNull()).drop("_member", "_hit")
 
     often = frequent(frame, key, limits).withColumnRenamed(key, "_often")
     often_known = (
-        known.join(F.broadcast(often), F.col("_member") == F.col("_often"), "left_semi")
-        .withColumnRenamed("_member", "_often")
-        .withColumn("_often_hit", F.lit(True))
+        filled.join(F.broadcast(often), F.col("_member") == F.col("_often"), "left_semi")
+        .distinct()
+        .select(F.col("_member").alias("_often"), F.lit(True).alias("_often_hit"))
     )
     answers = often.join(F.broadcast(often_known), "_often", "left")
     tagged = frame.join(F.broadcast(answers), F.col(key) == F.col("_often"), "left")
     # Answered rows need no partner: a spread value no member carries keeps them out of the key's partition.
     answered = F.col("_often").isNotNull() | F.col(key).isNull()
-    tagged = tagged.withColumn("_spread", F.when(answered, F.spark_partition_id() + 1).otherwise(F.lit(0)))
-    rest = known.withColumn("_zero", F.lit(0)).withColumn("_hit", F.lit(True))
-    joined = tagged.join(rest, (F.col(key) == F.col("_member")) & (F.col("_spread") == F.col("_zero")), "left")
-    found = F.col("_hit").isNotNull() | F.col("_often_hit").isNotNull()
-    return joined.withColumn(flag, found).drop(
-        "_often", "_often_hit", "_spread", "_member", "_zero", "_hit"
+    spread = F.when(answered, F.spark_partition_id().cast("long") + 1).otherwise(F.lit(0).cast("long"))
+    # Always 0, but not a constant, which the optimizer would take out of the join key.
+    zero = F.pmod(F.xxhash64("_member"), F.lit(1).cast("long"))
+    rest = filled.distinct().select("_member", zero.alias("_zero"), F.lit(True).alias("_hit"))
+    joined = tagged.withColumn("_spread", spread).join(
+        rest, (F.col(key) == F.col("_member")) & (F.col("_spread") == F.col("_zero")), "left"
     )
+    found = F.col("_hit").isNotNull() | F.col("_often_hit").isNotNull()
+    return joined.withColumn(flag, found).drop("_often", "_often_hit", "_spread", "_member", "_zero", "_hit")
 
 
 def members_only(frame: DataFrame, key: str, members: DataFrame, limits: Limits = DEFAULT_LIMITS) -> DataFrame:
