@@ -69,9 +69,8 @@ def _overwrite(frame: DataFrame, changes: dict[str, Column]) -> DataFrame:
 
 def _copied_codes(pool: DataFrame, key: str, code: str, kind: str, seed: int) -> DataFrame:
     """Rows of the copying kind with the code of another row of the pool, picked with equal chances."""
-    numbered = number_rows(pool, key)
-    pool = pool.select(key, code, "_kind").join(numbered, key)
-    size = max(numbered.count(), 1)
+    size = max(pool.count(), 1)
+    pool = number_rows(pool.select(key, code, "_kind"), key)
     draw = Draws(F.col(key), seed)
     step = F.lit(1) + F.floor(draw.uniform("donor") * F.lit(size - 1)).cast("long")
     wanted = pool.where(F.col("_kind") == kind).select(

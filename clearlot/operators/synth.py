@@ -159,17 +159,12 @@ def synth_suppliers(
 
 
 def number_rows(frame: DataFrame, key: str, buckets: int = 65_536) -> DataFrame:
-    """Different non-NULL keys with the numbers 0..n-1, the same however the rows are partitioned.
+    """Add ``number``: 0..n-1, the same however the rows are partitioned. ``key`` identifies a row.
 
-    Keys are counted within hash buckets and the buckets are offset by the sizes of those before, so no
-    window ever holds more than one bucket of about n/65536 different keys, or the 65536 bucket sizes.
+    Rows are counted within hash buckets and the buckets are offset by the sizes of those before, so no
+    window ever holds more than one bucket of about n/65536 rows, or the 65536 bucket sizes.
     """
-    bucketed = (
-        frame.where(F.col(key).isNotNull())
-        .select(key)
-        .distinct()
-        .withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
-    )
+    bucketed = frame.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
     sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
@@ -177,7 +172,8 @@ def number_rows(frame: DataFrame, key: str, buckets: int = 65_536) -> DataFrame:
     return (
         bucketed.withColumn("_at", within)
         .join(F.broadcast(offsets), "_bucket")
-        .select(key, (F.col("_offset") + F.col("_at") - 1).alias("number"))
+        .withColumn("number", F.col("_offset") + F.col("_at") - 1)
+        .drop("_bucket", "_offset", "_at")
     )
 
 
@@ -213,10 +209,11 @@ def _part_references(
         rebuilt = F.transform(numbers, lambda number: record_id(number, seed, "supplier"))
         return ids.select(name, rebuilt.alias("_qualified"))
     (parent_key,) = parents.columns
-    numbered = number_rows(parents, parent_key)
-    rows = numbered.count()
+    different = parents.where(F.col(parent_key).isNotNull()).distinct()
+    rows = different.count()
     if rows < 1:
         raise ValueError("parts need at least one supplier to refer to")
+    numbered = number_rows(different, parent_key)
     wanted = ids.select(name, F.posexplode(_different_numbers(draw, list_size, rows)).alias("_at", "number"))
     found = wanted.join(numbered, "number").groupBy(name)
     # At most three elements per part, so the list is small whatever the table's size.

@@ -775,6 +775,21 @@ ORACLE["landing_lineage"] = _sql(
     UNION ALL SELECT 'tenant_a', 'suppliers', '2024-01-31', '20240131_180000', count(*) FROM sup
     UNION ALL SELECT 'tenant_a', 'parts', '2024-01-31', '20240131_060000', count(*) FROM part""",
 )
+ORACLE["all_tenants"] = _sql(
+    _ST,
+    f"""SELECT 'tenant_a' AS landing_tenant, {_METRICS} AS pass_rate FROM sup_tag
+    UNION ALL SELECT 'tenant_b', {_METRICS} FROM sup_tag""",
+)
+ORACLE["streamed_curation"] = _sql(
+    (_SUPPLIERS, _PARTS, _LANDED_PARTS),
+    """SELECT concat_ws(',',
+      CASE WHEN default_supplier_id IS NULL OR default_supplier_id = '' THEN 'MISSING_DEFAULT_SUPPLIER'
+           WHEN default_supplier_id NOT IN (SELECT supplier_id FROM sup) THEN 'ORPHAN_DEFAULT_SUPPLIER' END,
+      CASE WHEN items = 2 AND (one NOT IN (SELECT supplier_id FROM sup) OR two NOT IN (SELECT supplier_id FROM sup))
+           THEN 'ORPHAN_QUALIFIED_SUPPLIER' END,
+      CASE WHEN category = 'BOGUS' THEN 'INVALID_CATEGORY' END) AS violations, count(*) AS rows
+    FROM prt JOIN lprt USING (k) GROUP BY 1""",
+)
 ORACLE["missing_source"] = _sql(
     _ST,
     f"""SELECT *, pass_rate >= 99 AS passed FROM (

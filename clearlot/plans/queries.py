@@ -16,6 +16,7 @@ from clearlot.plans import curation, dataset
 from clearlot.plans.tables import accounts, landed_parts, landed_suppliers, parts, suppliers, table
 from clearlot.session import fresh_folder
 from clearlot.sources import exports, landing, tables
+from clearlot.streaming.curation import curate_new_files
 from clearlot.streaming.incremental import load_new_files, watch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -690,6 +691,31 @@ def landing_lineage(spark: SparkSession, folder: str) -> DataFrame:
     return both[0].agg(F.count("*").alias("rows")).unionByName(both[1].agg(F.count("*").alias("rows")))
 
 
+@query
+def all_tenants(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tenants landed the same suppliers; one job reads and rates both."""
+    root = fresh_folder(spark, "landing")
+    for tenant in ("tenant_a", "tenant_b"):
+        path = landing.run_folder(root, tenant, C.SUPPLIERS, "2024-01-31", "20240131_060000")
+        suppliers(spark, folder).write.parquet(path)
+    rows = landing.with_lineage(landing.read_landing(spark, root, "*", C.SUPPLIERS, "2024-01-31"))
+    return _rounded(metrics.validation_metrics(rules.tag_suppliers(rows), ["landing_tenant"]), "pass_rate")
+
+
+@query
+def streamed_curation(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed files curated by a stream; the second start finds nothing new."""
+    root, target, progress = (fresh_folder(spark, label) for label in ("landing", "curated", "progress"))
+    landed = landed_parts(spark, folder)
+    ids = suppliers(spark, folder).select("supplier_id")
+    landed.write.parquet(f"{root}/run")
+    for _ in range(2):
+        stream = watch_folder(spark, f"{root}/run", landed.schema)
+        curate_new_files(stream, C.PARTS, target, progress, ids)
+    stored = spark.read.schema(C.curated_schema(C.PARTS)).option("basePath", target).parquet(f"{target}/batch=*")
+    return metrics.violation_profile(stored)
+
+
 @query
 def missing_source(spark: SparkSession, folder: str) -> DataFrame:
     """Suppliers land, parts do not: the job goes on with suppliers alone."""

@@ -1,5 +1,7 @@
 """Text lists, text numbers, geo coordinates and swapped columns."""
 
+import random
+
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -33,6 +35,24 @@ def test_text_to_list(spark, text, expected):
     assert frame.select(L.text_to_list(F.col("v"))).first()[0] == expected
 
 
+def test_text_to_list_against_plain_python(spark):
+    """Thousands of odd texts in one job, next to the same reading said in Python."""
+    draw = random.Random(3)
+    letters = "[]'\", ,ab\t\n\u00a0\u3000\u200b\x1cé"
+    texts = sorted({"".join(draw.choice(letters) for _ in range(draw.randint(0, 9))) for _ in range(6000)})
+
+    def read(text):
+        if text[:1] == "[":
+            text = text.strip("[]")
+            text = "".join(letter for letter in text if letter not in "\"'")
+        return [item for item in map(str.strip, text.split(",")) if item]
+
+    frame = spark.createDataFrame([(text,) for text in texts], "v string").repartition(8)
+    found = frame.select("v", L.text_to_list(F.col("v")).alias("items")).collect()
+    assert len(found) == len(texts)
+    assert [row["v"] for row in found if row["items"] != read(row["v"])] == []
+
+
 def test_list_to_text_and_json(spark):
     frame = spark.createDataFrame([(["a", "b"],), ([],), (None,)], "v array<string>")
     out = frame.select(L.list_to_text(F.col("v")), L.list_to_json(F.col("v")))

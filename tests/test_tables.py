@@ -154,6 +154,15 @@ def test_parts_table_layout(spark, place):
     assert described["unit_cost"] == "decimal(18,6)" and described["last_price_change"] == "string"
 
 
+def test_columns_only_some_runs_have(spark, place):
+    for run_id, frame in (("20240131_060000", spark.range(2)), ("20240131_180000", spark.range(3).withColumn("new", F.lit("x")))):
+        frame.write.parquet(landing.run_folder(place, "t", C.PARTS, "2024-01-31", run_id))
+    merged = landing.read_landing(spark, place, "t", C.PARTS, "2024-01-31", merge_schema=True)
+    assert rows_of(merged.groupBy("new").count()) == [("x", 3), (None, 2)]
+    unknown = checks.drift_report(merged, C.PARTS).where("departure = 'unknown'")
+    assert rows_of(unknown, "field", "filled") == [("id", 5), ("new", 3)]
+
+
 def land(spark, root, folder, with_parts=True):
     path = landing.run_folder(root, "tenant_a", C.SUPPLIERS, "2024-01-31", "20240131_060000")
     landed_suppliers(spark, folder).write.parquet(path)
