@@ -57,6 +57,11 @@ def is_record_id(value: Column) -> Column:
     return value.rlike("^[0-9A-HJKMNP-TV-Z]{26}$")
 
 
+def utc_text(moment: Column, pattern: str) -> Column:
+    """A timestamp as text in UTC, whatever the session's time zone."""
+    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), pattern)
+
+
 def iso_utc(moment: Column) -> Column:
     """A timestamp as landing files write it."""
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return utc_text(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")

@@ -126,12 +126,12 @@ def repeated_keys(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def flag_duplicates(
-    frame: DataFrame, keys: Sequence[str], flag: str, limits: Limits = DEFAULT_LIMITS, stage: bool = False
+    frame: DataFrame, keys: Sequence[str], flag: str, limits: Limits = DEFAULT_LIMITS, stage: bool = True
 ) -> DataFrame:
     """Add boolean ``flag``: whether another row has the same, completely non-NULL key.
 
-    With ``stage`` the repeated keys are written once to the shared folder instead of being worked out both
-    for counting and for joining.
+    The repeated keys are written once to the shared folder; without ``stage`` they are worked out twice, once
+    for counting and once for joining.
     """
     whole = F.lit(True)
     for key in keys:

@@ -34,12 +34,12 @@ def check_references(
     ids: DataFrame,
     limits: Limits = DEFAULT_LIMITS,
     size: Measure | None = None,
-    stage: bool = False,
+    stage: bool = True,
 ) -> DataFrame:
     """Add ``_default_known`` and ``_list_broken``; no row is lost or repeated.
 
-    With ``stage`` the broken lists are written once to the shared folder instead of being worked out both
-    for counting and for joining.
+    The broken lists are written once to the shared folder; without ``stage`` they are worked out twice, once
+    for counting and once for joining.
     """
     size = size or measure(ids)
     broken = lists_with_orphans(parts, "qualified_supplier_ids", ids, limits, size)
@@ -56,7 +56,7 @@ def tag_parts(
     extra: Sequence[Rule] = (),
     limits: Limits = DEFAULT_LIMITS,
     size: Measure | None = None,
-    stage: bool = False,
+    stage: bool = True,
 ) -> DataFrame:
     """Tag parts against the ids of valid suppliers.
 

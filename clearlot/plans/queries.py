@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clearlot import contracts as C
 from clearlot.functions import lists as L
-from clearlot.functions.lookups import base_risk, derive_currency, derive_region, risk_tier
+from clearlot.functions.lookups import base_risk, derive_currency, derive_region, risk_tier, utc_text
 from clearlot.operators import checks, clean, curate, dirt, merge, metrics, references, rules, synth
 from clearlot.operators.members import members_only
 from clearlot.plans import curation, dataset
@@ -124,7 +124,7 @@ def domain_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def freshness_rule(spark: SparkSession, folder: str) -> DataFrame:
-    as_of = F.lit("2024-01-20 00:00:00").cast("timestamp")
+    as_of = F.lit("2024-01-20T00:00:00Z").cast("timestamp")
     tagged = rules.tag_suppliers(suppliers(spark, folder), [rules.freshness_rule(as_of)])
     return tagged.select("supplier_id", _codes())
 
@@ -187,7 +187,7 @@ def lineitem_references(spark: SparkSession, folder: str) -> DataFrame:
 
 def _without_clocks(frame: DataFrame) -> DataFrame:
     clocked = ("ingestion_timestamp", "dq_timestamp", "dq_violations")
-    moment = F.date_format("source_timestamp", "yyyy-MM-dd HH:mm:ss").alias("source_timestamp")
+    moment = utc_text(F.col("source_timestamp"), "yyyy-MM-dd HH:mm:ss").alias("source_timestamp")
     return frame.select(
         *[moment if name == "source_timestamp" else F.col(name) for name in frame.columns if name not in clocked]
     )
@@ -310,7 +310,7 @@ def typed_view_suppliers(spark: SparkSession, folder: str) -> DataFrame:
         F.col("risk_score").cast("double").alias("risk_score"),
         F.size("certifications").cast("long").alias("certifications"),
         F.size("compliance_flags").cast("long").alias("compliance_flags"),
-        F.date_format("source_timestamp", "yyyy-MM-dd HH:mm:ss").alias("source_timestamp"),
+        utc_text(F.col("source_timestamp"), "yyyy-MM-dd HH:mm:ss").alias("source_timestamp"),
     )
 
 
@@ -439,13 +439,13 @@ def range_summary_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def anomaly_counts(spark: SparkSession, folder: str) -> DataFrame:
-    as_of = F.lit("2024-01-20 00:00:00").cast("timestamp")
+    as_of = F.lit("2024-01-20T00:00:00Z").cast("timestamp")
     return metrics.anomaly_counts(suppliers(spark, folder), metrics.supplier_anomalies(as_of))
 
 
 @query
 def anomaly_counts_parts(spark: SparkSession, folder: str) -> DataFrame:
-    as_of = F.lit("2024-01-20 00:00:00").cast("timestamp")
+    as_of = F.lit("2024-01-20T00:00:00Z").cast("timestamp")
     return metrics.anomaly_counts(parts(spark, folder), metrics.part_anomalies(as_of, C.UNITS))
 
 
@@ -789,7 +789,7 @@ def curation_job(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------- synthesis
 
 
-AS_OF = "2024-01-31 00:00:00"
+AS_OF = "2024-01-31T00:00:00Z"
 
 
 def _made_suppliers(spark: SparkSession, folder: str, variant: str = synth.FULL) -> DataFrame:
