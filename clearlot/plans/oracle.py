@@ -890,3 +890,6 @@ ORACLE["injected_parts_profile"] = ORACLE["injected_profile"]
 ORACLE["sampled_rows"] = (
     "SELECT CAST(floor(count(*) * 0.06) AS BIGINT) AS rows, CAST(floor(count(*) * 0.06) AS BIGINT) AS orders FROM orders"
 )
+ORACLE["dataset_job"] = """
+SELECT 'suppliers' AS entity, count(*) AS total, true AS as_predicted FROM customer
+UNION ALL SELECT 'parts', count(*), true FROM customer UNION ALL SELECT 'overall', 2 * count(*), true FROM customer"""

@@ -950,7 +950,11 @@ def sampled_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dataset_job(spark: SparkSession, folder: str) -> DataFrame:
-    """Make, damage, export and land a data set as large as the customer table, then curate it."""
+    """Make, damage, export and land a data set as large as the customer table, then curate it.
+
+    Of the damaged suppliers (6 percent) the rules see two kinds in four, of the damaged parts one kind in
+    three, and a part fails with any of its one to three suppliers.
+    """
     rows = table(spark, folder, "customer").count()
     place = fresh_folder(spark, "dataset")
     made = dataset.export_dataset(
@@ -959,4 +963,12 @@ def dataset_job(spark: SparkSession, folder: str) -> DataFrame:
     dataset.land_dataset(made, place, "tenant_acme", "2024-01-31", "20240131_060000")
     database = f"dataset_{place.rsplit('-', 1)[1]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}/db'")
-    return _rounded(curation.run(spark, place, "tenant_acme", "2024-01-31", database, f"{place}/curated"), "pass_rate")
+    done = curation.run(spark, place, "tenant_acme", "2024-01-31", database, f"{place}/curated")
+    sound = 1 - 0.06 * 2 / 4
+    sound_parts = (1 - 0.06 / 3) * (sound + sound**2 + sound**3) / 3
+    predicted = (
+        F.when(F.col("entity") == C.SUPPLIERS, 100 * sound)
+        .when(F.col("entity") == C.PARTS, 100 * sound_parts)
+        .otherwise(50 * (sound + sound_parts))
+    )
+    return done.select("entity", "total", (F.abs(F.col("pass_rate") - predicted) < 5).alias("as_predicted"))
