@@ -65,6 +65,7 @@ def write_curated(
     location: str | None = None,
     quarantine: str | None = None,
     replace: bool = False,
+    buckets: int = C.CURATED_BUCKETS,
 ) -> dict[str, str]:
     """Write valid rows to the curated tables and invalid ones to the quarantine folder, suppliers first."""
     names = {}
@@ -73,7 +74,7 @@ def write_curated(
             continue
         name = table_name(entity, database)
         place = f"{location}/{C.CURATED_TABLE[entity]}" if location else None
-        create_curated_table(spark, entity, name, place)
+        create_curated_table(spark, entity, name, place, buckets=buckets)
         append_rows(curated_projection(valid_rows(frame), entity), entity, name, replace)
         if quarantine:
             mode = "overwrite" if replace else "append"
@@ -93,6 +94,7 @@ def run(
     replace: bool = False,
     threshold: float = 99.0,
     limits: Limits = DEFAULT_LIMITS,
+    buckets: int = C.CURATED_BUCKETS,
 ) -> DataFrame | None:
     """Curate one landing date. Without suppliers nothing is done; without parts only suppliers are curated.
 
@@ -107,6 +109,6 @@ def run(
     if suppliers is None:
         return None
     tagged = tag_both(suppliers, landed(C.PARTS), limits)
-    names = write_curated(spark, tagged, database, location, quarantine, replace)
+    names = write_curated(spark, tagged, database, location, quarantine, replace, buckets)
     shaped = has_struct_column(spark, names[C.SUPPLIERS])
     return report(tagged, threshold).withColumn("geo_is_struct", F.lit(shaped))

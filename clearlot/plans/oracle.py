@@ -809,6 +809,23 @@ ORACLE["reload_twice"] = _sql(
 ORACLE["compacted_table"] = _sql(
     _ST, "SELECT supplier_id, 2 * count(*) AS rows FROM sup_tag WHERE violations = '' GROUP BY 1"
 )
+ORACLE["upsert_curated"] = _sql(
+    (*_ST, _LANDED_SUPPLIERS),
+    f"""SELECT supplier_id, tenant_id, CASE WHEN fresh THEN new_score ELSE risk_score END AS risk_score,
+      CASE WHEN fresh THEN new_rate ELSE on_time_delivery_rate END AS on_time_delivery_rate,
+      CASE WHEN fresh THEN new_defects ELSE defect_rate_ppm END AS defect_rate_ppm,
+      CASE WHEN violations = '' THEN lead_time_days_avg ELSE new_lead END AS lead_time_days_avg
+    FROM (
+      SELECT *, legal_name IS NOT NULL AND country <> 'XX' AND approved_status <> 'UNKNOWN'
+        AND coalesce(new_rate <= 100, true) AND coalesce(new_score <= 100, true) AND coalesce(new_lead >= 0, true)
+        AS fresh
+      FROM (
+        SELECT sup_tag.*, TRY_CAST(lsup.risk_score AS DOUBLE) AS new_score,
+          TRY_CAST(lsup.on_time_delivery_rate AS DOUBLE) AS new_rate, {_int("lsup.defect_rate_ppm")} AS new_defects,
+          {_int("lsup.lead_time_days_avg")} AS new_lead
+        FROM sup_tag JOIN lsup USING (k)))
+    WHERE violations = '' OR fresh""",
+)
 _JOB = (
     _SUPPLIERS,
     _LANDED_SUPPLIERS,

@@ -773,6 +773,20 @@ def compacted_table(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_table(spark, name).groupBy("supplier_id").agg(F.count("*").alias("rows"))
 
 
+@query
+def upsert_curated(spark: SparkSession, folder: str) -> DataFrame:
+    """Curated suppliers updated, twice, by the valid rows of a later landing batch."""
+    location = fresh_folder(spark, "curated")
+    name = tables.create_curated_table(spark, C.SUPPLIERS, f"curated_{location.rsplit('-', 1)[1]}", location)
+    tables.append_rows(curate.curated_rows(_tagged_suppliers(spark, folder), C.SUPPLIERS), C.SUPPLIERS, name)
+    later = rules.tag_suppliers(clean.clean(landed_suppliers(spark, folder), C.SUPPLIERS))
+    for _ in range(2):
+        tables.upsert_rows(curate.curated_rows(later, C.SUPPLIERS), C.SUPPLIERS, name)
+    return spark.table(name).select(
+        "supplier_id", "tenant_id", "risk_score", "on_time_delivery_rate", "defect_rate_ppm", "lead_time_days_avg"
+    )
+
+
 @query
 def curation_job(spark: SparkSession, folder: str) -> DataFrame:
     """The whole job from landing files to report. The two supplier runs of the day are read together."""

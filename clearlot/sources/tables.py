@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clearlot import contracts as C
-from clearlot.session import fresh_folder
+from clearlot.operators.members import DEFAULT_LIMITS, Limits, members_only
+from clearlot.operators.merge import upsert_entity
+from clearlot.session import fresh_folder, staged
 
 # Fixed value: rows per curated file where a cap is wanted.
 ROWS_PER_FILE = 50_000
@@ -29,7 +31,8 @@ def create_curated_table(
     """Create the curated table unless it exists; returns its name.
 
     Partitioned by tenant (parts also by category) and bucketed by primary key, so a tenant's rows are found
-    by pruning and key joins between curated tables need no shuffle.
+    by pruning and key joins between curated tables need no shuffle. Such a join runs with one task per
+    bucket: give a table of many terabytes thousands of buckets, or 0 for none.
     """
     name = name or table_name(entity)
     if "." in name:
@@ -37,15 +40,21 @@ def create_curated_table(
     kinds = {**C.curated_types(entity), **C.QUALITY_COLUMNS}
     body = ", ".join(f"{column} {kind}" for column, kind in kinds.items())
     where = f"LOCATION '{location}'" if location else ""
+    clustered = f"CLUSTERED BY ({C.PRIMARY_KEY[entity]}) INTO {buckets} BUCKETS" if buckets else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING {file_format} "
-        f"PARTITIONED BY ({', '.join(C.CURATED_PARTITIONS[entity])}) "
-        f"CLUSTERED BY ({C.PRIMARY_KEY[entity]}) INTO {buckets} BUCKETS {where} "
+        f"PARTITIONED BY ({', '.join(C.CURATED_PARTITIONS[entity])}) {clustered} {where} "
         f"TBLPROPERTIES ('parquet.compression' = 'snappy')"
     )
     return name
 
 
+def bucket_count(spark: SparkSession, name: str) -> int:
+    """Buckets of a table, 1 when it has none."""
+    described = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    return int(described.get("Num Buckets", 1))
+
+
 def sized_for_write(frame: DataFrame, partitions: tuple[str, ...], key: str, buckets: int) -> DataFrame:
     """Bring rows of one partition and bucket together so that files come out large.
 
@@ -68,12 +77,7 @@ def _replace_only_written_partitions(spark: SparkSession):
 
 
 def append_rows(
-    frame: DataFrame,
-    entity: str,
-    name: str,
-    replace: bool = False,
-    buckets: int = C.CURATED_BUCKETS,
-    rows_per_file: int = 0,
+    frame: DataFrame, entity: str, name: str, replace: bool = False, rows_per_file: int = 0
 ) -> None:
     """Append rows by column name. A second run of the same input adds them again.
 
@@ -82,7 +86,7 @@ def append_rows(
     With ``replace`` the partitions present in ``frame`` are overwritten instead, so a rerun changes nothing.
     """
     spark = frame.sparkSession
-    ready = sized_for_write(frame, C.CURATED_PARTITIONS[entity], C.PRIMARY_KEY[entity], buckets)
+    ready = sized_for_write(frame, C.CURATED_PARTITIONS[entity], C.PRIMARY_KEY[entity], bucket_count(spark, name))
     writer = ready.select(*spark.table(name).columns).write.option("maxRecordsPerFile", rows_per_file)
     if not replace:
         writer.insertInto(name)
@@ -91,6 +95,22 @@ def append_rows(
         writer.insertInto(name, overwrite=True)
 
 
+def upsert_rows(batch: DataFrame, entity: str, name: str, limits: Limits = DEFAULT_LIMITS) -> None:
+    """Update a curated table by primary key: new keys are added, of known ones the updatable columns change.
+
+    Only the partitions that hold a key of the batch, or that the batch adds to, are read in full and
+    rewritten. Running it twice changes nothing more.
+    """
+    spark = batch.sparkSession
+    key, partitions = C.PRIMARY_KEY[entity], list(C.CURATED_PARTITIONS[entity])
+    base = spark.table(name)
+    batch = staged(batch, "upsert-batch")
+    holding = members_only(base.select(key, *partitions), key, batch.select(key), limits)
+    touched = holding.select(*partitions).unionByName(batch.select(*partitions)).distinct()
+    merged = upsert_entity(base.join(touched, partitions, "left_semi"), batch, entity, limits)
+    append_rows(staged(merged, "upsert"), entity, name, replace=True)
+
+
 def overwrite_partitions(frame: DataFrame, path: str, partitions: tuple[str, ...]) -> None:
     """The same idempotent reload for a table kept as a plain folder."""
     balanced = frame.hint("rebalance", *partitions)

@@ -116,6 +116,11 @@ def test_lists_and_ids(suppliers, parts):
     assert all(row["filled"] == row["readable"] == ROWS for row in found.collect())
 
 
+def test_approximate_surplus(suppliers):
+    (row,) = metrics.approximate_surplus(suppliers, ["supplier_id"]).collect()
+    assert row["rows"] == ROWS and abs(row["distinct_values"] - ROWS) < 0.06 * ROWS
+
+
 def test_references_hold(suppliers, parts):
     ids = suppliers.select("supplier_id")
     assert references.orphan_defaults(parts, ids).count() == 0

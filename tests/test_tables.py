@@ -163,6 +163,36 @@ def test_columns_only_some_runs_have(spark, place):
     assert rows_of(unknown, "field", "filled") == [("id", 5), ("new", 3)]
 
 
+def test_bucket_count(spark, place, folder):
+    db = database(spark, place)
+    rows = curate.curated_rows(rules.tag_suppliers(suppliers(spark, folder)), C.SUPPLIERS)
+    for buckets, expected in ((0, 1), (4, 4)):
+        name = tables.create_curated_table(spark, C.SUPPLIERS, f"{db}.b{buckets}", f"{place}/b{buckets}", buckets=buckets)
+        assert tables.bucket_count(spark, name) == expected
+        tables.append_rows(rows, C.SUPPLIERS, name)
+        assert tables.row_count(spark, name) == rows.count()
+
+
+def test_table_upsert_rewrites_only_touched_partitions(spark, place, folder):
+    name = tables.create_curated_table(spark, C.SUPPLIERS, f"{database(spark, place)}.u", f"{place}/u", buckets=2)
+    rows = staged(curate.curated_rows(rules.tag_suppliers(suppliers(spark, folder)), C.SUPPLIERS), "rows")
+    tables.append_rows(rows, C.SUPPLIERS, name)
+    before = set(spark.table(name).inputFiles())
+    chosen = rows.orderBy("supplier_id").first()
+    # The batch names another tenant, but the tenant is no updatable column: the row stays where it is.
+    batch = rows.where(F.col("supplier_id") == chosen["supplier_id"]).withColumns(
+        {"risk_score": F.lit(1.0), "tenant_id": F.lit("elsewhere"), "city": F.lit("moved")}
+    )
+    for _ in range(2):
+        tables.upsert_rows(batch, C.SUPPLIERS, name)
+    after = spark.table(name)
+    assert after.count() == rows.count()
+    changed = after.where(F.col("supplier_id") == chosen["supplier_id"]).first()
+    assert (changed["risk_score"], changed["tenant_id"], changed["city"]) == (1.0, chosen["tenant_id"], chosen["city"])
+    kept = before & set(after.inputFiles())
+    assert kept == {path for path in before if f"tenant_id={chosen['tenant_id']}/" not in path}
+
+
 def land(spark, root, folder, with_parts=True):
     path = landing.run_folder(root, "tenant_a", C.SUPPLIERS, "2024-01-31", "20240131_060000")
     landed_suppliers(spark, folder).write.parquet(path)
