@@ -28,6 +28,7 @@ HEADLINES = [
     "duplicate_codes",
     "upsert_update",
     "upsert_ignore",
+    "sql_upsert",
     "incremental_rows",
     "cast_contract_parts",
     "constraint_report_parts",

@@ -11,6 +11,7 @@ from clearlot import contracts as C
 from clearlot.functions.draws import Draws, record_id
 from clearlot.functions.lookups import iso_utc
 from clearlot.operators.synth import number_rows
+from clearlot.session import staged
 
 # Anomaly kinds and what they write.
 KINDS = {
@@ -70,7 +71,7 @@ def _overwrite(frame: DataFrame, changes: dict[str, Column]) -> DataFrame:
 def _copied_codes(pool: DataFrame, key: str, code: str, kind: str, seed: int) -> DataFrame:
     """Rows of the copying kind with the code of another row of the pool, picked with equal chances."""
     size = max(pool.count(), 1)
-    pool = number_rows(pool.select(key, code, "_kind"), key)
+    pool = number_rows(pool, key)
     draw = Draws(F.col(key), seed)
     step = F.lit(1) + F.floor(draw.uniform("donor") * F.lit(size - 1)).cast("long")
     wanted = pool.where(F.col("_kind") == kind).select(
@@ -132,8 +133,8 @@ def inject_anomalies(
 
     copying = F.coalesce(F.col("_kind") == COPY_KIND[entity], F.lit(False))
     # Donors are the damaged rows, and at least two rows, so that the rest of the table need not be moved.
-    pool = marked.where(exact_sample(frame, key, rate, seed, at_least=2))
-    codes = _copied_codes(pool, key, code, COPY_KIND[entity], seed)
+    pool = marked.where(exact_sample(frame, key, rate, seed, at_least=2)).select(key, code, "_kind")
+    codes = _copied_codes(staged(pool, "damaged-rows"), key, code, COPY_KIND[entity], seed)
     recoded = damaged.where(copying).join(codes, F.col(key) == F.col("_key"), "left")
     recoded = _overwrite(recoded, {code: F.coalesce(F.col("_code"), F.col(code))})
     return damaged.where(~copying).drop("_kind").unionByName(recoded.drop("_kind", "_key", "_code"))
