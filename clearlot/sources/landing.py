@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,9 +35,14 @@ def read_landing(
     return reader.parquet(landing_glob(root, tenant, entity, run_date))
 
 
+def _source_path() -> Column:
+    """The path of a row's file as it was written; Spark reports it with percent signs for special characters."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def with_lineage(frame: DataFrame) -> DataFrame:
     """Add tenant, entity, date and run id from the path; call it on a frame fresh from a file reader."""
-    path = F.col("_metadata.file_path")
+    path = _source_path()
     names = ("landing_tenant", "landing_entity", "landing_date", "landing_run_id")
     return frame.select(
         "*",
@@ -47,7 +52,7 @@ def with_lineage(frame: DataFrame) -> DataFrame:
 
 def with_upload_lineage(frame: DataFrame) -> DataFrame:
     """The same for the upload layout, where the file name stands for the entity."""
-    path = F.col("_metadata.file_path")
+    path = _source_path()
     names = ("landing_tenant", "landing_date", "landing_run_id", "landing_entity")
     return frame.select(
         "*", *[F.regexp_extract(path, UPLOAD_LAYOUT, at).alias(name) for at, name in enumerate(names, start=1)]

@@ -154,6 +154,14 @@ def test_parts_table_layout(spark, place):
     assert described["unit_cost"] == "decimal(18,6)" and described["last_price_change"] == "string"
 
 
+@pytest.mark.parametrize("tenant", ["tenant_a", "tenant a+b", "caf\u00e9 100%"])
+def test_lineage_of_odd_tenant_names(spark, place, tenant):
+    spark.range(3).write.parquet(landing.run_folder(place, tenant, C.PARTS, "2024-01-31", "20240131_060000"))
+    found = landing.with_lineage(landing.read_landing(spark, place, "*", C.PARTS, "2024-01-31"))
+    lineage = ("landing_tenant", "landing_entity", "landing_date", "landing_run_id")
+    assert rows_of(found.select(*lineage).distinct()) == [(tenant, "parts", "2024-01-31", "20240131_060000")]
+
+
 def test_columns_only_some_runs_have(spark, place):
     for run_id, frame in (("20240131_060000", spark.range(2)), ("20240131_180000", spark.range(3).withColumn("new", F.lit("x")))):
         frame.write.parquet(landing.run_folder(place, "t", C.PARTS, "2024-01-31", run_id))
