@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearlot.llm import byte_pairs, quality_rules, token_files
+from clearlot.llm import byte_pairs, language_id, quality_rules, token_files
 from clearlot.llm.common import table
 from clearlot.session import fresh_folder
 
@@ -40,6 +40,16 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.document_checksums(spark, place)
 
 
+@query
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from the folds that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = language_id.learn(docs.where(~language_id.held_out()))
+    labelled = language_id.label_languages(docs, model)
+    return labelled.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score",
+                           F.size("spans").alias("n_spans"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of the line-first rules for every document."""
