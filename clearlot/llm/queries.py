@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearlot.llm import byte_pairs, language_id, quality_rules, token_files
+from clearlot.llm import byte_pairs, html_extract, language_id, quality_rules, token_files, url_filter
 from clearlot.llm.common import table
 from clearlot.session import fresh_folder
 
@@ -40,6 +40,32 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.document_checksums(spark, place)
 
 
+#: The rules that op7 is given.
+URL_RULES = [
+    url_filter.Rule("allow", "com", "/"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+]
+
+
+@query
+def op5_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract_pages(table(spark, folder, "pages"))
+
+
+@query
+def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A verdict for every page's URL; pages whose number is labelled teach the mined rules."""
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = table(spark, folder, "labels").select(
+        F.col("doc_id").alias("id"), F.when(bad, "block").when(~bad, "allow").alias("verdict")
+    )
+    return url_filter.judge_urls(table(spark, folder, "pages"), labels, URL_RULES)
+
+
 @query
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from the folds that are not held out."""
