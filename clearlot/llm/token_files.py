@@ -30,15 +30,18 @@ from clearlot.llm.common import id_field, schema_of, text_or_empty
 SEQUENCE_LENGTH = 2048
 #: Sequences of a batch; a task holds one batch.
 BATCH_SEQUENCES = 256
-#: Words that a task remembers; a full table is emptied.
-TABLE_SIZE = 500_000
+#: Words, and parts of words, that a task remembers; a full table is emptied. Longer ones are not remembered.
+TABLE_SIZE = 600_000
 LONG = 48
+#: Marks that are cut off the end of a word.
+MARKS = ".,!?;|"
 
 
 class WordTokenizer:
-    """A tokenizer of the tokenizers library whose pieces never hold white space.
+    """A tokenizer of the tokenizers library whose pieces never hold white space, and that knows no upper case.
 
-    Words between spaces and line breaks are then encoded apart; each is given to the library once and remembered.
+    Words between spaces and line breaks are then encoded apart, and so are a word and the marks at its end if there is
+    a letter or digit before them. The library gets each such part once; its ids are remembered.
     """
 
     def __init__(self, path: str):
@@ -46,31 +49,46 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.small = self.tokenizer.get_vocab_size() <= 1 << 16
-        self.kind = np.dtype("<u2" if self.small else "<u4")
-        self._words: dict[str, bytes] = {"": b""}
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self._words) >= TABLE_SIZE:
-            self._words = {"": b""}
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for word, one in zip(words, found, strict=True):
-            self._words[word] = np.array(one.ids, self.kind).tobytes()
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self._words: dict[str, bytes] = {}
+        self._parts: dict[str, bytes] = {"": b""}
+
+    @staticmethod
+    def _cut(word: str) -> tuple[str, str]:
+        plain = word.lower() if word.isascii() else word
+        head = plain.rstrip(MARKS)
+        last = head[-1:]  # a letter that lower-casing and normalisation leave as it is
+        safe = last.isalnum() and last < "\u0180" and last == last.lower()
+        return (head, plain[len(head) :]) if safe else (plain, "")
+
+    def _learned(self, words: list[str]) -> dict[str, bytes]:
+        cuts = [self._cut(word) for word in words]
+        if len(self._parts) > TABLE_SIZE:
+            self._parts = {"": b""}
+        new = list(dict.fromkeys(part for cut in cuts for part in cut if part not in self._parts))
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        for part, one in zip(new, found, strict=True):
+            self._parts[part] = np.array(one.ids, self.kind).tobytes()
+        made = {word: self._parts[a] + self._parts[b] for word, (a, b) in zip(words, cuts, strict=True)}
+        for part in new:
+            if len(part) > LONG:
+                del self._parts[part]
+        return made
 
     def encode(self, text: str) -> bytes:
         """All ids of a text, packed."""
-        words = text.replace("\n", " ").split(" ")
+        words, known = text.replace("\n", " ").split(" "), self._words
         try:
-            return b"".join(map(self._words.__getitem__, words))
+            return b"".join(map(known.__getitem__, words))
         except KeyError:
-            new = {word for word in words if word not in self._words}
-            self._learn(sorted(new))
-            if len(self._words) > len(new) + 1:
-                try:
-                    return b"".join(map(self._words.__getitem__, words))
-                except KeyError:  # the table was emptied meanwhile
-                    self._learn(sorted({word for word in words if word not in self._words}))
-            return b"".join(map(self._words.__getitem__, words))
+            new = dict.fromkeys(word for word in words if word not in known)
+        if len(known) + len(new) > TABLE_SIZE:
+            known.clear()
+            new = dict.fromkeys(words)
+        made = self._learned(list(new))
+        ids = b"".join(made[word] if word in made else known[word] for word in words)
+        known.update((word, packed) for word, packed in made.items() if len(word) <= LONG)
+        return ids
 
 
 @lru_cache(maxsize=1)
