@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearlot.llm import byte_pairs, html_extract, language_id, quality_rules, token_files, url_filter
+from clearlot.llm import byte_pairs, decontaminate, html_extract, language_id, quality_rules, token_files, url_filter
 from clearlot.llm.common import table
 from clearlot.session import fresh_folder
 
@@ -50,6 +50,20 @@ URL_RULES = [
 ]
 
 
+@query
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document that lie in windows of the benchmark."""
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @query
 def op5_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
