@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clearlot.llm import byte_pairs, decontaminate, html_extract, language_id, quality_rules, token_files, url_filter
+from clearlot.llm import (
+    byte_pairs,
+    decontaminate,
+    html_extract,
+    jaccard_join,
+    language_id,
+    quality_rules,
+    token_files,
+    url_filter,
+)
 from clearlot.llm.common import table
 from clearlot.session import fresh_folder
 
@@ -50,6 +59,12 @@ URL_RULES = [
 ]
 
 
+@query
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents with nine tenths of their three-word shingles in common."""
+    return jaccard_join.similar_documents(table(spark, folder, "documents"), alike=(90, 100), shingle=3)
+
+
 @query
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Words of every document that lie in windows of the benchmark."""
