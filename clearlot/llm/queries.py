@@ -14,6 +14,7 @@ from clearlot.llm import (
     html_extract,
     jaccard_join,
     language_id,
+    line_dedup,
     quality_rules,
     token_files,
     url_filter,
@@ -110,3 +111,17 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts and verdict of the line-first rules for every document."""
     judged = quality_rules.clean_lines(table(spark, folder, "documents"))
     return judged.withColumn("n_clean_chars", F.length("clean_text")).drop("clean_text")
+
+
+@query
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without lines that repeat, exactly or with up to two edits, a line before."""
+    cleaned = line_dedup.without_repeated_lines(table(spark, folder, "documents"))
+    gone = F.coalesce("removed", F.array().cast("array<int>"))
+    return cleaned.select(
+        "doc_id",
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)) + F.size(gone)).alias("n_lines"),
+        F.size(gone).alias("n_removed"),
+        gone.alias("removed"),
+        "text",
+    )
