@@ -310,11 +310,16 @@ def decode_ids(
 
 
 def round_trip_digests(
-    docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    with_ids: bool = False,
 ) -> DataFrame:
     """Encodes and decodes every document and returns digests of the ids and of the decoded bytes.
 
-    The same as ``decode_ids(encode_texts(...))`` with the digests taken in the task, so that ids do not leave it.
+    The same as ``decode_ids(encode_texts(...))`` with the digests taken in the task; ids leave it on demand only.
     """
 
     def start():
@@ -324,9 +329,12 @@ def round_trip_digests(
         def row(key, text) -> tuple:
             ids = own.encode(text or "")
             told = sha256(" ".join(map(own.digits.__getitem__, ids)).encode()).hexdigest()
-            return key, len(ids), told, sha256(own.decode(ids)).hexdigest()
+            return key, len(ids), told, sha256(own.decode(ids)).hexdigest(), *([ids] if with_ids else [])
 
         return row
 
-    schema = schema_of(id_field(docs, id_column), "n_tokens long", "ids_sha256 string", "decoded_sha256 string")
+    schema = schema_of(
+        id_field(docs, id_column), "n_tokens long", "ids_sha256 string", "decoded_sha256 string",
+        *["ids array<int>"] * with_ids,
+    )
     return in_python(docs.select(id_column, text_column), schema, start, measure=1)

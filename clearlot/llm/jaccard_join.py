@@ -3,13 +3,14 @@
 A document's set holds the hashes of its distinct shingles. Sets of similar sizes form a band; two sets whose similarity
 reaches the threshold are in one band or in neighbouring ones, and differ in at most a known number of elements there.
 For each band the feature domain is divided into groups and every group into ``PARTS`` partitions; there are so many
-groups that of two such sets one group differs in at most one element. So two of that group's three partitions are alike,
-and a signature for each group and each two of its partitions is shared. Sets emit the signatures of their own band and
+groups that of two such sets one group differs in at most ``TOLERATED`` elements. So all but so many of that group's
+partitions are alike, and a signature for each group and each such choice of its partitions is shared. Sets emit the signatures of their own band and
 of the band below.
 
-Partitions that are empty in a set say nothing and give no signature; a set that has such a pair of partitions also emits
-the signatures of another division of the domain, and so on. If the partitions that two sets share are empty in both, both
-emit the next division. The last of ``LEVELS`` divisions emits empty ones, too, so no pair is lost.
+Partitions that are empty in a set say nothing and give no signature. There are some groups more than needed (``SPARE``),
+and a set with empty partitions in no more than these still has a group that counts. A set with more of them also emits
+the signatures of another division of the domain, and so on; if that holds for one of two linked sets only, the other one
+has found it. The last of ``LEVELS`` divisions emits empty ones, too, so no pair is lost.
 
 Equal sets are one class, told by a 64-bit hash; only classes are compared. Shared signatures are only candidates, each
 verified by the sets themselves. Documents without words, or text, have an empty set and are linked with nothing.
@@ -27,14 +28,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clearlot.llm.common import id_field, in_python, schema_of
+from clearlot.llm.common import id_field, in_python, schema_of, text_or_empty
 from clearlot.llm.linking import components, link_groups
 from clearlot.session import staged
 
 #: Links: ALIKE[0] in ALIKE[1] of the union are common. Shingles are of so many words.
 ALIKE = (80, 100)
 SHINGLE = 5
-PARTS, TOLERATED, LEVELS = 3, 1, 6
+PARTS, TOLERATED, LEVELS = 2, 1, 6
+SPARE = 0.08
 #: Up to this many rows, a table of ids or keys is broadcast; more are shuffled.
 BROADCAST_ROWS = 500_000
 WORDS_KEPT = 500_000
@@ -109,7 +111,9 @@ class Signer:
         differ = self._differ(band)
         if not differ:  # only equal sets, which are one class
             return np.zeros(0, np.uint64)
-        groups = differ // (TOLERATED + 1) + 1
+        needed = differ // (TOLERATED + 1) + 1
+        spare = int(SPARE * needed) + 1
+        groups = needed + spare
         made = []
         for level in range(LEVELS):
             salt = mixed(np.array([band * LEVELS + level + 1], np.uint64) * _A)[0]
@@ -121,14 +125,16 @@ class Signer:
             np.add.at(sums, cell, mixed(spread))
             sums = sums.reshape(groups, PARTS)
             number = np.arange(groups, dtype=np.uint64)
-            empty = False
-            for which, (a, b) in enumerate(combinations(range(PARTS), PARTS - TOLERATED)):
-                held = counts[:, a] + counts[:, b] > 0
-                signs = mixed(sums[:, a] * _A + sums[:, b] * _C + mixed(number * np.uint64(PARTS) + np.uint64(which)) + salt)
-                last = level == LEVELS - 1
-                made.append(signs if last else signs[held])
-                empty |= not held.all()
-            if not empty:
+            idle = np.zeros(groups, bool)
+            for which, chosen in enumerate(combinations(range(PARTS), PARTS - TOLERATED)):
+                held = counts[:, chosen].sum(1) > 0
+                signs = mixed(number * np.uint64(PARTS) + np.uint64(which)) + salt
+                for part in chosen:
+                    signs += sums[:, part] * (_A + np.uint64(2 * part))
+                signs = mixed(signs)
+                made.append(signs if level == LEVELS - 1 else signs[held])
+                idle |= ~held
+            if idle.sum() <= spare:
                 break
         return np.concatenate(made)
 
@@ -177,19 +183,70 @@ def similar_documents(
     shingle: int = SHINGLE,
 ) -> DataFrame:
     """Per document ``n_shingles`` and ``component_id``, the least id that links reach from it; other columns are left out."""
+    named = _classified(docs, id_column, text_column, alike, shingle)
+    return named.select(F.col("id").alias(id_column), "n_shingles", "component_id")
+
+
+def one_of_each(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    alike: tuple[int, int] = ALIKE,
+    shingle: int = SHINGLE,
+) -> DataFrame:
+    """The rows of ``docs``, with all columns, of the first document of each component: least id, then least text hash.
+
+    Rows without words stay. Of rows that repeat an id and a text one stays. Rows without an id stay if no document with
+    an id is linked with them, one of each class.
+    """
+    named = staged(_classified(docs, id_column, text_column, alike, shingle), "components")
+    group = F.coalesce("component_id", "class")
+    wordy = named.where(F.col("class").isNotNull()).withColumn("group", group)
+    first = F.min(F.struct(F.col("id").isNull(), "id", "digest")).alias("first")
+    rows = wordy.groupBy("group", F.col("component_id").isNull().alias("nameless")).agg(first, F.count("*").alias("n"))
+    lost = (
+        wordy.join(
+            rows.where("n > 1").select(
+                F.col("group").alias("its_group"), F.col("nameless").alias("its"), F.col("first.id").alias("keep_id"),
+                F.col("first.digest").alias("keep_digest"),
+            ),
+            (F.col("group") == F.col("its_group")) & (F.col("component_id").isNull() == F.col("its")),
+        )
+        .where(~(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("keep_digest"))))
+        .select(F.col("id").alias("__id"), F.col("digest").alias("__digest"))
+        .distinct()
+    )
+    text = text_or_empty(text_column)
+    same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__digest"))
+    left = docs.join(_small(staged(lost, "lost")), same, "left_anti")
+    twice = wordy.groupBy("id", "digest").agg(F.count("*").alias("n")).where("n > 1")
+    twice = staged(twice.select(F.col("id").alias("__id"), F.col("digest").alias("__digest")), "twice")
+    if twice.isEmpty():
+        return left
+    again = left.join(_small(twice), same, "left_semi").withColumn("__digest", F.xxhash64(text))
+    return left.join(_small(twice), same, "left_anti").unionByName(
+        again.dropDuplicates([id_column, "__digest"]).drop("__digest")
+    )
+
+
+def _classified(
+    docs: DataFrame, id_column: str, text_column: str, alike: tuple[int, int], shingle: int
+) -> DataFrame:
+    """``id, digest, n_shingles, class, component_id`` of every row."""
     own = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def start():
         shingles, signer = Shingler(shingle), Signer(alike)
 
-        def row(key, text) -> tuple:
+        def row(key, text, digest) -> tuple:
             values = shingles(text)
-            return key, len(values), class_of(values), signer(values).view(np.int64)
+            return key, digest, len(values), class_of(values), signer(values).view(np.int64)
 
         return row
 
-    schema = schema_of(id_field(own, "id"), "n_shingles long", "class long", "signs array<long>")
-    held = staged(in_python(own, schema, start, measure=1), "signatures")
+    schema = schema_of(id_field(own, "id"), "digest long", "n_shingles long", "class long", "signs array<long>")
+    hashed = own.withColumn("digest", F.xxhash64(text_or_empty("text")))
+    held = staged(in_python(hashed, schema, start, measure=1), "signatures")
     classes = held.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("id"))
     signs = held.select("class", F.explode("signs").alias("key"))
     shared = staged(
@@ -232,7 +289,9 @@ def similar_documents(
     numbers = named.groupBy("root").agg(F.min("least").alias("component_id"))
     numbered = named.join(numbers, "root").select("class", "component_id")
     return held.join(numbered, "class", "left").select(
-        F.col("id").alias(id_column),
+        "id",
+        "digest",
         "n_shingles",
+        "class",
         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
     )

@@ -24,8 +24,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clearlot.llm.common import id_field, schema_of, text_or_empty
+from clearlot.llm.common import schema_of, text_or_empty
 
 #: First code points of script ranges (Unicode blocks) and the script from there on; "" is none.
 SCRIPTS = (
@@ -249,13 +250,14 @@ def model_of(languages: list[str], counted: list[tuple[str, str, int]], penalty:
 
 
 def label_languages(
-    docs: DataFrame, model: LanguageModel, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, model: LanguageModel, text_column: str = "text", keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
-    """Per document ``lang_pred``, ``score`` and ``spans`` (language, first word, words); other columns are left out."""
-    schema = schema_of(
-        id_field(docs, id_column),
-        "lang_pred string", "score double", "spans array<struct<lang: string, first_word: int, n_words: int>>",
-    )
+    """``lang_pred``, ``score`` and ``spans`` (language, first word, words) beside the columns ``keep`` of every document."""
+    kept = [docs.schema[name] for name in keep]
+    own = schema_of(
+        "lang_pred string", "score double", "spans array<struct<lang: string, first_word: int, n_words: int>>"
+    )
+    schema = T.StructType(kept + own.fields)
     learned = (model.languages, model.scores, model.users, model.penalty)
     shared = docs.sparkSession.sparkContext.broadcast(learned)  # bounded by max_grams
 
@@ -265,41 +267,37 @@ def label_languages(
         arrow, own = to_arrow_schema(schema), LanguageModel(*shared.value)
         names = own.languages
 
-        def labelled(keys: list, texts: list[list[str]]) -> pa.RecordBatch:
-            made = []
-            for key, words, path in zip(keys, texts, own.label(texts) if names else texts, strict=True):
-                if not words or not names:
-                    made.append((key, UNDETERMINED, 0.0, []))
-                    continue
-                letters = np.fromiter(map(len, words), np.int64, len(words))
-                counted = np.where(own.neutral(words), 0, letters)
-                held = np.bincount(path, weights=counted, minlength=len(names))
-                top = int(held.argmax())
-                starts = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1])
-                sizes = np.diff(np.concatenate([starts, [len(path)]]))
-                spans = [
-                    {"lang": names[path[a]], "first_word": int(a), "n_words": int(n)}
-                    for a, n in zip(starts, sizes, strict=True)
-                ]
-                made.append((key, names[top], float(held[top] / letters.sum()), spans))
-            columns = zip(*made, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(v), f.type) for v, f in zip(columns, arrow, strict=True)], schema=arrow
-            )
-
-        keys, texts, held = [], [], 0
+        def result(words: list[str], path: np.ndarray) -> tuple:
+            if not words or not names:
+                return UNDETERMINED, 0.0, []
+            letters = np.fromiter(map(len, words), np.int64, len(words))
+            held = np.bincount(path, weights=np.where(own.neutral(words), 0, letters), minlength=len(names))
+            top = int(held.argmax())
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1])
+            sizes = np.diff(np.concatenate([starts, [len(path)]]))
+            spans = [
+                {"lang": names[path[a]], "first_word": int(a), "n_words": int(n)}
+                for a, n in zip(starts, sizes, strict=True)
+            ]
+            return names[top], float(held[top] / letters.sum()), spans
+
+        def labelled(rows: pa.RecordBatch, texts: list[list[str]]) -> pa.RecordBatch:
+            made = [result(*one) for one in zip(texts, own.label(texts) if names else texts, strict=True)]
+            new = [pa.array(list(v), f.type) for v, f in zip(zip(*made, strict=True), list(arrow)[len(kept) :], strict=True)]
+            old = [column.cast(f.type) for column, f in zip(rows.columns[1:], arrow, strict=False)]
+            return pa.RecordBatch.from_arrays([*old, *new], schema=arrow)
+
         for batch in batches:
-            for key, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                keys.append(key)
+            texts, held, first = [], 0, 0
+            for at, text in enumerate(batch.column(0).to_pylist()):
                 texts.append(WORD.findall((text or "").lower()))
                 held += len(texts[-1])
-                if held >= WORDS_AT_ONCE or len(keys) >= 10_000:
-                    yield labelled(keys, texts)
-                    keys, texts, held = [], [], 0
-        if keys:
-            yield labelled(keys, texts)
+                if held >= WORDS_AT_ONCE or at + 1 == batch.num_rows:
+                    yield labelled(batch.slice(first, at + 1 - first), texts)
+                    texts, held, first = [], 0, at + 1
 
-    return docs.select(id_column, text_column).mapInArrow(task, schema)
+    # the text goes along under a name of its own, as it may be kept, too
+    return docs.select(F.col(text_column).alias("__text"), *keep).mapInArrow(task, schema)
 
 
 def held_out(id_column: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:

@@ -101,7 +101,7 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from the folds that are not held out."""
     docs = table(spark, folder, "documents")
     model = language_id.learn(docs.where(~language_id.held_out()))
-    labelled = language_id.label_languages(docs, model)
+    labelled = language_id.label_languages(docs, model, keep=("doc_id",))
     return labelled.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score",
                            F.size("spans").alias("n_spans"))
 
