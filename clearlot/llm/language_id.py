@@ -17,12 +17,12 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,8 +60,9 @@ SCRIPTS = (
 )
 _STARTS = [start for start, _ in SCRIPTS]
 
-#: Training documents of each language, and n-grams that the model keeps; both bound what the driver gets.
+#: Training documents of each language (on average, where there are more), and the most n-grams that the model keeps.
 DOCS_PER_LANGUAGE = 2_000
+HASH_RANGE = 1 << 40
 MAX_GRAMS = 200_000
 LONGEST_GRAM = 4
 #: What a change of language costs, in units of the natural logarithm.
@@ -93,56 +94,72 @@ def grams(word: str) -> list[str]:
 @dataclass
 class LanguageModel:
     languages: list[str]
-    #: n-gram -> a score for each language
-    scores: dict[str, np.ndarray]
+    #: n-gram -> its row of ``scores``; row 0 is that of n-grams nobody has shown
+    rows: dict[str, int]
+    #: a score for each n-gram and language
+    scores: np.ndarray
     #: script -> which languages use it
     users: dict[str, np.ndarray]
     penalty: float = SWITCH_PENALTY
-    _rows: dict[str, int] = field(default_factory=dict, repr=False)
-    _table: np.ndarray | None = field(default=None, repr=False)
-    _neutral: np.ndarray | None = field(default=None, repr=False)
-
-    def word_scores(self, word: str) -> tuple[np.ndarray, bool]:
-        """A score for each language, and whether the word is neutral."""
-        count = len(self.languages)
-        users = self.users.get(script_of(word[0]))
-        if users is None:
-            return np.zeros(count, np.float32), True
-        get = self.scores.get
-        found = [row for row in map(get, grams(word)) if row is not None]
-        total = np.add.reduce(found) if found else np.zeros(count)
-        return np.where(users, total, total.min() - 4 * self.penalty).astype(np.float32), False
+
+    def __post_init__(self) -> None:
+        self._forget(0)
+
+    def _forget(self, size: int) -> None:
+        self._known: dict[str, int] = {}
+        self._table = np.zeros((size, len(self.languages)), np.float32)
+        self._letters = np.zeros(size, np.int64)
+
+    def score_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A score for each word and language, and which words are neutral."""
+        found: list[int] = []
+        starts = []
+        get = self.rows.get
+        for word in words:
+            starts.append(len(found))
+            found += [get(gram, 0) for gram in grams(word)]
+        totals = np.add.reduceat(self.scores[found], starts, axis=0)
+        scripts = [script_of(word[0]) for word in words]
+        neutral = np.array([script not in self.users for script in scripts])
+        everyone = np.ones(len(self.languages), bool)
+        users = np.array([self.users.get(script, everyone) for script in scripts])
+        least = totals.min(1, keepdims=True) - 4 * self.penalty
+        return np.where(neutral[:, None], 0, np.where(users, totals, least)), neutral
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         """A row of the table of scores for each word."""
-        rows = self._rows
-        new = [word for word in dict.fromkeys(words) if word not in rows]
-        if self._table is None or len(rows) + len(new) > TABLE_SIZE:
-            rows.clear()
+        known = self._known
+        new = [word for word in dict.fromkeys(words) if word not in known]
+        if len(known) + len(new) > len(self._table):
             new = list(dict.fromkeys(words))
-            size = max(TABLE_SIZE, len(new))
-            self._table = np.zeros((size, len(self.languages)), np.float32)
-            self._neutral = np.zeros(size, bool)
-        for word in new:
-            at = rows[word] = len(rows)
-            self._table[at], self._neutral[at] = self.word_scores(word)
-        return np.fromiter(map(rows.__getitem__, words), np.int64, len(words))
-
-    def label(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """The Viterbi path of every list of words; all lists advance together, word by word."""
+            self._forget(max(TABLE_SIZE, len(new)))
+            known = self._known
+        if new:
+            at = len(known)
+            scores, neutral = self.score_words(new)
+            self._table[at : at + len(new)] = scores
+            self._letters[at : at + len(new)] = np.where(neutral, 0, list(map(len, new)))
+            known.update(zip(new, range(at, at + len(new)), strict=True))
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+    def label(self, texts: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The Viterbi path of every list of words, and the letters that each word counts for.
+
+        All lists advance together, word by word.
+        """
         lengths = np.array([len(words) for words in texts], np.int64)
-        paths = [np.zeros(n, np.int8) for n in lengths]
+        if not lengths.sum():
+            return [(np.zeros(0, np.int8), np.zeros(0, np.int64)) for _ in texts]
+        numbers = self._numbers([word for words in texts for word in words])
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         order = np.argsort(-lengths, kind="stable")
         order = order[lengths[order] > 0]
-        if not len(order):
-            return paths
-        numbers = self._numbers([word for words in texts for word in words])
-        first = np.concatenate([[0], np.cumsum(lengths)[:-1]])[order]
-        counts, longest = lengths[order], int(lengths.max())
+        first, counts, longest = starts[order], lengths[order], int(lengths.max())
         active = len(counts) - np.searchsorted(counts[::-1], np.arange(longest), side="right")
         base = np.concatenate([[0], np.cumsum(active)])
         came = np.zeros((int(base[-1]), len(self.languages)), np.int8)
         own = np.arange(len(self.languages), dtype=np.int8)
+        lines = np.arange(len(order))
         best = self._table[numbers[first]].astype(np.float64)
         ends = np.zeros(len(order), np.int8)
         for at in range(1, longest):
@@ -151,7 +168,7 @@ class LanguageModel:
                 ends[n : len(best)] = best[n:].argmax(1)
                 best = best[:n]
             top = best.argmax(1)
-            changed = best[np.arange(n), top] - self.penalty
+            changed = best[lines[:n], top] - self.penalty
             stays = best >= changed[:, None]
             came[base[at] : base[at + 1]] = np.where(stays, own, top[:, None])
             best = np.where(stays, best, changed[:, None]) + self._table[numbers[first[:n] + at]]
@@ -162,13 +179,12 @@ class LanguageModel:
             n = active[at]
             flat[base[at] : base[at] + n] = state[:n]
             if at:
-                state[:n] = came[base[at] + np.arange(n), state[:n]]
+                state[:n] = came[base[at] + lines[:n], state[:n]]
+        paths = [np.zeros(0, np.int8)] * len(texts)
         for rank, text in enumerate(order):
             paths[text] = flat[base[: counts[rank]] + rank]
-        return paths
-
-    def neutral(self, words: list[str]) -> np.ndarray:
-        return self._neutral[np.fromiter(map(self._rows.__getitem__, words), np.int64, len(words))]
+        letters = self._letters[numbers]
+        return [(path, letters[a : a + n]) for path, a, n in zip(paths, starts, lengths, strict=True)]
 
 
 def usable(lang: str = "lang") -> Column:
@@ -186,24 +202,20 @@ def learn(
 ) -> LanguageModel:
     """A model from labelled documents; rows without a language or an id are left out.
 
-    All rows are counted. The n-grams come from at most ``docs_per_language`` documents of each language, those with the
-    least hashes of their ids; the driver gets the ``max_grams`` most frequent of them.
+    All rows are counted. The n-grams come from ``docs_per_language`` documents of each language, or all if there are
+    fewer, chosen by the hash of their ids; the driver gets the ``max_grams`` most frequent of them.
     """
     labelled = docs.where(usable(lang_column) & F.col(id_column).isNotNull()).select(
         F.col(id_column).alias("id"), F.col(lang_column).alias("lang"), text_or_empty(text_column).alias("text")
     )
     sizes = {row["lang"]: row["n"] for row in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes, key=lambda name: (-sizes[name], name))
-    ranked = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = (
-        labelled.select("id", "lang")
-        .withColumn("place", F.row_number().over(ranked))
-        .where(F.col("place") <= docs_per_language)
-        .select("id", "lang")
-        .distinct()
-    )
+    # a row is read if the hash of its id lies below its language's share of the range
+    shares = [(name, int(HASH_RANGE * min(1.0, docs_per_language / size))) for name, size in sizes.items()]
+    chosen = docs.sparkSession.createDataFrame(shares, "lang string, below long")
     words = (
-        labelled.join(chosen, ["id", "lang"], "left_semi")
+        labelled.join(F.broadcast(chosen), "lang")
+        .where(F.pmod(F.xxhash64("id"), F.lit(HASH_RANGE)) < F.col("below"))
         .select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{M}]+)"), 1)).alias("word"))
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
@@ -240,13 +252,14 @@ def model_of(languages: list[str], counted: list[tuple[str, str, int]], penalty:
             scripts.setdefault(script_of(gram), np.zeros(len(languages)))[at[name]] += n
     kinds = np.bincount([len(gram) for gram in table], minlength=LONGEST_GRAM + 1) + 1
     weight = 1 / LONGEST_GRAM
-    scores = {
-        gram: weight * np.log((row + SMOOTHING) / (totals[len(gram)] + SMOOTHING * kinds[len(gram)]))
-        for gram, row in table.items()
-    }
+    rows = {gram: number for number, gram in enumerate(table, 1)}
+    scores = np.zeros((len(table) + 1, len(languages)))
+    for gram, row in table.items():
+        share = (row + SMOOTHING) / (totals[len(gram)] + SMOOTHING * kinds[len(gram)])
+        scores[rows[gram]] = weight * np.log(share)
     letters = np.maximum(sum(scripts.values(), np.zeros(len(languages))), 1)
     users = {name: row >= MIN_SCRIPT_SHARE * letters for name, row in scripts.items() if name}
-    return LanguageModel(languages, scores, {name: row for name, row in users.items() if row.any()}, penalty)
+    return LanguageModel(languages, rows, scores, {name: row for name, row in users.items() if row.any()}, penalty)
 
 
 def label_languages(
@@ -258,7 +271,7 @@ def label_languages(
         "lang_pred string", "score double", "spans array<struct<lang: string, first_word: int, n_words: int>>"
     )
     schema = T.StructType(kept + own.fields)
-    learned = (model.languages, model.scores, model.users, model.penalty)
+    learned = (model.languages, model.rows, model.scores, model.users, model.penalty)
     shared = docs.sparkSession.sparkContext.broadcast(learned)  # bounded by max_grams
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,11 +280,10 @@ def label_languages(
         arrow, own = to_arrow_schema(schema), LanguageModel(*shared.value)
         names = own.languages
 
-        def result(words: list[str], path: np.ndarray) -> tuple:
-            if not words or not names:
+        def result(words: list[str], path: np.ndarray, letters: np.ndarray) -> tuple:
+            if not words:
                 return UNDETERMINED, 0.0, []
-            letters = np.fromiter(map(len, words), np.int64, len(words))
-            held = np.bincount(path, weights=np.where(own.neutral(words), 0, letters), minlength=len(names))
+            held = np.bincount(path, weights=letters, minlength=len(names))
             top = int(held.argmax())
             starts = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1])
             sizes = np.diff(np.concatenate([starts, [len(path)]]))
@@ -279,10 +291,13 @@ def label_languages(
                 {"lang": names[path[a]], "first_word": int(a), "n_words": int(n)}
                 for a, n in zip(starts, sizes, strict=True)
             ]
-            return names[top], float(held[top] / letters.sum()), spans
+            return names[top], float(held[top] / sum(map(len, words))), spans
 
         def labelled(rows: pa.RecordBatch, texts: list[list[str]]) -> pa.RecordBatch:
-            made = [result(*one) for one in zip(texts, own.label(texts) if names else texts, strict=True)]
+            if names:
+                made = [result(words, *one) for words, one in zip(texts, own.label(texts), strict=True)]
+            else:
+                made = [(UNDETERMINED, 0.0, [])] * len(texts)
             new = [pa.array(list(v), f.type) for v, f in zip(zip(*made, strict=True), list(arrow)[len(kept) :], strict=True)]
             old = [column.cast(f.type) for column, f in zip(rows.columns[1:], arrow, strict=False)]
             return pa.RecordBatch.from_arrays([*old, *new], schema=arrow)
