@@ -16,6 +16,7 @@ from clearlot.llm import (
     language_id,
     line_dedup,
     quality_rules,
+    suffix_dedup,
     token_files,
     url_filter,
 )
@@ -80,6 +81,12 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the 50-byte strings that a document with a smaller id holds."""
+    return suffix_dedup.digest(suffix_dedup.without_repeats(table(spark, folder, "documents")))
+
+
 @query
 def op5_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
