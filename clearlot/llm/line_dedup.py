@@ -274,7 +274,10 @@ def without_repeated_lines(
     edits: int = EDITS,
     min_chars: int = MIN_CHARS,
 ) -> DataFrame:
-    """``docs`` with its columns, the text without its repeated lines, and ``removed``: the numbers of these lines."""
+    """``docs`` with its columns, the text without its repeated lines, ``n_lines`` and ``removed``.
+
+    ``n_lines`` is the number of lines before, ``removed`` are the numbers of the lines that are gone, or null.
+    """
     gone = staged(removed_lines(docs, id_column, text_column, edits, min_chars), "removed")
     gone = _small(gone.select(F.col("id").alias("__id"), F.col("digest").alias("__digest"), F.col("removed").alias("__removed")))
     text = text_or_empty(text_column)
@@ -283,5 +286,7 @@ def without_repeated_lines(
         F.filter(F.split(text, "\n", -1), lambda line, at: ~F.array_contains("__removed", at)), "\n"
     )
     cleaned = F.when(F.col("__removed").isNull(), F.col(text_column)).otherwise(left)
-    joined = docs.drop("removed").join(gone, same, "left")
-    return joined.withColumn(text_column, cleaned).withColumnRenamed("__removed", "removed").drop("__id", "__digest")
+    counted = F.when(F.col(text_column).isNull(), 0).otherwise(F.size(F.split(text, "\n", -1)))
+    joined = docs.drop("removed", "n_lines").join(gone, same, "left").withColumn("n_lines", counted)
+    named = joined.withColumn(text_column, cleaned).withColumn("removed", F.col("__removed"))
+    return named.drop("__id", "__digest", "__removed")

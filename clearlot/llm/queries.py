@@ -127,7 +127,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     gone = F.coalesce("removed", F.array().cast("array<int>"))
     return cleaned.select(
         "doc_id",
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)) + F.size(gone)).alias("n_lines"),
+        "n_lines",
         F.size(gone).alias("n_removed"),
         gone.alias("removed"),
         "text",
