@@ -12,24 +12,26 @@ and a set with empty partitions in no more than these still has a group that cou
 the signatures of another division of the domain, and so on; if that holds for one of two linked sets only, the other one
 has found it. The last of ``LEVELS`` divisions emits empty ones, too, so no pair is lost.
 
-Equal sets are one class, told by a 64-bit hash; only classes are compared. Shared signatures are only candidates, each
-verified by the sets themselves. Documents without words, or text, have an empty set and are linked with nothing.
+Equal sets are one class, told by a 64-bit hash; only classes are compared. Sets that share a signature are candidates if
+their parities, a bit for each of ``PARITIES`` cells of the domain, differ in no more places than linked sets can differ in
+elements; candidates are verified by the sets themselves. Documents without words, or text, have an empty set and are linked with nothing.
 Repeated rows are members of one class; a row without an id takes its class's component, and names none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearlot.llm.common import id_field, in_python, schema_of, text_or_empty
-from clearlot.llm.linking import components, link_groups
+from clearlot.llm.linking import link_groups
 from clearlot.session import staged
 
 #: Links: ALIKE[0] in ALIKE[1] of the union are common. Shingles are of so many words.
@@ -37,6 +39,8 @@ ALIKE = (80, 100)
 SHINGLE = 5
 PARTS, TOLERATED, LEVELS = 2, 1, 6
 SPARE = 0.08
+#: A multiple of 64.
+PARITIES = 1024
 #: Up to this many rows, a table of ids or keys is broadcast; more are shuffled.
 BROADCAST_ROWS = 500_000
 WORDS_KEPT = 500_000
@@ -139,6 +143,12 @@ class Signer:
         return np.concatenate(made)
 
 
+def parities(values: np.ndarray) -> list[int]:
+    """Whether an odd number of elements lies in each cell, 64 cells in one number."""
+    cells = np.bincount((mixed(values) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(cells.astype(np.uint8)).view(np.int64).tolist()
+
+
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -254,7 +264,7 @@ def _classified(
         "shared",
     )
     members = staged(
-        signs.join(_small(shared), "key").select("key", F.col("class").alias("id")).distinct(), "members"
+        signs.join(_small(shared), "key").select("key", F.col("class").alias("id")).distinct(), "shares"
     )
     wanted = (
         members.select(F.col("id").alias("class")).distinct().join(classes.withColumnRenamed("id", "its_id"), "class")
@@ -266,20 +276,29 @@ def _classified(
 
         def row(key, text) -> tuple:
             values = shingles(text)
-            return class_of(values), values.view(np.int64)
+            return class_of(values), len(values), parities(values), values.view(np.int64)
 
         return row
 
     # rows that share an id may hold other texts: the class found again tells them
     texts = own.join(_small(wanted.select(F.col("its_id").alias("id")).distinct()), "id", "left_semi")
     sets = staged(
-        in_python(texts, schema_of("id long", "shingles array<long>"), again, measure=1)
+        in_python(texts, schema_of("id long", "size long", "parity array<long>", "shingles array<long>"), again, measure=1)
         .join(wanted.select(F.col("class").alias("id")), "id", "left_semi")
         .dropDuplicates(["id"]),
         "sets",
     )
-    links = link_groups(members, lambda pairs: _linked(pairs, sets, alike))
-    roots = components(links)
+    words = [F.col("parity")[at].alias(f"parity{at}") for at in range(PARITIES // 64)]
+    members = members.join(sets.select("id", "size", *words), "id")
+
+    def near(one: DataFrame, other: DataFrame) -> Column:
+        differ = [
+            F.bit_count(F.col(f"one.parity{at}").bitwiseXOR(F.col(f"other.parity{at}"))) for at in range(len(words))
+        ]
+        size = F.col("one.size") + F.col("other.size")
+        return reduce(lambda a, b: a + b, differ) * (alike[0] + alike[1]) <= size * (alike[1] - alike[0])
+
+    roots = link_groups(staged(members, "members"), lambda pairs: _linked(pairs, sets, alike), near)
     # a component's number is its least document id
     named = (
         classes.withColumnRenamed("id", "least")

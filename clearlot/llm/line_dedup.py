@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clearlot.llm.common import schema_of, text_or_empty
-from clearlot.llm.linking import components, link_groups
+from clearlot.llm.linking import link_groups
 from clearlot.session import staged
 
 EDITS = 2
@@ -249,8 +249,7 @@ def removed_lines(
         sums_near = [apart(f"sum{at}") <= 2 * edits for at in range(SUMS)]
         return reduce(lambda a, b: a & b, sums_near, apart("chars") <= edits)
 
-    links = link_groups(members, lambda pairs: _verified(pairs, texts, edits), near)
-    roots = components(links).withColumnRenamed("id", "line")
+    roots = link_groups(members, lambda pairs: _verified(pairs, texts, edits), near).withColumnRenamed("id", "line")
     joined = roots.select("line", "root").unionByName(roots.select(F.col("root").alias("line"), "root").distinct())
     grouped = firsts.join(joined, "line")
     first_of = grouped.groupBy("root").agg(F.min("first").alias("keep"))

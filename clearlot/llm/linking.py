@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from clearlot.session import staged
 
 #: Pivots of a group in the first round, and how many times as many each further round has.
-FIRST_PIVOTS, MORE_PIVOTS = 1, 8
+FIRST_PIVOTS, MORE_PIVOTS = 1, 64
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -62,7 +62,7 @@ def link_groups(
     verify: Callable[[DataFrame], DataFrame],
     near: Callable[[DataFrame, DataFrame], Column] | None = None,
 ) -> DataFrame:
-    """The links that connect all members that any links connect: rows ``a, b``.
+    """The components that the true links among members of a group make, as ``components`` returns them.
 
     ``members`` has ``key`` and ``id``, without repeated rows, and further columns that belong to the id. ``verify``
     returns the true links among the pairs ``a, b`` that it gets. ``near`` may name a condition that linked rows of two
@@ -70,7 +70,7 @@ def link_groups(
     """
     extra = [name for name in members.columns if name not in ("key", "id")]
     members = members.withColumn("root", F.col("id"))
-    links = met = None
+    links = met = roots = None
     pivots = FIRST_PIVOTS
     while True:
         place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
@@ -92,13 +92,15 @@ def link_groups(
             pairs = pairs.join(met, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
         found = verify(pairs)
-        links = staged(found if links is None else links.unionByName(found), "links")
+        found = staged(found, "links")
         met = pairs if met is None else met.unionByName(pairs)
-        roots = components(links).withColumnRenamed("root", "found")
+        if links is None or not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            roots = components(links)
         rest = (
             members.join(chosen.select("key", "id"), ["key", "id"], "left_anti")
             .drop("root")
-            .join(roots, "id", "left")
+            .join(roots.withColumnRenamed("root", "found"), "id", "left")
             .select("key", "id", *extra, F.coalesce("found", "id").alias("root"))
         )
         open_keys = (
@@ -109,5 +111,5 @@ def link_groups(
         )
         members = staged(rest.join(open_keys, "key", "left_semi"), "members")
         if members.isEmpty():
-            return links
+            return roots
         pivots *= MORE_PIVOTS

@@ -44,8 +44,8 @@ def test_groups_without_all_pairs(spark):
         return pairs.where((F.col("a") < 500) & (F.col("b") < 500))
 
     rows = [(1, n) for n in range(500)] + [(2, n) for n in range(500, 512)] + [(3, 7), (3, 505)]
-    links = linking.link_groups(spark.createDataFrame(rows, "key long, id long"), verify)
-    assert linking.components(links).where("root = 0").count() == 499
+    roots = linking.link_groups(spark.createDataFrame(rows, "key long, id long"), verify)
+    assert roots.where("root = 0").count() == 499
     assert sum(seen) == 499 + 12 * 11 // 2 + 1
 
 
@@ -95,6 +95,15 @@ def test_similar_edge_documents(make_docs, no_docs, edge_texts):
     assert jaccard_join.one_of_each(no_docs).count() == 0
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.integers(0, 200), st.integers(0, 30), st.integers(0, 30), st.integers(0, 10**6))
+def test_parities_differ_no_more_than_sets(common, left, right, seed):
+    values = np.random.default_rng(seed).integers(0, 2**63, common + left + right).astype(np.uint64)
+    one, other = values[: common + left], np.concatenate([values[:common], values[common + left :]])
+    pairs = zip(jaccard_join.parities(one), jaccard_join.parities(other), strict=True)
+    assert sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in pairs) <= left + right
+
+
 def test_large_group_of_copies_is_one_component(spark, sentences):
     base = " ".join(sentences[:8]).split()
     rng = random.Random(9)
