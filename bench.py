@@ -72,13 +72,13 @@ def main() -> None:
     place = fresh_folder(spark, "bench")
     made = dataset.make_dataset(spark, ROWS, ROWS, as_of=AS_OF, variant=FAST)
     seconds["land_100k_100k"] = timed(
-        lambda: dataset.land_dataset(made, place, "tenant_acme", "2024-01-31", "20240131_060000")
+        lambda: dataset.land_dataset(made, place, "tenant_a", "2024-01-31", "20240131_060000")
     )
     database = f"bench_{place.rsplit('-', 1)[1]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{place}/db'")
     seconds["curate_100k_100k"] = timed(
         lambda: curation.run(
-            spark, place, "tenant_acme", "2024-01-31", database, f"{place}/curated", f"{place}/quarantine"
+            spark, place, "tenant_a", "2024-01-31", database, f"{place}/curated", f"{place}/quarantine"
         ).collect()
     )
     print(

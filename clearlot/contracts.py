@@ -142,6 +142,11 @@ QUALITY_COLUMNS = {"dq_violations": "array<string>", "is_valid": "boolean", "dq_
 CURATED_TABLE = {SUPPLIERS: "dim_suppliers_v1", PARTS: "dim_parts_v1"}
 CURATED_PARTITIONS = {SUPPLIERS: ("tenant_id",), PARTS: ("tenant_id", "category")}
 CURATED_BUCKETS = 16
+# Country codes of the synthetic suppliers, and the one that stands for none.
+COUNTRIES = ("CN", "US", "DE", "MX", "IN", "VN", "PL", "JP", "KR")
+BOGUS_COUNTRY = "XX"
+# Fixed value: rows per exchange file, and per curated file where a cap is wanted.
+ROWS_PER_FILE = 50_000
 
 # Columns the ingestion connector adds to landing files.
 CONNECTOR_COLUMNS = (
@@ -238,8 +243,3 @@ def contract_schema(entity: str) -> T.StructType:
 def curated_schema(entity: str) -> T.StructType:
     kinds = {**curated_types(entity), **QUALITY_COLUMNS}
     return T.StructType([T.StructField(name, _SPARK_TYPES[kind]) for name, kind in kinds.items()])
-
-
-def text_schema(entity: str) -> T.StructType:
-    """All contract columns as text, the shape of a header CSV file."""
-    return T.StructType([T.StructField(name, T.StringType()) for name in CONTRACT[entity]])

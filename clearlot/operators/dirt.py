@@ -24,61 +24,89 @@ FAST_KINDS = {
 }
 COPY_KIND = {C.SUPPLIERS: "duplicate_code", C.PARTS: "duplicate_part_number"}
 OUT_OF_RANGE_RATE = 104.0
-BOGUS_COUNTRY = "XX"
 WRONG_UNIT = "INVALID_UOM"
 FAST_WRONG_UNIT = "INVALID"
 
-_HASH_BITS = 16
+#: Bits of the hash that one step of the search looks at, and rows that one task may rank in the end.
+_STEP_BITS = 16
+_RANKED_ROWS = 10_000
 
 
-def exact_sample(frame: DataFrame, key: str, rate: float, seed: int, at_least: int = 0) -> Column:
-    """Condition that holds for exactly ``max(int(n * rate), at_least)`` of the frame's n rows.
+def _last_drawn(hashes: DataFrame, wanted: int) -> tuple[int, int, int]:
+    """The last of the ``wanted`` least values of column ``h``, how many rows have it and how many of these are drawn.
 
-    It takes the rows whose (hash, key) is smallest; ``key`` must identify a row. Nothing is sorted as a
-    whole: the counts per leading hash bits tell in which bucket the last wanted row lies, and only that
-    bucket, about one row in 65536, is ranked. Two jobs return one row each; the condition itself compares
-    with a constant.
+    Nothing is sorted as a whole. Counts by leading bits tell in which range the last row lies; the range is narrowed by
+    further bits until it is small. Each step returns one row to the driver.
     """
-    rank = F.struct(F.xxhash64(F.col(key), F.lit(seed), F.lit("sample")).alias("h"), F.col(key).alias("k"))
-    narrow = frame.select(rank.alias("_rank")).withColumn("_bucket", F.shiftright("_rank.h", 64 - _HASH_BITS))
-    counts = narrow.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    # At most 65536 rows from here on.
-    everything = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    running = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    wanted = F.greatest(F.floor(F.sum("_n").over(everything) * F.lit(float(rate))), F.lit(at_least))
-    edge = (
-        counts.select("_bucket", "_n", wanted.alias("_wanted"), F.sum("_n").over(running).alias("_reached"))
-        .where((F.col("_reached") >= F.col("_wanted")) & (F.col("_reached") - F.col("_n") < F.col("_wanted")))
-        .first()
-    )
-    if edge is None:
-        return F.lit(False)
-    still = edge["_wanted"] - (edge["_reached"] - edge["_n"])
-    in_edge = narrow.where(F.col("_bucket") == edge["_bucket"]).orderBy("_rank").limit(still)
-    last = in_edge.agg(F.max("_rank").alias("last")).first()["last"]
-    return rank <= F.struct(F.lit(last["h"]).alias("h"), F.lit(last["k"]).alias("k"))
+    for known in range(_STEP_BITS, 65, _STEP_BITS):
+        bucket = F.shiftright("h", 64 - known)
+        counts = hashes.groupBy(bucket.alias("_bucket")).agg(F.count("*").alias("_n"))  # 65536 rows at most
+        reached = F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0))
+        edge = counts.withColumn("_reached", reached).where(F.col("_reached") >= wanted).orderBy("_bucket").first()
+        wanted -= edge["_reached"] - edge["_n"]
+        hashes = hashes.where(bucket == edge["_bucket"])
+        if edge["_n"] <= _RANKED_ROWS:
+            break
+    reached = F.sum("_n").over(Window.orderBy("h").rowsBetween(Window.unboundedPreceding, 0))
+    ranks = hashes.groupBy("h").agg(F.count("*").alias("_n")).withColumn("_reached", reached)
+    last = ranks.where(F.col("_reached") >= wanted).orderBy("h").first()
+    return last["h"], last["_n"], wanted - (last["_reached"] - last["_n"])
+
+
+def _draw(frame: DataFrame, key: str, rate: float, seed: int) -> tuple[Column, Column | None, int]:
+    """A condition for the rows surely drawn, one for rows that are alike in every column, and how many of these are."""
+    hashed = F.xxhash64(F.col(key), F.lit(seed), F.lit("sample"))
+    hashes = frame.select(hashed.alias("h"))
+    wanted = int(hashes.count() * rate)
+    if wanted < 1:
+        return F.lit(False), None, 0
+    last, there, drawn = _last_drawn(hashes, wanted)
+    if drawn == there:
+        return hashed <= F.lit(last), None, 0
+    # rows that share the last key are told apart by all they hold
+    row = F.xxhash64(*frame.columns, F.lit(seed))
+    at = hashed == F.lit(last)
+    second, there, drawn = _last_drawn(frame.where(at).select(row.alias("h")), drawn)
+    if drawn == there:
+        return (hashed < F.lit(last)) | (at & (row <= F.lit(second))), None, 0
+    return (hashed < F.lit(last)) | (at & (row < F.lit(second))), at & (row == F.lit(second)), drawn
+
+
+def exact_sample(frame: DataFrame, key: str, rate: float, seed: int) -> Column:
+    """Condition that holds for exactly ``int(n * rate)`` of the frame's n rows, the same ones however it is partitioned.
+
+    It takes the rows whose key has the smallest hash; rows that share the last key are drawn by all of their columns.
+    Rows alike in every column are drawn together or not at all, so some may be missing at the edge; ``sample_rows`` is
+    exact for those, too.
+    """
+    return _draw(frame, key, rate, seed)[0]
 
 
 def sample_rows(frame: DataFrame, key: str, rate: float, seed: int) -> DataFrame:
-    """``int(n * rate)`` rows without replacement, the same ones however the frame is partitioned."""
-    return frame.where(exact_sample(frame, key, rate, seed))
+    """``int(n * rate)`` rows without replacement."""
+    drawn, alike, count = _draw(frame, key, rate, seed)
+    rows = frame.where(drawn)
+    return rows if alike is None else rows.unionByName(frame.where(alike).limit(count))
 
 
 def _overwrite(frame: DataFrame, changes: dict[str, Column]) -> DataFrame:
     return frame.select(*[changes.get(name, F.col(name)).alias(name) for name in frame.columns])
 
 
-def _copied_codes(pool: DataFrame, key: str, code: str, kind: str, seed: int) -> DataFrame:
-    """Rows of the copying kind with the code of another row of the pool, picked with equal chances."""
-    size = max(pool.count(), 1)
-    pool = number_rows(pool, key)
+def _copied_codes(frame: DataFrame, wanted: DataFrame, key: str, code: str, seed: int) -> DataFrame:
+    """For the wanted keys the code of another row of the whole table, picked with equal chances.
+
+    Keys and codes are numbered once; only the few numbers that were drawn are looked up.
+    """
+    table = staged(number_rows(frame.select(key, code), key), "codes")
+    size = table.count()
     draw = Draws(F.col(key), seed)
-    step = F.lit(1) + F.floor(draw.uniform("donor") * F.lit(size - 1)).cast("long")
-    wanted = pool.where(F.col("_kind") == kind).select(
-        F.col(key).alias("_key"), F.pmod(F.col("number") + step, F.lit(size)).alias("_donor")
+    step = F.lit(1) + F.floor(draw.uniform("donor") * F.lit(max(size - 1, 1))).cast("long")
+    drawn = table.join(wanted, key, "left_semi").select(
+        F.col(key).alias("_key"), F.pmod(F.col("number") + step, F.lit(max(size, 1))).alias("_donor")
     )
-    donors = pool.select(F.col("number").alias("_number"), F.col(code).alias("_code"))
-    return wanted.join(donors, F.col("_donor") == F.col("_number")).select("_key", "_code")
+    donors = table.select(F.col("number").alias("_number"), F.col(code).alias("_code"))
+    return drawn.join(donors, F.col("_donor") == F.col("_number")).select("_key", "_code")
 
 
 def inject_anomalies(
@@ -114,7 +142,7 @@ def inject_anomalies(
         changes |= {
             "on_time_delivery_rate": when("out_of_range_rate", F.lit(OUT_OF_RANGE_RATE), "on_time_delivery_rate"),
             "contact_email": when("missing_contact", nothing, "contact_email"),
-            "country": when("bogus_country", F.lit(BOGUS_COUNTRY), "country"),
+            "country": when("bogus_country", F.lit(C.BOGUS_COUNTRY), "country"),
         }
         if not fast:
             changes["contact_phone"] = when("missing_contact", nothing, "contact_phone")
@@ -132,9 +160,8 @@ def inject_anomalies(
         return damaged.drop("_kind")
 
     copying = F.coalesce(F.col("_kind") == COPY_KIND[entity], F.lit(False))
-    # Donors are the damaged rows, and at least two rows, so that the rest of the table need not be moved.
-    pool = marked.where(exact_sample(frame, key, rate, seed, at_least=2)).select(key, code, "_kind")
-    codes = _copied_codes(staged(pool, "damaged-rows"), key, code, COPY_KIND[entity], seed)
+    wanted = marked.where(copying).select(key)
+    codes = _copied_codes(frame, wanted, key, code, seed)
     recoded = damaged.where(copying).join(codes, F.col(key) == F.col("_key"), "left")
     recoded = _overwrite(recoded, {code: F.coalesce(F.col("_code"), F.col(code))})
     return damaged.where(~copying).drop("_kind").unionByName(recoded.drop("_kind", "_key", "_code"))

@@ -151,7 +151,8 @@ def fresh_rows(frame: DataFrame, as_of: Column, name: str = "source_timestamp")
 def incremental_rows(source: DataFrame, target: DataFrame, cursor: str) -> DataFrame:
     """Source rows newer than anything in the target; all of them while the target is empty.
 
-    The cursor is a scalar subquery, so it is read when the result is computed.
+    Rows without a cursor value are always among them, as nothing tells that they were loaded before; load them with an
+    upsert. The cursor is a scalar subquery, so it is read when the result is computed.
     """
     reached = target.agg(F.max(cursor)).scalar()
-    return source.where(reached.isNull() | (F.col(cursor) > reached))
+    return source.where(reached.isNull() | F.col(cursor).isNull() | (F.col(cursor) > reached))

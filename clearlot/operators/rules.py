@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from clearlot import contracts as C
 
 # A country code nobody has.
-BOGUS_COUNTRY = "XX"
 
 
 class Rule(NamedTuple):
@@ -48,7 +47,7 @@ def supplier_rules() -> list[Rule]:
         Rule("NEGATIVE_DEFECT_RATE", _number("defect_rate_ppm") < 0),
         Rule("INVALID_FINANCIAL_TIER", _unknown("financial_risk_tier", C.FINANCIAL_TIERS)),
         Rule("INVALID_STATUS", _unknown("approved_status", C.APPROVED_STATUSES)),
-        Rule("INVALID_COUNTRY_CODE", (F.length(country) != 2) | (country == BOGUS_COUNTRY)),
+        Rule("INVALID_COUNTRY_CODE", (F.length(country) != 2) | (country == C.BOGUS_COUNTRY)),
     ]
 
 

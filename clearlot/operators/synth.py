@@ -68,7 +68,7 @@ def _moment(as_of: str | None) -> Column:
 
 
 def synth_suppliers(
-    ids: DataFrame, seed: int = 42, tenant: str = "tenant_acme", as_of: str | None = None, variant: str = FULL
+    ids: DataFrame, seed: int = 42, tenant: str = "tenant_a", as_of: str | None = None, variant: str = FULL
 ) -> DataFrame:
     """Suppliers for the rows of ``ids`` (one bigint column). ``as_of`` fixes the clock.
 
@@ -228,7 +228,7 @@ def synth_parts(
     ids: DataFrame,
     parents: DataFrame | int,
     seed: int = 42,
-    tenant: str = "tenant_acme",
+    tenant: str = "tenant_a",
     as_of: str | None = None,
     variant: str = FULL,
 ) -> DataFrame:

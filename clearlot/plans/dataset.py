@@ -26,7 +26,7 @@ def make_dataset(
     supplier_rows: int,
     part_rows: int,
     seed: int = 42,
-    tenant: str = "tenant_acme",
+    tenant: str = "tenant_a",
     dirty_rate: float = 0.06,
     as_of: str | None = None,
     variant: str = FULL,

@@ -926,7 +926,7 @@ def injected_profile(spark: SparkSession, folder: str) -> DataFrame:
     seen = [
         F.col("on_time_delivery_rate") == dirt.OUT_OF_RANGE_RATE,
         F.col("contact_email").isNull(),
-        F.col("country") == dirt.BOGUS_COUNTRY,
+        F.col("country") == C.BOGUS_COUNTRY,
         late,
     ]
     marks = seen[0].cast("int")
@@ -974,10 +974,10 @@ def dataset_job(spark: SparkSession, folder: str) -> DataFrame:
     made = dataset.export_dataset(
         dataset.make_dataset(spark, rows, rows, as_of=AS_OF, variant=synth.FAST), f"{place}/files"
     )
-    dataset.land_dataset(made, place, "tenant_acme", "2024-01-31", "20240131_060000")
+    dataset.land_dataset(made, place, "tenant_a", "2024-01-31", "20240131_060000")
     database = f"dataset_{place.rsplit('-', 1)[1]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}/db'")
-    done = curation.run(spark, place, "tenant_acme", "2024-01-31", database, f"{place}/curated")
+    done = curation.run(spark, place, "tenant_a", "2024-01-31", database, f"{place}/curated")
     sound = 1 - 0.06 * 2 / 4
     sound_parts = (1 - 0.06 / 3) * (sound + sound**2 + sound**3) / 3
     predicted = (

@@ -58,9 +58,8 @@ def suppliers(spark: SparkSession, folder: str) -> DataFrame:
         "tenant_id": "concat('tenant_', n_regionkey)",
         "legal_name": f"CASE WHEN {k} % 17 <> 5 THEN s_name END",
         "dba_name": f"CASE WHEN {k} % 3 = 0 THEN concat(s_name, ' Trading') END",
-        # Two letters out of a row of nine codes.
-        "country": f"CASE WHEN {k} % 23 = 7 THEN 'XX' "
-        "ELSE substr('CNUSDEMXINVNPLJPKR', n_nationkey % 9 * 2 + 1, 2) END",
+        "country": f"CASE WHEN {k} % 23 = 7 THEN '{C.BOGUS_COUNTRY}' "
+        f"ELSE {_one_of(C.COUNTRIES, 'n_nationkey % 9')} END",
         "region": "NULL",
         "address_line1": f"concat('  ', {k} % 500, '  mill\\tLane ')",
         "address_line2": f"CASE WHEN {k} % 5 = 0 THEN concat('unit ', {k} % 100) WHEN {k} % 5 = 1 THEN '  ' END",

@@ -38,9 +38,9 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if folder:
         return folder.rstrip("/")
-    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -53,6 +53,13 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/clearlot/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it, in whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def staged(frame: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``frame`` once to the shared folder and read it back.
 

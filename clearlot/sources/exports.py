@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clearlot import contracts as C
-from clearlot.functions.lists import geo_to_columns, geo_to_json, is_array, lists_to_text, pin_header, text_to_list
+from clearlot.functions.lists import geo_to_columns, geo_to_json, is_array, list_to_json, lists_to_text, pin_header, text_to_list
+from clearlot.session import remove_folder
 
-# Rows per file, and what the database's ten-character unit column can hold of a bad unit.
-ROWS_PER_FILE = 50_000
+# What the database's ten-character unit column can hold of a bad unit.
 LONG_UNIT = "INVALID_UOM"
 SHORT_UNIT = "INVALID"
 
 
 def _write(frame: DataFrame, path: str, kind: str, rows_per_file: int | None, mode: str) -> bool:
-    """Write unless there is nothing to write."""
-    if frame.isEmpty():
+    """Write in one go. A new folder without rows is taken away again; an old one is not touched for an empty frame."""
+    if mode != "errorifexists" and frame.isEmpty():
         return False
-    writer = frame.write.mode(mode).option("compression", "snappy" if kind == "parquet" else "none")
+    seen = Observation()
+    writer = frame.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode).option("compression", "snappy" if kind == "parquet" else "none")
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     if kind == "csv":
@@ -27,6 +28,9 @@ def _write(frame: DataFrame, path: str, kind: str, rows_per_file: int | None, mo
             header=True, emptyValue="", escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
         )
     writer.format(kind).save(path)
+    if mode == "errorifexists" and seen.get["rows"] == 0:
+        remove_folder(frame.sparkSession, path)
+        return False
     return True
 
 
@@ -57,7 +61,7 @@ def write_csv_flat(frame: DataFrame, path: str, entity: str, mode: str = "errori
 
 
 def write_csv_chunked(
-    frame: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, mode: str = "errorifexists"
+    frame: DataFrame, path: str, rows_per_file: int = C.ROWS_PER_FILE, mode: str = "errorifexists"
 ) -> bool:
     """Header CSV in files of bounded length."""
     return _write(flat_json_geo(frame), path, "csv", rows_per_file, mode)
@@ -76,7 +80,7 @@ def stage_for_sql(frame: DataFrame, entity: str) -> DataFrame:
         value = F.col(name)
         if name in lists:
             items = value if is_array(frame, name) else text_to_list(value)
-            value = F.when(F.size(items) > 0, F.to_json(items))
+            value = list_to_json(items)
         elif kinds[name].startswith("struct"):
             value = F.to_json(value, {"ignoreNullFields": "false"})
         elif kinds[name].startswith("decimal"):

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from clearlot import contracts as C
 
+# Conditions that mean that a source is not there.
+MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 # Folder layouts .../processed/{tenant}/{entity}/{date}/{run}/... and .../{tenant}/{date}/{run}/...
 PROCESSED_LAYOUT = r"/processed/([^/]+)/([^/]+)/(\d{4}-\d{2}-\d{2})/(\d{8}_\d{6})/"
 UPLOAD_LAYOUT = r"/([^/]+)/(\d{4}-\d{2}-\d{2})/(\d{8}_\d{6})/([^/.]+)[^/]*"
@@ -63,8 +65,8 @@ def read_or_none(read, required: bool = False) -> DataFrame | None:
     """Run a reader; a missing source gives None, or the error when the source is required."""
     try:
         return read()
-    except AnalysisException:
-        if required:
+    except AnalysisException as error:
+        if required or error.getCondition() not in MISSING:
             raise
         return None
 
@@ -72,17 +74,15 @@ def read_or_none(read, required: bool = False) -> DataFrame | None:
 def read_csv(spark: SparkSession, path: str, entity: str, header: list[str] | None = None) -> DataFrame:
     """A header CSV with the contract's columns, all as text.
 
-    Every field is taken as written: the writer has no mark for NULL, so missing values and empty lists both
-    come back as the empty string.
+    Columns are told by the header, in whatever order the file has them; columns that it lacks are empty, others than
+    ``header`` (the contract's, unless given) are left out. The files of a folder share one header; a file with another
+    one is refused. Fields may hold line breaks, so a file is read by one task: ``write_csv_chunked`` keeps files short.
+    Every field is taken as written: the writer has no mark for NULL, so missing values and empty lists both come back as
+    the empty string.
     """
     names = header or C.columns(entity)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    frame = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("escape", '"')
-        .option("multiLine", False)
-        .csv(path)
-    )
-    return frame.na.fill("")
+    reader = spark.read.options(header=True, encoding="UTF-8", escape='"', multiLine=True, enforceSchema=False)
+    found = reader.csv(min(spark.read.text(path).inputFiles())).columns
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in found])
+    frame = reader.schema(schema).csv(path).na.fill("")
+    return frame.select(*[F.col(f"`{name}`") if name in found else F.lit("").alias(name) for name in names])
