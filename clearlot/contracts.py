@@ -140,7 +140,13 @@ CURATED_OVERRIDES = {
 }
 QUALITY_COLUMNS = {"dq_violations": "array<string>", "is_valid": "boolean", "dq_timestamp": "timestamp"}
 CURATED_TABLE = {SUPPLIERS: "dim_suppliers_v1", PARTS: "dim_parts_v1"}
-CURATED_PARTITIONS = {SUPPLIERS: ("tenant_id",), PARTS: ("tenant_id", "category")}
+# Columns that curated tables add: the run a row came from, a key of the tenant that is never empty, the landing date.
+LINEAGE_COLUMNS = {"landing_run_id": "string", "tenant_key": "string", "landing_date": "string"}
+CURATED_PARTITIONS = {
+    SUPPLIERS: ("tenant_key", "landing_date"),
+    PARTS: ("tenant_key", "landing_date", "category"),
+}
+UNDATED = "undated"
 CURATED_BUCKETS = 16
 # Country codes of the synthetic suppliers, and the one that stands for none.
 COUNTRIES = ("CN", "US", "DE", "MX", "IN", "VN", "PL", "JP", "KR")

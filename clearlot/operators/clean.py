@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,25 +42,38 @@ def drop_connector_metadata(frame: DataFrame) -> DataFrame:
     return frame.drop(*C.CONNECTOR_COLUMNS)
 
 
-def swap_share(frame: DataFrame, pattern: str, column: str = "tenant_id") -> DataFrame:
-    """One row: the share of non-empty values that look like the partner column's codes (0 without rows)."""
+#: Columns that tell apart what was ingested together, and so shares the fault or is sound.
+RUN_COLUMNS = ("landing_tenant", "landing_run_id", "source_file")
+
+
+def swap_share(frame: DataFrame, pattern: str, column: str = "tenant_id", by: tuple[str, ...] = ()) -> DataFrame:
+    """The share of non-empty values that look like the partner column's codes (0 without rows): one row, or one by run."""
     value = F.col(column)
     filled = F.count_if(value.isNotNull() & (value != ""))
-    return frame.agg(F.coalesce(F.try_divide(F.count_if(value.rlike(pattern)), filled), F.lit(0.0)).alias("share"))
+    share = F.coalesce(F.try_divide(F.count_if(value.rlike(pattern)), filled), F.lit(0.0)).alias("share")
+    return frame.groupBy(*by).agg(share) if by else frame.agg(share)
 
 
 def repair_swap(
     frame: DataFrame, entity: str, pattern: str | None = None, min_share: float = 0.5, column: str = "tenant_id"
 ) -> DataFrame:
-    """Exchange ``tenant_id`` with its partner column for the whole table when most rows give the fault away.
+    """Exchange ``tenant_id`` with its partner column in the runs whose rows mostly give the fault away.
 
-    All rows vote, so the outcome does not depend on row order, and a tenant whose name merely starts with
-    the prefix is left alone. The vote is a scalar subquery: nothing runs until the result is used.
-    ``pattern="^S"`` with ``min_share=0.0`` swaps as soon as any row carries the prefix.
+    All rows of a run vote, so the outcome does not depend on row order or on what else is read, and a tenant whose name
+    merely starts with the prefix is left alone. Runs are told by the ``RUN_COLUMNS`` that the frame has; without any the
+    whole frame is one run, and its vote a scalar subquery. ``pattern="^S"`` with ``min_share=0.0`` swaps as soon as any
+    row carries the prefix.
     """
-    partner = SWAP_PARTNER[entity]
-    swapped = swap_share(frame, pattern or SWAP_PATTERN[entity], column).scalar() > F.lit(min_share)
-    return frame.select(
+    partner, pattern = SWAP_PARTNER[entity], pattern or SWAP_PATTERN[entity]
+    runs = tuple(name for name in RUN_COLUMNS if name in frame.columns)
+    if runs:
+        votes = swap_share(frame, pattern, column, runs).where(F.col("share") > min_share)
+        votes = F.broadcast(votes.select(*[F.col(run).alias(f"_{run}") for run in runs], F.lit(True).alias("_swapped")))
+        same = reduce(lambda a, b: a & b, [F.col(run).eqNullSafe(F.col(f"_{run}")) for run in runs])
+        joined, swapped = frame.join(votes, same, "left"), F.col("_swapped")  # a vote is a row for each run
+    else:
+        joined, swapped = frame, swap_share(frame, pattern, column).scalar() > F.lit(min_share)
+    return joined.select(
         *[
             F.when(swapped, F.col(partner)).otherwise(F.col(name)).alias(name)
             if name == column

@@ -14,7 +14,8 @@ from clearlot.operators.rules import valid_rows
 def curated_projection(tagged: DataFrame, entity: str) -> DataFrame:
     """Curated columns in table order with table types.
 
-    ``data_source`` is always overwritten and the ingestion time is the time of writing.
+    ``data_source`` is always overwritten and the ingestion time is the time of writing. Landing date and run go along
+    where the rows have them.
     """
     frame = repair_geo(tagged) if entity == C.SUPPLIERS else tagged
     kinds = dict(frame.dtypes)
@@ -32,7 +33,7 @@ def curated_projection(tagged: DataFrame, entity: str) -> DataFrame:
         elif kind in ("double", "decimal(18,6)", "timestamp"):
             value = value.try_cast(kind)
         out.append(value.alias(name))
-    return frame.select(*out)
+    return frame.select(*out, *[name for name in ("landing_run_id", "landing_date") if name in kinds])
 
 
 def curated_rows(tagged: DataFrame, entity: str) -> DataFrame:

@@ -15,8 +15,15 @@ from clearlot.operators.members import DEFAULT_LIMITS, Limits
 from clearlot.operators.references import tag_parts
 from clearlot.operators.rules import tag_suppliers, valid_ids, valid_rows
 from clearlot.session import staged
-from clearlot.sources.landing import read_landing, read_or_none
-from clearlot.sources.tables import append_rows, create_curated_table, has_struct_column, table_name
+from clearlot.sources.landing import read_or_none, read_runs
+from clearlot.sources.tables import (
+    append_rows,
+    create_curated_table,
+    has_struct_column,
+    table_name,
+    with_partitions,
+    write_rejects,
+)
 
 
 @dataclass(frozen=True)
@@ -58,6 +65,18 @@ def report(tagged: Tagged, threshold: float = 99.0) -> DataFrame:
     return M.quality_gate(stacked, threshold).select("entity", "total", "valid", "pass_rate", "passed")
 
 
+def tenant_report(tagged: Tagged, threshold: float = 99.0) -> DataFrame:
+    """The same figures and gate for each landing tenant and entity."""
+    both = [(C.SUPPLIERS, tagged.suppliers), (C.PARTS, tagged.parts)]
+    rows = [
+        M.validation_metrics(frame, ["landing_tenant"]).withColumn("entity", F.lit(entity))
+        for entity, frame in both
+        if frame is not None
+    ]
+    stacked = rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+    return M.quality_gate(stacked, threshold).select("landing_tenant", "entity", "total", "valid", "pass_rate", "passed")
+
+
 def write_curated(
     spark: SparkSession,
     tagged: Tagged,
@@ -66,8 +85,13 @@ def write_curated(
     quarantine: str | None = None,
     replace: bool = False,
     buckets: int = C.CURATED_BUCKETS,
+    rows_per_file: int = 0,
+    replaced_too: DataFrame | None = None,
 ) -> dict[str, str]:
-    """Write valid rows to the curated tables and invalid ones to the quarantine folder, suppliers first."""
+    """Write valid rows to the curated tables and invalid ones to the quarantine folder, suppliers first.
+
+    With ``replace`` each tenant and landing date of the rows, and of ``replaced_too``, is replaced exactly.
+    """
     names = {}
     for entity, frame in ((C.SUPPLIERS, tagged.suppliers), (C.PARTS, tagged.parts)):
         if frame is None:
@@ -75,10 +99,13 @@ def write_curated(
         name = table_name(entity, database)
         place = f"{location}/{C.CURATED_TABLE[entity]}" if location else None
         create_curated_table(spark, entity, name, place, buckets=buckets)
-        append_rows(curated_projection(valid_rows(frame), entity), entity, name, replace)
+        # Tenants without a valid row, or without a rejected one, are replaced by nothing.
+        seen = with_partitions(frame).select("tenant_key", "landing_date").distinct()
+        replaced = seen if replaced_too is None else seen.unionByName(replaced_too)
+        valid = curated_projection(valid_rows(frame), entity)
+        append_rows(valid, entity, name, replace, rows_per_file, replaced if replace else None)
         if quarantine:
-            mode = "overwrite" if replace else "append"
-            quarantined_rows(frame).write.mode(mode).parquet(f"{quarantine}/{entity}")
+            write_rejects(quarantined_rows(frame), f"{quarantine}/{entity}", replace, replaced if replace else None)
         names[entity] = name
     return names
 
@@ -95,20 +122,30 @@ def run(
     threshold: float = 99.0,
     limits: Limits = DEFAULT_LIMITS,
     buckets: int = C.CURATED_BUCKETS,
+    rows_per_file: int = 0,
+    by_tenant: bool = False,
 ) -> DataFrame | None:
     """Curate one landing date. Without suppliers nothing is done; without parts only suppliers are curated.
 
-    A second run adds its rows again unless ``replace`` is set. Returns the report, or None.
+    ``tenant="*"`` curates all tenants that landed something. A second run adds its rows again unless ``replace`` is set:
+    then it replaces the same tenants' rows of the same date, and no others. Returns the report, with ``by_tenant`` one
+    for each landing tenant, or None.
     """
 
     def landed(entity: str) -> DataFrame | None:
-        frame = read_or_none(lambda: read_landing(spark, root, tenant, entity, run_date))
+        frame = read_or_none(lambda: read_runs(spark, root, tenant, entity, run_date))
         return None if frame is None else clean(frame, entity)
 
     suppliers = landed(C.SUPPLIERS)
     if suppliers is None:
         return None
     tagged = tag_both(suppliers, landed(C.PARTS), limits)
-    names = write_curated(spark, tagged, database, location, quarantine, replace, buckets)
+    asked = None
+    if replace and tenant != "*":
+        asked = spark.createDataFrame([(f"t_{tenant}", run_date)], "tenant_key string, landing_date string")
+    names = write_curated(
+        spark, tagged, database, location, quarantine, replace, buckets, rows_per_file, replaced_too=asked
+    )
     shaped = has_struct_column(spark, names[C.SUPPLIERS])
-    return report(tagged, threshold).withColumn("geo_is_struct", F.lit(shaped))
+    made = tenant_report(tagged, threshold) if by_tenant else report(tagged, threshold)
+    return made.withColumn("geo_is_struct", F.lit(shaped))

@@ -769,7 +769,7 @@ def reload_twice(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def compacted_table(spark: SparkSession, folder: str) -> DataFrame:
     name = _curated_twice(spark, folder, replace=False)
-    tables.compact_partitions(spark, name, C.SUPPLIERS, "tenant_id IS NOT NULL")
+    tables.compact_partitions(spark, name, C.SUPPLIERS, {"landing_date": C.UNDATED})
     return tables.read_table(spark, name).groupBy("supplier_id").agg(F.count("*").alias("rows"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,67 @@ def read_landing(
     return reader.parquet(landing_glob(root, tenant, entity, run_date))
 
 
+def run_paths(spark: SparkSession, root: str, tenant: str, entity: str, run_date: str) -> list[str]:
+    """The landed files and folders of one date, run by run."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(landing_glob(root, tenant, entity, run_date))
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(status.getPath().toString() for status in system.globStatus(place) or [])
+
+
+def read_runs(spark: SparkSession, root: str, tenant: str, entity: str, run_date: str) -> DataFrame:
+    """All runs of one date with their lineage, whatever columns and types each run has.
+
+    Each run is read by its own schema. A column that only some runs have is NULL in the others. Where the types of a
+    column differ it becomes text: numbers as they print, lists as comma text, structs as JSON, as the job's repairs
+    expect. Runs of one schema are read together. A date without runs is an error, as for any reader.
+    """
+    paths = run_paths(spark, root, tenant, entity, run_date)
+    if not paths:
+        return with_lineage(read_landing(spark, root, tenant, entity, run_date))  # says what is missing
+    base = f"{root.rstrip('/')}/processed"
+    alike: dict[str, list[str]] = {}
+    for path in paths:
+        alike.setdefault(spark.read.option("mergeSchema", "true").parquet(path).schema.json(), []).append(path)
+    schemas = {text: T.StructType.fromJson(json.loads(text)) for text in alike}
+    kinds: dict[str, set[str]] = {}
+    for schema in schemas.values():
+        for field in schema.fields:
+            kinds.setdefault(field.name, set()).add(field.dataType.simpleString())
+    frames = []
+    for text, files in alike.items():
+        frame = with_lineage(spark.read.schema(schemas[text]).option("basePath", base).parquet(*files))
+        frames.append(frame.withColumns({
+            field.name: _as_text(F.col(field.name), field.dataType)
+            for field in schemas[text].fields
+            if len(kinds[field.name]) > 1
+        }))
+    first, *rest = frames
+    for frame in rest:
+        first = first.unionByName(frame, allowMissingColumns=True)
+    return first
+
+
+def _as_text(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.ArrayType):
+        return F.array_join(value, ",")
+    if isinstance(kind, T.StructType):
+        return F.to_json(value, {"ignoreNullFields": "false"})
+    return value.cast("string")
+
+
+def run_drift(spark: SparkSession, root: str, tenant: str, entity: str, run_date: str) -> DataFrame:
+    """A row for each run and column that some runs lack or hold in another type: its type there, or ``missing``."""
+    found = {}
+    for path in run_paths(spark, root, tenant, entity, run_date):
+        fields = spark.read.option("mergeSchema", "true").parquet(path).schema.fields
+        found[path] = {field.name: field.dataType.simpleString() for field in fields}
+    names = sorted({name for kinds in found.values() for name in kinds})
+    drifting = [name for name in names if len({kinds.get(name, "missing") for kinds in found.values()}) > 1]
+    rows = [(path.split("/")[-2], name, kinds.get(name, "missing")) for path, kinds in found.items() for name in drifting]
+    return spark.createDataFrame(rows, "landing_run_id string, field string, type string")
+
+
 def _source_path() -> Column:
     """The path of a row's file as it was written; Spark reports it with percent signs for special characters."""
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))

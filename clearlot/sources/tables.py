@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clearlot import contracts as C
 from clearlot.operators.members import DEFAULT_LIMITS, Limits, members_only
 from clearlot.operators.merge import upsert_entity
-from clearlot.session import fresh_folder, staged
-
-# Fixed value: rows per curated file where a cap is wanted.
-ROWS_PER_FILE = 50_000
+from clearlot.session import fresh_folder, remove_folder, staged
 
 
 def table_name(entity: str, database: str | None = None) -> str:
@@ -30,14 +29,14 @@ def create_curated_table(
 ) -> str:
     """Create the curated table unless it exists; returns its name.
 
-    Partitioned by tenant (parts also by category) and bucketed by primary key, so a tenant's rows are found
+    Partitioned by tenant and landing date (parts also by category) and bucketed by primary key, so a tenant's rows are found
     by pruning and key joins between curated tables need no shuffle. Such a join runs with one task per
     bucket: give a table of many terabytes thousands of buckets, or 0 for none.
     """
     name = name or table_name(entity)
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    kinds = {**C.curated_types(entity), **C.QUALITY_COLUMNS}
+    kinds = {**C.curated_types(entity), **C.QUALITY_COLUMNS, **C.LINEAGE_COLUMNS}
     body = ", ".join(f"{column} {kind}" for column, kind in kinds.items())
     where = f"LOCATION '{location}'" if location else ""
     clustered = f"CLUSTERED BY ({C.PRIMARY_KEY[entity]}) INTO {buckets} BUCKETS" if buckets else ""
@@ -65,34 +64,104 @@ def sized_for_write(frame: DataFrame, partitions: tuple[str, ...], key: str, buc
     return bucketed.hint("rebalance", *partitions, "_bucket").drop("_bucket")
 
 
-@contextmanager
-def _replace_only_written_partitions(spark: SparkSession):
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
+def with_partitions(frame: DataFrame) -> DataFrame:
+    """Add what a curated table is partitioned by, and the run, where the frame lacks them.
+
+    The empty text is a tenant like any other, and a file table would store it as NULL; so the key of a tenant is its
+    name after ``t_``, and ``null`` where there is none.
+    """
+    key = F.when(F.col("tenant_id").isNull(), F.lit("null")).otherwise(F.concat(F.lit("t_"), F.col("tenant_id")))
+    missing = {"landing_run_id": F.lit(None).cast("string"), "landing_date": F.lit(C.UNDATED)}
+    added = {name: value for name, value in missing.items() if name not in frame.columns}
+    return frame.withColumns({"tenant_key": key, **added})
+
+
+def _full_name(spark: SparkSession, name: str) -> str:
+    return name if "." in name else f"{spark.catalog.currentDatabase()}.{name}"
+
+
+def _writing_session(spark: SparkSession, mode: str, rows_per_file: int = 0) -> SparkSession:
+    """A session of its own, so that its settings do not reach other jobs of the caller's."""
+    own = spark.newSession()
+    for setting in ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone"):
+        own.conf.set(setting, spark.conf.get(setting))
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    own.conf.set("spark.sql.files.maxRecordsPerFile", str(rows_per_file))
+    return own
+
+
+def _insert(ready: DataFrame, entity: str, name: str, overwrite: bool, rows_per_file: int = 0) -> None:
+    """Insert a frame that is read from files; with ``overwrite`` the partitions that it has rows for are replaced."""
+    spark = ready.sparkSession
+    path = fresh_folder(spark, "insert")
+    ready.write.parquet(path)
+    own = _writing_session(spark, "dynamic", rows_per_file)
+    name = _full_name(spark, name)
+    rows = own.read.schema(ready.schema).parquet(path)
+    sized = sized_for_write(rows, C.CURATED_PARTITIONS[entity], C.PRIMARY_KEY[entity], bucket_count(spark, name))
+    sized.select(*spark.table(name).columns).write.insertInto(name, overwrite=overwrite)
+    spark.catalog.refreshTable(name)
+    remove_folder(spark, path)
+
+
+def _partitions(spark: SparkSession, name: str) -> list[dict[str, str]]:
+    """The partitions of a table as its catalog lists them."""
+    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    return [{k: unquote(v) for k, v in (part.split("=", 1) for part in row[0].split("/"))} for row in rows]
+
+
+def _empty_partitions(spark: SparkSession, entity: str, name: str, chosen: list[dict[str, str]]) -> None:
+    """Take all rows out of some partitions."""
+    if not chosen:
+        return
+    name = _full_name(spark, name)
+    own = _writing_session(spark, "static")
+    table = spark.table(name)
+    columns = [field for field in table.schema.fields if field.name not in C.CURATED_PARTITIONS[entity]]
+    own.createDataFrame([], T.StructType(columns)).createOrReplaceTempView("no_rows")
+    for partition in chosen:
+        values = ", ".join("{} = '{}'".format(k, v.replace("\\", "\\\\").replace("'", "\\'")) for k, v in partition.items())
+        own.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({values}) SELECT * FROM no_rows")
+    spark.catalog.refreshTable(name)
 
 
 def append_rows(
-    frame: DataFrame, entity: str, name: str, replace: bool = False, rows_per_file: int = 0
+    frame: DataFrame,
+    entity: str,
+    name: str,
+    replace: bool = False,
+    rows_per_file: int = 0,
+    replaced: DataFrame | None = None,
 ) -> None:
     """Append rows by column name. A second run of the same input adds them again.
 
-    ``rows_per_file`` caps the length of a file (``ROWS_PER_FILE`` gives many small ones); 0 sets no cap.
-
-    With ``replace`` the partitions present in ``frame`` are overwritten instead, so a rerun changes nothing.
+    With ``replace`` the tenants and landing dates of the frame, and those of ``replaced`` (columns ``tenant_key`` and
+    ``landing_date``), are replaced exactly: what they held before is gone, also where they have no row now, and nothing
+    else is touched. ``rows_per_file`` caps the length of a file; 0 sets no cap.
     """
     spark = frame.sparkSession
-    ready = sized_for_write(frame, C.CURATED_PARTITIONS[entity], C.PRIMARY_KEY[entity], bucket_count(spark, name))
-    writer = ready.select(*spark.table(name).columns).write.option("maxRecordsPerFile", rows_per_file)
-    if not replace:
-        writer.insertInto(name)
+    ready = with_partitions(frame).select(*spark.table(name).columns)
+    if not replace and not rows_per_file:
+        partitions = C.CURATED_PARTITIONS[entity]
+        sized_for_write(ready, partitions, C.PRIMARY_KEY[entity], bucket_count(spark, name)).write.insertInto(name)
         return
-    with _replace_only_written_partitions(spark):
-        writer.insertInto(name, overwrite=True)
+    ready = staged(ready, "append")
+    if replace:
+        parts = list(C.CURATED_PARTITIONS[entity])
+        written = ready.select(*parts).distinct()
+        pairs = written.select("tenant_key", "landing_date")
+        if replaced is not None:
+            pairs = pairs.unionByName(replaced.select("tenant_key", "landing_date"))
+        # A row for each tenant and date of the run, and for each partition that it writes.
+        chosen = {tuple(row) for row in pairs.distinct().collect()}
+        kept = {tuple(row) for row in written.collect()}
+        stale = [
+            one
+            for one in _partitions(spark, name)
+            if (one["tenant_key"], one["landing_date"]) in chosen and tuple(one[part] for part in parts) not in kept
+        ]
+        _empty_partitions(spark, entity, name, stale)
+    _insert(ready, entity, name, replace, rows_per_file)
 
 
 def upsert_rows(batch: DataFrame, entity: str, name: str, limits: Limits = DEFAULT_LIMITS) -> None:
@@ -104,11 +173,13 @@ def upsert_rows(batch: DataFrame, entity: str, name: str, limits: Limits = DEFAU
     spark = batch.sparkSession
     key, partitions = C.PRIMARY_KEY[entity], list(C.CURATED_PARTITIONS[entity])
     base = spark.table(name)
-    batch = staged(batch, "upsert-batch")
+    batch = staged(with_partitions(batch).select(*base.columns), "upsert-batch")
     holding = members_only(base.select(key, *partitions), key, batch.select(key), limits)
     touched = holding.select(*partitions).unionByName(batch.select(*partitions)).distinct()
-    merged = upsert_entity(base.join(touched, partitions, "left_semi"), batch, entity, limits)
-    append_rows(staged(merged, "upsert"), entity, name, replace=True)
+    touched = touched.withColumnsRenamed({part: f"_{part}" for part in partitions})
+    same = reduce(lambda a, b: a & b, [F.col(part).eqNullSafe(F.col(f"_{part}")) for part in partitions])
+    merged = upsert_entity(base.join(touched, same, "left_semi"), batch, entity, limits)
+    _insert(staged(merged.select(*base.columns), "upsert"), entity, name, overwrite=True)
 
 
 def overwrite_partitions(frame: DataFrame, path: str, partitions: tuple[str, ...]) -> None:
@@ -122,16 +193,39 @@ def overwrite_partitions(frame: DataFrame, path: str, partitions: tuple[str, ...
     )
 
 
-def compact_partitions(spark: SparkSession, name: str, entity: str, where: str) -> None:
-    """Rewrite the partitions that ``where`` selects into few large files, rows unchanged.
+def compact_partitions(spark: SparkSession, name: str, entity: str, values: dict[str, str] | None = None) -> None:
+    """Rewrite the partitions with the given values, or all, into few large files, rows unchanged.
 
-    ``where`` must name whole partitions. The rows go through the shared folder first, because a table
-    cannot be overwritten while it is read.
+    Only partition columns can be named: whole partitions are rewritten. The rows go through the shared folder first,
+    because a table cannot be overwritten while it is read.
     """
-    path = fresh_folder(spark, "compact")
-    chosen = spark.table(name).where(where)
-    chosen.write.parquet(path)
-    append_rows(spark.read.schema(chosen.schema).parquet(path), entity, name, replace=True)
+    values = values or {}
+    if unknown := set(values) - set(C.CURATED_PARTITIONS[entity]):
+        raise ValueError(f"no partition columns: {', '.join(sorted(unknown))}")
+    chosen = spark.table(name)
+    for column, value in values.items():
+        chosen = chosen.where(F.col(column) == value)
+    _insert(staged(chosen, "compact"), entity, name, overwrite=True)
+
+
+def write_rejects(frame: DataFrame, path: str, replace: bool = False, replaced: DataFrame | None = None) -> None:
+    """Add rejected rows to a folder by tenant and landing date; ``replace`` works as in ``append_rows``."""
+    spark = frame.sparkSession
+    ready = with_partitions(frame)
+    keys = ["tenant_key", "landing_date"]
+    if replace:
+        ready = staged(ready, "rejects")
+        written = ready.select(*keys).distinct()
+        pairs = written if replaced is None else written.unionByName(replaced.select(*keys))
+        quoted = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+        for tenant, date in {tuple(row) for row in pairs.collect()} - {tuple(row) for row in written.collect()}:
+            remove_folder(spark, f"{path}/tenant_key={quoted(tenant)}/landing_date={quoted(date)}")
+    writer = ready.hint("rebalance", *keys).write.partitionBy(*keys)
+    if replace:
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = writer.mode("append")
+    writer.parquet(path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

@@ -23,7 +23,8 @@ def curate_new_files(
 ) -> None:
     """Clean, tag and store every file not yet seen, then stop.
 
-    Rows are stored by validity, so ``is_valid=true`` below ``target`` is the curated part and
+    Exchanged columns are found file by file (``watch_folder`` with ``with_file``), so the result does not depend on how
+    many files a batch takes. Rows are stored by validity, so ``is_valid=true`` below ``target`` is the curated part and
     ``is_valid=false`` the quarantine with its reasons. Parts need the ids of valid suppliers.
     """
     if entity == C.PARTS and supplier_ids is None:

@@ -5,19 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def watch_folder(
-    spark: SparkSession, path: str, schema: T.StructType, pattern: str | None = None, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: T.StructType, pattern: str | None = None, files_per_batch: int | None = None,
+    with_file: bool = False,
 ) -> DataFrame:
-    """A stream of the Parquet files that are or will be below ``path``, a bounded number at a time if wanted."""
+    """A stream of the Parquet files that are or will be below ``path``, a bounded number at a time if wanted.
+
+    ``source_file`` names each row's file, with ``with_file``.
+    """
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.parquet(path)
+    rows = reader.parquet(path)
+    return rows.withColumn("source_file", F.col("_metadata.file_path")) if with_file else rows
 
 
 def load_new_files(

@@ -125,7 +125,7 @@ def test_curated_table(spark, place, folder):
     name = tables.create_curated_table(spark, C.SUPPLIERS, f"{database(spark, place)}.s", f"{place}/s")
     assert tables.create_curated_table(spark, C.SUPPLIERS, name, f"{place}/s") == name
     assert spark.table(name).schema.simpleString().count("struct<lat:double,lon:double>") == 1
-    assert len(spark.table(name).columns) == 36 and tables.has_struct_column(spark, name)
+    assert len(spark.table(name).columns) == 39 and tables.has_struct_column(spark, name)
     rows = curate.curated_rows(rules.tag_suppliers(suppliers(spark, folder)), C.SUPPLIERS)
     wanted = rows.count()
     tables.append_rows(rows, C.SUPPLIERS, name)
@@ -133,18 +133,39 @@ def test_curated_table(spark, place, folder):
     assert tables.row_count(spark, name) == 2 * wanted
     tables.append_rows(rows, C.SUPPLIERS, name, replace=True)
     assert tables.row_count(spark, name) == wanted
-    # Only the tenants that are written are replaced.
+    # Only the tenants that are written, or named, are replaced.
     one = rows.where("tenant_id = 'tenant_0'")
     tables.append_rows(one.limit(0), C.SUPPLIERS, name, replace=True)
     assert tables.row_count(spark, name) == wanted
     tables.append_rows(one, C.SUPPLIERS, name)
     tables.append_rows(one, C.SUPPLIERS, name, replace=True)
     assert tables.row_count(spark, name) == wanted
-    pruned = plan_of(spark.table(name).where("tenant_id = 'tenant_0'"))
-    assert "PartitionFilters: [isnotnull(tenant_id" in pruned
+    pruned = plan_of(spark.table(name).where("tenant_key = 't_tenant_0'"))
+    assert "PartitionFilters: [isnotnull(tenant_key" in pruned
     before = rows_of(spark.table(name), "supplier_id", "risk_score")
-    tables.compact_partitions(spark, name, C.SUPPLIERS, "tenant_id = 'tenant_0'")
+    tables.compact_partitions(spark, name, C.SUPPLIERS, {"tenant_key": "t_tenant_0"})
     assert rows_of(spark.table(name), "supplier_id", "risk_score") == before
+    with pytest.raises(ValueError, match="country"):
+        tables.compact_partitions(spark, name, C.SUPPLIERS, {"country": "CN"})
+    gone = spark.createDataFrame([("t_tenant_0", C.UNDATED)], "tenant_key string, landing_date string")
+    tables.append_rows(one.limit(0), C.SUPPLIERS, name, replace=True, replaced=gone)
+    assert rows_of(spark.table(name), "supplier_id") == rows_of(rows.where("tenant_id <> 'tenant_0'"), "supplier_id")
+
+
+def test_empty_tenant_is_kept(spark, place, folder):
+    name = tables.create_curated_table(spark, C.SUPPLIERS, f"{database(spark, place)}.e", f"{place}/e", buckets=2)
+    rows = curate.curated_rows(rules.tag_suppliers(suppliers(spark, folder)), C.SUPPLIERS)
+    rows = staged(rows.withColumn("tenant_id", F.lit("")), "rows")
+    tables.append_rows(rows, C.SUPPLIERS, name)
+    tables.upsert_rows(rows.limit(1).withColumn("supplier_id", F.lit("new")), C.SUPPLIERS, name)
+    assert spark.table(name).where("tenant_id = ''").count() == rows.count() + 1
+
+
+def test_rows_per_file(spark, place, folder):
+    name = tables.create_curated_table(spark, C.SUPPLIERS, f"{database(spark, place)}.f", f"{place}/f", buckets=0)
+    rows = curate.curated_rows(rules.tag_suppliers(suppliers(spark, folder)), C.SUPPLIERS)
+    tables.append_rows(rows.withColumn("tenant_id", F.lit("one")), C.SUPPLIERS, name, rows_per_file=2)
+    assert len(spark.table(name).inputFiles()) >= -(-rows.count() // 2)
 
 
 def test_parts_table_layout(spark, place):
@@ -198,7 +219,7 @@ def test_table_upsert_rewrites_only_touched_partitions(spark, place, folder):
     changed = after.where(F.col("supplier_id") == chosen["supplier_id"]).first()
     assert (changed["risk_score"], changed["tenant_id"], changed["city"]) == (1.0, chosen["tenant_id"], chosen["city"])
     kept = before & set(after.inputFiles())
-    assert kept == {path for path in before if f"tenant_id={chosen['tenant_id']}/" not in path}
+    assert kept == {path for path in before if f"tenant_key=t_{chosen['tenant_id']}/" not in path}
 
 
 def land(spark, root, folder, with_parts=True):
