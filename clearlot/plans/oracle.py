@@ -900,3 +900,94 @@ ORACLE["sampled_rows"] = (
 ORACLE["dataset_job"] = """
 SELECT 'suppliers' AS entity, count(*) AS total, true AS as_predicted FROM customer
 UNION ALL SELECT 'parts', count(*), true FROM customer UNION ALL SELECT 'overall', 2 * count(*), true FROM customer"""
+
+# ---------------------------------------------------------------- reloads, runs and tenants
+
+_KEPT = "count(*) FILTER (WHERE violations = '') AS kept"
+_REFUSED = "count(*) FILTER (WHERE violations <> '') AS refused"
+ORACLE["reload_second_date"] = _sql(
+    _ST,
+    f"""SELECT d AS landing_date, {_KEPT}, {_REFUSED}
+    FROM sup_tag, (VALUES ('2024-01-30'), ('2024-01-31')) AS dates(d) GROUP BY 1""",
+)
+ORACLE["reload_to_empty"] = _sql(
+    _ST,
+    f"""SELECT '2024-01-30' AS landing_date, {_KEPT}, {_REFUSED} FROM sup_tag
+    UNION ALL SELECT '2024-01-31', 0, count(*) FROM sup_tag""",
+)
+ORACLE["quarantine_two_tenants"] = _sql(
+    _ST,
+    """SELECT t AS tenant_id, '20240131_060000' AS landing_run_id, count(*) AS rows
+    FROM sup_tag, (VALUES ('tenant_a'), ('tenant_b')) AS tenants(t) WHERE violations <> '' GROUP BY 1""",
+)
+ORACLE["curated_lineage"] = _sql(
+    _ST,
+    """SELECT '2024-01-31' AS landing_date, r AS landing_run_id, count(*) AS rows
+    FROM sup_tag, (VALUES ('20240131_060000'), ('20240131_180000')) AS runs(r) WHERE violations = '' GROUP BY ALL""",
+)
+ORACLE["all_tenants_job"] = _sql(
+    _ST,
+    f"""SELECT 'tenant_a' AS landing_tenant, 'suppliers' AS entity, {_METRICS} AS pass_rate,
+      100.0 * count(*) FILTER (WHERE violations = '') >= 50 * count(*) AS passed FROM sup_tag
+    UNION ALL SELECT 'tenant_b', 'suppliers', count(*), 0, 0.0, false FROM sup_tag""",
+)
+ORACLE["upsert_empty_tenant"] = _sql(
+    _ST,
+    """SELECT supplier_id, '' AS tenant_id, CASE WHEN supplier_id LIKE '%7' THEN 1.0 ELSE risk_score END AS risk_score
+    FROM sup_tag WHERE violations = ''
+    UNION ALL SELECT supplier_id || '-new', '', 1.0 FROM sup_tag WHERE violations = '' AND supplier_id LIKE '%7'""",
+)
+ORACLE["repair_swap_mixed_runs"] = _sql(
+    _S,
+    """SELECT '20240131_060000' AS landing_run_id, supplier_id, tenant_id, supplier_code FROM sup
+    UNION ALL SELECT '20240131_180000', supplier_id, tenant_id, 'S' || (k % 900000 + 100000) FROM sup""",
+)
+ORACLE["landing_type_drift"] = _sql(
+    _S,
+    """SELECT r AS landing_run_id, count(*) AS rows, CAST(sum(defect_rate_ppm) AS BIGINT) AS ppm
+    FROM sup, (VALUES ('20240131_060000'), ('20240131_180000')) AS runs(r) GROUP BY 1""",
+)
+ORACLE["landing_column_drift"] = _sql(
+    _S,
+    """SELECT '20240131_060000' AS landing_run_id, count(*) AS rows, 0 AS named, 'legal_name' AS field, 'missing' AS type
+    FROM sup UNION ALL SELECT '20240131_180000', count(*), count(legal_name), 'legal_name', 'string' FROM sup""",
+)
+ORACLE["roundtrip_csv_newlines"] = _sql(
+    _P,
+    """SELECT part_id, 'say "' || description || '",' || chr(10) || 'line two' || chr(10) || part_id AS description, uom
+    FROM prt""",
+)
+ORACLE["roundtrip_csv_reordered"] = _sql(
+    _P, "SELECT part_id, tenant_id, description, uom, '' AS category FROM prt"
+)
+ORACLE["incremental_null_cursor"] = """
+SELECT event_id % 10 = 3 AS undated, count(*) AS rows FROM events
+WHERE event_id % 10 = 3 OR ts > (SELECT max(ts) FROM events WHERE event_id % 10 <> 3 AND ts <= TIMESTAMP '2024-01-20 00:00:00')
+GROUP BY 1"""
+_FAULTY_SUPPLIERS = """
+faulty AS (SELECT * REPLACE (
+  CASE WHEN k % 9 <> 4 THEN supplier_id END AS supplier_id, CASE WHEN k % 8 <> 3 THEN tenant_id END AS tenant_id,
+  CASE WHEN k % 7 = 2 THEN -1 ELSE defect_rate_ppm END AS defect_rate_ppm,
+  CASE WHEN k % 6 = 5 THEN 'NONE' ELSE financial_risk_tier END AS financial_risk_tier) FROM sup)"""
+_FAULTY_PARTS = """
+faulty AS (SELECT * REPLACE (
+  CASE WHEN k % 9 <> 4 THEN part_id END AS part_id, CASE WHEN k % 8 <> 3 THEN tenant_id END AS tenant_id,
+  CASE WHEN k % 7 <> 2 THEN part_number END AS part_number, CASE WHEN k % 11 <> 5 THEN category END AS category,
+  CASE WHEN k % 13 = 1 THEN -5 ELSE moq END AS moq,
+  CASE WHEN k % 10 = 7 THEN -1 ELSE lead_time_days_avg END AS lead_time_days_avg,
+  CASE WHEN k % 12 = 6 THEN 'OLD' ELSE lifecycle_status END AS lifecycle_status) FROM prt)"""
+_COUNTED = """SELECT violation, count(*) AS rows
+FROM (SELECT unnest(string_split(violations, ',')) AS violation FROM {table} WHERE violations <> '') GROUP BY 1"""
+ORACLE["supplier_every_rule"] = _sql(
+    (_SUPPLIERS, _FAULTY_SUPPLIERS, _SUPPLIER_TAGS.replace("FROM sup\n", "FROM faulty\n")), _COUNTED.format(table="sup_tag")
+)
+ORACLE["part_every_rule"] = _sql(
+    (
+        _SUPPLIERS, _SUPPLIER_TAGS, _PARTS, _FAULTY_PARTS,
+        # lists are found by the key that the part has in the sound table
+        _PART_TAGS.replace("FROM prt\n", "FROM faulty\n").replace(
+            "WHEN part_id IN (SELECT", "WHEN 'P' || lpad(CAST(k AS VARCHAR), 8, '0') IN (SELECT"
+        ),
+    ),
+    _COUNTED.format(table="prt_tag"),
+)

@@ -986,3 +986,203 @@ def dataset_job(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(50 * (sound + sound_parts))
     )
     return done.select("entity", "total", (F.abs(F.col("pass_rate") - predicted) < 5).alias("as_predicted"))
+
+
+# ---------------------------------------------------------------- reloads, runs and tenants
+
+
+def _land(spark: SparkSession, root: str, frame: DataFrame, tenant: str, date: str, hour: str = "06") -> None:
+    run_id = f"{date.replace('-', '')}_{hour}0000"
+    frame.write.parquet(landing.run_folder(root, tenant, C.SUPPLIERS, date, run_id))
+
+
+def _job_folders(spark: SparkSession) -> dict:
+    place = fresh_folder(spark, "job")
+    database = f"curated_{place.rsplit('-', 1)[1]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{place}/db'")
+    return {"database": database, "location": f"{place}/curated", "quarantine": f"{place}/quarantine"}
+
+
+def _stored(spark: SparkSession, folders: dict) -> DataFrame:
+    return spark.table(f"{folders['database']}.{C.CURATED_TABLE[C.SUPPLIERS]}")
+
+
+def _refused(spark: SparkSession, folders: dict) -> DataFrame:
+    return spark.read.parquet(f"{folders['quarantine']}/{C.SUPPLIERS}")
+
+
+@query
+def reload_second_date(spark: SparkSession, folder: str) -> DataFrame:
+    """Two dates curated, the second one twice: each date holds its rows once, curated and rejected."""
+    root, folders = fresh_folder(spark, "landing"), _job_folders(spark)
+    for date in ("2024-01-30", "2024-01-31"):
+        _land(spark, root, suppliers(spark, folder), "tenant_a", date)
+    for date in ("2024-01-30", "2024-01-31", "2024-01-31"):
+        curation.run(spark, root, "tenant_a", date, replace=True, **folders)
+    kept = _stored(spark, folders).groupBy("landing_date").agg(F.count("*").alias("kept"))
+    refused = _refused(spark, folders).groupBy(F.col("landing_date").cast("string").alias("landing_date")).agg(
+        F.count("*").alias("refused")
+    )
+    return kept.join(refused, "landing_date")
+
+
+@query
+def reload_to_empty(spark: SparkSession, folder: str) -> DataFrame:
+    """A date is landed anew without a valid row: its curated rows go, those of the day before stay."""
+    root, again, folders = fresh_folder(spark, "landing"), fresh_folder(spark, "landing"), _job_folders(spark)
+    for date in ("2024-01-30", "2024-01-31"):
+        _land(spark, root, suppliers(spark, folder), "tenant_a", date)
+        curation.run(spark, root, "tenant_a", date, replace=True, **folders)
+    broken = suppliers(spark, folder).withColumn("legal_name", F.lit(None).cast("string"))
+    _land(spark, again, broken, "tenant_a", "2024-01-31")
+    curation.run(spark, again, "tenant_a", "2024-01-31", replace=True, **folders)
+    refused = _refused(spark, folders).groupBy(F.col("landing_date").cast("string").alias("landing_date")).agg(
+        F.count("*").alias("refused")
+    )
+    kept = _stored(spark, folders).groupBy("landing_date").agg(F.count("*").alias("kept"))
+    return refused.join(kept, "landing_date", "left").select(
+        "landing_date", F.coalesce("kept", F.lit(0)).alias("kept"), "refused"
+    )
+
+
+@query
+def quarantine_two_tenants(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tenants curated one after the other: both keep their rejected rows, with the run they came from."""
+    root, folders = fresh_folder(spark, "landing"), _job_folders(spark)
+    for tenant in ("tenant_a", "tenant_b"):
+        named = suppliers(spark, folder).withColumn("tenant_id", F.lit(tenant))
+        _land(spark, root, named, tenant, "2024-01-31")
+        curation.run(spark, root, tenant, "2024-01-31", replace=True, **folders)
+    return _refused(spark, folders).groupBy("tenant_id", "landing_run_id").agg(F.count("*").alias("rows"))
+
+
+@query
+def curated_lineage(spark: SparkSession, folder: str) -> DataFrame:
+    """Curated rows name the run they came from."""
+    root, folders = fresh_folder(spark, "landing"), _job_folders(spark)
+    for hour in ("06", "18"):
+        _land(spark, root, suppliers(spark, folder), "tenant_a", "2024-01-31", hour)
+    curation.run(spark, root, "tenant_a", "2024-01-31", **folders)
+    return _stored(spark, folders).groupBy("landing_date", "landing_run_id").agg(F.count("*").alias("rows"))
+
+
+@query
+def all_tenants_job(spark: SparkSession, folder: str) -> DataFrame:
+    """One job over two tenants, with a rate and a gate for each."""
+    root, folders = fresh_folder(spark, "landing"), _job_folders(spark)
+    rows = suppliers(spark, folder)
+    _land(spark, root, rows, "tenant_a", "2024-01-31")
+    _land(spark, root, rows.withColumn("legal_name", F.lit(None).cast("string")), "tenant_b", "2024-01-31")
+    done = curation.run(spark, root, "*", "2024-01-31", by_tenant=True, threshold=50.0, **folders)
+    return _rounded(done, "pass_rate").drop("geo_is_struct")
+
+
+@query
+def upsert_empty_tenant(spark: SparkSession, folder: str) -> DataFrame:
+    """An upsert into a table whose tenant is the empty text keeps the tenant's other rows."""
+    location = fresh_folder(spark, "curated")
+    name = tables.create_curated_table(spark, C.SUPPLIERS, f"curated_{location.rsplit('-', 1)[1]}", location)
+    rows = curate.curated_rows(_tagged_suppliers(spark, folder), C.SUPPLIERS).withColumn("tenant_id", F.lit(""))
+    tables.append_rows(rows, C.SUPPLIERS, name)
+    few = rows.where("supplier_id LIKE '%7'").withColumn("risk_score", F.lit(1.0))
+    new = few.withColumn("supplier_id", F.concat("supplier_id", F.lit("-new")))
+    tables.upsert_rows(few.unionByName(new), C.SUPPLIERS, name)
+    return spark.table(name).select("supplier_id", "tenant_id", "risk_score")
+
+
+def _two_runs(spark: SparkSession, folder: str, first: DataFrame, second: DataFrame) -> str:
+    root = fresh_folder(spark, "landing")
+    _land(spark, root, first, "tenant_a", "2024-01-31", "06")
+    _land(spark, root, second, "tenant_a", "2024-01-31", "18")
+    return root
+
+
+@query
+def repair_swap_mixed_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """A sound run and one with exchanged columns on one day: only the latter is exchanged back."""
+    root = _two_runs(spark, folder, suppliers(spark, folder), landed_suppliers(spark, folder))
+    runs = landing.read_runs(spark, root, "*", C.SUPPLIERS, "2024-01-31")
+    return clean.repair_swap(runs, C.SUPPLIERS).select("landing_run_id", "supplier_id", "tenant_id", "supplier_code")
+
+
+@query
+def landing_type_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """A column is a number in one run and text in the next: both are read and cast."""
+    rows = suppliers(spark, folder)
+    root = _two_runs(spark, folder, rows, rows.withColumn("defect_rate_ppm", F.col("defect_rate_ppm").cast("string")))
+    runs = clean.cast_contract(landing.read_runs(spark, root, "tenant_a", C.SUPPLIERS, "2024-01-31"), C.SUPPLIERS)
+    return runs.groupBy("landing_run_id").agg(F.count("*").alias("rows"), F.sum("defect_rate_ppm").alias("ppm"))
+
+
+@query
+def landing_column_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """A column is missing in one run: it is kept for the others, and the drift is told run by run."""
+    rows = suppliers(spark, folder)
+    root = _two_runs(spark, folder, rows.drop("legal_name"), rows)
+    runs = landing.read_runs(spark, root, "tenant_a", C.SUPPLIERS, "2024-01-31")
+    found = runs.groupBy("landing_run_id").agg(F.count("*").alias("rows"), F.count("legal_name").alias("named"))
+    drift = landing.run_drift(spark, root, "tenant_a", C.SUPPLIERS, "2024-01-31")
+    return found.join(drift, "landing_run_id")
+
+
+@query
+def roundtrip_csv_newlines(spark: SparkSession, folder: str) -> DataFrame:
+    """Line breaks, quotes and commas inside fields survive a CSV file."""
+    path = fresh_folder(spark, "csv")
+    odd = F.concat(F.lit('say "'), "description", F.lit('",\nline two\n'), "part_id")
+    exports.write_csv_flat(clean.typed_view(parts(spark, folder).withColumn("description", odd), C.PARTS), path, C.PARTS)
+    return landing.read_csv(spark, path, C.PARTS).select("part_id", "description", "uom")
+
+
+@query
+def roundtrip_csv_reordered(spark: SparkSession, folder: str) -> DataFrame:
+    """A file with its columns in another order, and one more, is read by its header."""
+    path = fresh_folder(spark, "csv")
+    rows = parts(spark, folder).selectExpr("uom", "1 AS extra", "tenant_id", "description", "part_id")
+    exports.write_csv_chunked(rows, path)
+    return landing.read_csv(spark, path, C.PARTS).select("part_id", "tenant_id", "description", "uom", "category")
+
+
+@query
+def incremental_null_cursor(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows without a cursor value are loaded, whatever was loaded before."""
+    events = table(spark, folder, "events").withColumn("ts", F.expr("CASE WHEN event_id % 10 <> 3 THEN ts END"))
+    loaded = events.where(F.col("ts") <= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
+    new = merge.incremental_rows(events, loaded, "ts")
+    return new.groupBy(F.col("ts").isNull().alias("undated")).agg(F.count("*").alias("rows"))
+
+
+# ---------------------------------------------------------------- every rule
+
+
+@query
+def supplier_every_rule(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers with faults for the rules that the mapped table never breaks."""
+    k = "bigint(substr(supplier_id, 2))"
+    faults = {
+        "supplier_id": f"CASE WHEN {k} % 9 <> 4 THEN supplier_id END",
+        "tenant_id": f"CASE WHEN {k} % 8 <> 3 THEN tenant_id END",
+        "defect_rate_ppm": f"CASE WHEN {k} % 7 = 2 THEN -1 ELSE defect_rate_ppm END",
+        "financial_risk_tier": f"CASE WHEN {k} % 6 = 5 THEN 'NONE' ELSE financial_risk_tier END",
+    }
+    rows = suppliers(spark, folder)
+    broken = rows.selectExpr(*[f"{faults.get(name, name)} AS {name}" for name in rows.columns])
+    return metrics.violation_counts(rules.tag_suppliers(broken))
+
+
+@query
+def part_every_rule(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for parts."""
+    k = "bigint(substr(part_id, 2))"
+    faults = {
+        "part_id": f"CASE WHEN {k} % 9 <> 4 THEN part_id END",
+        "tenant_id": f"CASE WHEN {k} % 8 <> 3 THEN tenant_id END",
+        "part_number": f"CASE WHEN {k} % 7 <> 2 THEN part_number END",
+        "category": f"CASE WHEN {k} % 11 <> 5 THEN category END",
+        "moq": f"CASE WHEN {k} % 13 = 1 THEN -5 ELSE moq END",
+        "lead_time_days_avg": f"CASE WHEN {k} % 10 = 7 THEN -1 ELSE lead_time_days_avg END",
+        "lifecycle_status": f"CASE WHEN {k} % 12 = 6 THEN 'OLD' ELSE lifecycle_status END",
+    }
+    rows = parts(spark, folder)
+    broken = rows.selectExpr(*[f"{faults.get(name, name)} AS {name}" for name in rows.columns])
+    return metrics.violation_counts(references.tag_parts(broken, _valid_ids(spark, folder)))
