@@ -7,7 +7,8 @@ substitutions of characters lead from one to the other.
 A line is cut into EDITS + 1 segments of even length; a line within that many edits holds one of them unchanged, shifted
 by few places. So every line is indexed by its segments, with their number and the line's length, and probes, for its own
 length and each length up to EDITS below, the substrings that can be such a segment: those whose shift agrees with the
-edits that may lie before and after them. Lines that meet there are candidates, verified by an edit distance computed
+edits that may lie before and after them. Lines that meet there are candidates unless their
+character pairs differ by more than the edits can change; candidates are verified by an edit distance computed
 along the diagonal, a band of 2 * EDITS + 1 cells in the bits of one integer.
 
 Linked lines form groups. Of each group the first line is kept, in the order of document ids and lines, and all others
@@ -35,8 +36,9 @@ MIN_CHARS = 20
 #: Up to this many rows, keys, lines or documents are broadcast; more are shuffled.
 BROADCAST_ROWS = 500_000
 ROWS_AT_ONCE = 100_000
-#: Sums over a line's characters, each counted as +1 or -1: an edit changes each sum by 2 at most.
-SUMS = 8
+#: Cells for pairs of neighbouring characters, a multiple of 64. An edit takes away and adds four pairs at most.
+PARITIES = 256
+PAIRS_OF_AN_EDIT = 4
 
 
 def line_id(line: str) -> int:
@@ -166,26 +168,32 @@ def _keys(own: DataFrame, edits: int, min_chars: int) -> DataFrame:
     return own.select("text").mapInArrow(task, schema_of("key long", "line long"))
 
 
+def parities(line: str) -> list[int]:
+    """Whether an odd number of character pairs lies in each cell, 64 cells in one number."""
+    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    cells = (codes[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[1:] * np.uint64(0x94D049BB133111EB)) >> np.uint64(40)
+    odd = np.bincount((cells % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _texts(own: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
-    """``id, chars, sums, text`` of the wanted lines (``line, id, digest, number``: one place of each)."""
+    """``id, chars, parity, text`` of the wanted lines (``line, id, digest, number``: one place of each)."""
     numbers = wanted.groupBy("id", "digest").agg(F.collect_list("number").alias("numbers"))
     numbers = _small(numbers.withColumnsRenamed({"id": "its_id", "digest": "its_digest"}))
     same = F.col("id").eqNullSafe(F.col("its_id")) & (F.col("digest") == F.col("its_digest"))
-    schema = schema_of("id long", "chars int", "sums array<int>", "text string")
+    schema = schema_of("id long", "chars int", "parity array<long>", "text string")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        signs = np.random.default_rng(7).integers(0, 2, (4096, SUMS)) * 2 - 1
         for batch in batches:
             made = []
             for text, chosen in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 lines = text.split("\n")
                 for number in chosen:
                     line = lines[number].strip()
-                    codes = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32) % 4096
-                    made.append((line_id(line), len(line), signs[codes].sum(0).tolist(), line))
+                    made.append((line_id(line), len(line), parities(line), line))
             for start in range(0, len(made), 10_000):
                 columns = zip(*made[start : start + 10_000], strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -239,15 +247,15 @@ def removed_lines(
     indexed = met.groupBy("key").agg(F.max("own").alias("any")).where(F.col("any") == 1).select("key")
     wanted = firsts.join(met.select(F.col("id").alias("line")).distinct(), "line", "left_semi").select("line", "first.*")
     texts = staged(_texts(own, wanted, min_chars), "texts")
-    sums = [F.col("sums")[at].alias(f"sum{at}") for at in range(SUMS)]
-    members = staged(met.join(indexed, "key", "left_semi").select("key", "id").join(texts.select("id", "chars", *sums), "id"), "members")
+    words = [F.col("parity")[at].alias(f"parity{at}") for at in range(PARITIES // 64)]
+    members = staged(met.join(indexed, "key", "left_semi").select("key", "id").join(texts.select("id", "chars", *words), "id"), "members")
 
     def near(one: DataFrame, other: DataFrame) -> Column:
-        def apart(name: str) -> Column:
-            return F.abs(F.col(f"one.{name}") - F.col(f"other.{name}"))
-
-        sums_near = [apart(f"sum{at}") <= 2 * edits for at in range(SUMS)]
-        return reduce(lambda a, b: a & b, sums_near, apart("chars") <= edits)
+        differ = [
+            F.bit_count(F.col(f"one.parity{at}").bitwiseXOR(F.col(f"other.parity{at}"))) for at in range(len(words))
+        ]
+        close = F.abs(F.col("one.chars") - F.col("other.chars")) <= edits
+        return close & (reduce(lambda a, b: a + b, differ) <= PAIRS_OF_AN_EDIT * edits)
 
     roots = link_groups(members, lambda pairs: _verified(pairs, texts, edits), near).withColumnRenamed("id", "line")
     joined = roots.select("line", "root").unionByName(roots.select(F.col("root").alias("line"), "root").distinct())

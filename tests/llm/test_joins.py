@@ -237,6 +237,10 @@ def test_edit_distance_and_line_keys(one, edits):
     other = "".join(other)
     for most in range(4):
         assert line_dedup.within(one, other, most) == brute.near(one, other, most)
+        if brute.near(one, other, most):
+            words = zip(line_dedup.parities(one), line_dedup.parities(other), strict=True)
+            differ = sum(((a ^ b) & (2**64 - 1)).bit_count() for a, b in words)
+            assert differ <= line_dedup.PAIRS_OF_AN_EDIT * most
     if one != other and brute.near(one, other, 2) and min(len(one), len(other)) >= 4:
         short, long = sorted((one, other), key=len)
         keys, own = line_dedup.line_keys(short, 2, 4)
