@@ -2,8 +2,9 @@
 
 A window is a string of ``WINDOW`` bytes. Every window has an anchor, the run of ``GRAM`` bytes in it with the least hash,
 so equal windows have equal anchors wherever they stand. Consecutive windows with one anchor are a piece. Only pieces
-whose anchor occurs under two ids can hold a repeated window; they go to shards by their anchors, equal pieces only once,
-with the least id.
+whose anchor occurs under two ids can hold a repeated window. A bit map of these anchors, in the shared folder, tells the
+tasks which pieces to send; its size is bounded, and where it is too small, or two anchors share a bit, pieces are sent in
+vain but none is missed. Pieces go to shards by their anchors, equal pieces only once, with the least id.
 
 A shard sorts the suffixes of its pieces: first by eight bytes, then, in Larsson and Sadakane's way, groups that are not
 sorted yet by the rank of what follows, twice as far each time. The common prefixes of neighbours come from Kasai's rule,
@@ -18,23 +19,28 @@ as smaller than each other. Windows are judged on the input.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs, parquet
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clearlot.llm.common import id_field, in_python, schema_of, text_or_empty
-from clearlot.session import staged
+from clearlot.session import fresh_folder, staged
 
 WINDOW = 50
 GRAM = 16
 #: Windows of a text that are looked at together.
 CHUNK = 1 << 22
 SHARD_BYTES = 1 << 22
-#: Up to this many anchors, and documents with something to remove, are broadcast; more are shuffled.
-BROADCAST_ANCHORS = 3_000_000
+#: Up to this many documents with something to remove are broadcast; more are shuffled.
 BROADCAST_DOCS = 500_000
+#: Bits of the map for each anchor, and in all; bits of a slice, which one task makes.
+BITS_PER_ANCHOR = 32
+MOST_BITS = 1 << 31
+SLICE_BITS = 1 << 22
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -191,20 +197,68 @@ def _small(frame: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(frame) if frame.limit(limit + 1).count() <= limit else frame
 
 
-def _pieces(own: DataFrame, window: int, gram: int, with_bytes: bool) -> DataFrame:
-    """``anchor, id`` of all pieces, and on demand ``digest, start, piece``."""
+def _bit_map(anchors: DataFrame) -> tuple[str, int]:
+    """The folder of a bit map of the anchors and its number of bits, a power of two."""
+    spark, count = anchors.sparkSession, anchors.count()
+    bits = min(MOST_BITS, max(SLICE_BITS, 1 << (BITS_PER_ANCHOR * count).bit_length()))
+    schema = schema_of("slice long", "bits binary")
+
+    def pack(table: pa.Table) -> pa.Table:
+        flags = np.zeros(SLICE_BITS, np.uint8)
+        numbers = table.column("bit").to_numpy()
+        flags[numbers % SLICE_BITS] = 1
+        columns = {"slice": pa.array([int(numbers[0]) // SLICE_BITS]), "bits": pa.array([np.packbits(flags).tobytes()])}
+        return pa.table(columns, schema=pa.schema([("slice", pa.int64()), ("bits", pa.binary())]))
+
+    place = fresh_folder(spark, "anchor-map")
+    (
+        anchors.select(F.col("anchor").bitwiseAND(F.lit(bits - 1)).alias("bit"))
+        .withColumn("slice", F.floor(F.col("bit") / SLICE_BITS))
+        .groupBy("slice")
+        .applyInArrow(pack, schema)
+        .write.parquet(place)
+    )
+    return place, bits
+
+
+@lru_cache(maxsize=1)
+def _read_bit_map(place: str, bits: int) -> np.ndarray:
+    """The whole map, once for each Python worker."""
+    system, path = fs.FileSystem.from_uri(place if "://" in place else f"file://{place.removeprefix('file:')}")
+    whole = np.zeros(bits // 8, np.uint8)
+    for found in system.get_file_info(fs.FileSelector(path)):
+        if found.base_name.startswith("part-"):
+            table = parquet.read_table(found.path, filesystem=system)
+            for number, packed in zip(table.column("slice").to_pylist(), table.column("bits").to_pylist(), strict=True):
+                start = number * (SLICE_BITS // 8)
+                whole[start : start + SLICE_BITS // 8] = np.frombuffer(packed, np.uint8)
+    return whole
+
+
+def _marked(anchors: np.ndarray, bit_map: np.ndarray) -> np.ndarray:
+    bit = anchors & np.int64(8 * len(bit_map) - 1)
+    return (bit_map[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 > 0
+
+
+def _pieces(own: DataFrame, window: int, gram: int, bit_map: tuple[str, int] | None = None) -> DataFrame:
+    """``anchor, id`` of all pieces; with a bit map, ``digest, start, piece`` of those that it marks, too."""
+    with_bytes = bit_map is not None
     schema = schema_of("anchor long", "id long", *["digest long", "start int", "piece binary"] * with_bytes)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
+        marks = _read_bit_map(*bit_map) if with_bytes else None
         for batch in batches:
             made: list[tuple] = []
             held = 0
             for key, text, digest in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 data = text.encode("utf-8", "surrogatepass")
                 anchors, first, last = pieces_of(np.frombuffer(data, np.uint8), window, gram)
+                if with_bytes and len(anchors):
+                    chosen = _marked(anchors, marks)
+                    anchors, first, last = anchors[chosen], first[chosen], last[chosen]
                 if not len(anchors):
                     continue
                 one = [anchors, np.full(len(anchors), key, np.int64)]
@@ -242,7 +296,7 @@ def repeated_spans(
     )
     own = own.where(F.octet_length("text") >= window).withColumn("digest", F.xxhash64("text"))
     shared = staged(
-        _pieces(own, window, gram, False)
+        _pieces(own, window, gram)
         .groupBy("anchor")
         .agg(F.min("id").alias("low"), F.max("id").alias("high"))
         .where("low < high")
@@ -250,8 +304,7 @@ def repeated_spans(
         "anchors",
     )
     found = staged(
-        _pieces(own, window, gram, True).join(_small(shared, BROADCAST_ANCHORS), "anchor").withColumn("hash", F.xxhash64("piece")),
-        "pieces",
+        _pieces(own, window, gram, _bit_map(shared)).withColumn("hash", F.xxhash64("piece")), "pieces"
     )
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     distinct = found.groupBy("anchor", "piece").agg(F.min("id").alias("least"), F.first("hash").alias("hash"))
