@@ -308,41 +308,37 @@ def repeated_spans(
     )
     shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     distinct = found.groupBy("anchor", "piece").agg(F.min("id").alias("least"), F.first("hash").alias("hash"))
-    told = schema_of("anchor long", "hash long", "first array<int>", "last array<int>", "least array<long>")
+    told = schema_of("anchor long", "hash long", "first int", "last int", "least long")
 
     def shard(table: pa.Table) -> pa.Table:
+        """Runs of windows of each piece with the least id that holds them."""
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        ids = table.column("least").to_numpy()
-        firsts, lasts, leasts = [], [], []
-        for least in least_ids(table.column("piece").to_pylist(), ids, window):
-            first = np.concatenate([[0], np.flatnonzero(np.diff(least)) + 1])
+        owners, firsts, lasts, leasts = [], [], [], []
+        for number, least in enumerate(least_ids(table.column("piece").to_pylist(), table.column("least").to_numpy(), window)):
+            first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+            owners.append(np.full(len(first), number))
             firsts.append(first)
             lasts.append(np.concatenate([first[1:], [len(least)]]) - 1)
             leasts.append(least[first])
+        owner = np.concatenate(owners)
+        columns = [table.column(name).to_numpy()[owner] for name in ("anchor", "hash")]
+        columns += [np.concatenate(firsts), np.concatenate(lasts), np.concatenate(leasts)]
         arrow = to_arrow_schema(told)
-        columns = [table.column("anchor"), table.column("hash"), firsts, lasts, leasts]
-        arrays = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)]
-        return pa.Table.from_arrays(arrays, schema=arrow)
+        return pa.Table.from_arrays([pa.array(c).cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     answers = (
         distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(4 * shards)))
         .groupBy("shard")
         .applyInArrow(shard, told)
     )
-    runs = F.filter(F.arrays_zip("first", "last", "least"), lambda run: run["least"] < F.col("id"))
-    spans = F.transform(
-        runs,
-        lambda run: F.struct(
-            (F.col("start") + run["first"]).alias("first"), (F.col("start") + run["last"] + window).alias("end")
-        ),
-    )
+    span = F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last") + window).alias("end"))
     return (
         found.select("anchor", "hash", "id", "digest", "start")
         .join(answers, ["anchor", "hash"])
-        .select("id", "digest", F.explode(spans).alias("span"))
+        .where(F.col("least") < F.col("id"))
         .groupBy("id", "digest")
-        .agg(F.collect_list("span").alias("spans"))
+        .agg(F.collect_list(span).alias("spans"))
     )
 
 
