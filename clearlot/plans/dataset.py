@@ -23,21 +23,27 @@ class Dataset:
 
 def make_dataset(
     spark: SparkSession,
-    supplier_rows: int,
-    part_rows: int,
+    suppliers: int | DataFrame,
+    parts: int | DataFrame,
     seed: int = 42,
     tenant: str = "tenant_a",
     dirty_rate: float = 0.06,
     as_of: str | None = None,
     variant: str = FULL,
 ) -> Dataset:
-    """Suppliers and parts; damage spares foreign keys in the fast variant. Rate 0 leaves the data clean."""
-    if supplier_rows < 1 or part_rows < 1:
+    """Suppliers and parts; damage spares foreign keys in the fast variant. Rate 0 leaves the data clean.
+
+    Both are given as a number of rows, or as a frame with one column of distinct keys, one for each row to make.
+    """
+    if any(isinstance(rows, int) and rows < 1 for rows in (suppliers, parts)):
         raise ValueError("row counts must be positive")
     if not 0.0 <= dirty_rate <= 1.0:
         raise ValueError("the dirty rate lies between 0 and 1")
-    suppliers = synth_suppliers(ids_from_range(spark, supplier_rows), seed, tenant, as_of, variant)
-    parts = synth_parts(ids_from_range(spark, part_rows), supplier_rows, seed, tenant, as_of, variant)
+    supplier_ids = ids_from_range(spark, suppliers) if isinstance(suppliers, int) else suppliers
+    part_ids = ids_from_range(spark, parts) if isinstance(parts, int) else parts
+    made = synth_suppliers(supplier_ids, seed, tenant, as_of, variant)
+    parents = suppliers if isinstance(suppliers, int) else made.select("supplier_id")
+    suppliers, parts = made, synth_parts(part_ids, parents, seed, tenant, as_of, variant)
     if dirty_rate:
         fast = variant == FAST
         suppliers = inject_anomalies(suppliers, C.SUPPLIERS, dirty_rate, seed, as_of=as_of, fast=fast)

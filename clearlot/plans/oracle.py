@@ -610,10 +610,12 @@ _PART_FIELDS = {name: name for name in C.columns(C.PARTS)} | _MOMENTS
 ORACLE["contract_fields"] = _sql(
     (*_S, *_P), _fields("suppliers", "sup", _SUPPLIER_FIELDS) + "\nUNION ALL " + _fields("parts", "prt", _PART_FIELDS)
 )
-ORACLE["contract_coverage"] = (
+_FILLED = " + ".join(f"count({column})" for name, column in _SUPPLIER_FIELDS.items() if name not in ("region", "geo_coords"))
+ORACLE["contract_coverage"] = _sql(
+    _S,
     "SELECT CAST(33 AS BIGINT) AS fields, CAST(31 AS BIGINT) AS present, 'geo_coords,region' AS missing, "
     "'_ab_source_file_last_modified,_ab_source_file_url,_airbyte_extracted_at,_airbyte_generation_id,_airbyte_meta,"
-    "_airbyte_raw_id' AS unknown"
+    f"_airbyte_raw_id' AS unknown, {_FILLED} AS filled FROM sup",
 )
 _TYPED = {
     "on_time_delivery_rate": ("double", "TRY_CAST({0} AS DOUBLE)"),
@@ -899,7 +901,8 @@ ORACLE["sampled_rows"] = (
 )
 ORACLE["dataset_job"] = """
 SELECT 'suppliers' AS entity, count(*) AS total, true AS as_predicted FROM customer
-UNION ALL SELECT 'parts', count(*), true FROM customer UNION ALL SELECT 'overall', 2 * count(*), true FROM customer"""
+UNION ALL SELECT 'parts', count(*), true FROM part
+UNION ALL SELECT 'overall', (SELECT count(*) FROM customer) + (SELECT count(*) FROM part), true"""
 
 # ---------------------------------------------------------------- reloads, runs and tenants
 
