@@ -994,3 +994,9 @@ ORACLE["part_every_rule"] = _sql(
     ),
     _COUNTED.format(table="prt_tag"),
 )
+ORACLE["part_strict_lists"] = _sql(
+    _PT,
+    f"""SELECT * FROM ({_COUNTED.format(table="prt_tag")}) WHERE violation <> 'ORPHAN_QUALIFIED_SUPPLIER'
+    UNION ALL SELECT 'INVALID_QUALIFIED_SUPPLIER_FORMAT', count(*) FROM prt
+    WHERE k % 3 <> 0 AND qualified_supplier_ids IS NOT NULL HAVING count(*) > 0""",
+)

@@ -1197,3 +1197,12 @@ def part_every_rule(spark: SparkSession, folder: str) -> DataFrame:
     rows = parts(spark, folder)
     broken = rows.selectExpr(*[f"{faults.get(name, name)} AS {name}" for name in rows.columns])
     return metrics.violation_counts(references.tag_parts(broken, _valid_ids(spark, folder)))
+
+
+@query
+def part_strict_lists(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts whose supplier lists came as arrays, a third of them empty, where the landing format wants text."""
+    k = F.substring("part_id", 2, 20).cast("long")
+    listed = F.when(k % 3 == 0, F.array().cast("array<string>")).otherwise(L.text_to_list(F.col("qualified_supplier_ids")))
+    rows = parts(spark, folder).withColumn("qualified_supplier_ids", listed)
+    return metrics.violation_counts(references.tag_parts(rows, _valid_ids(spark, folder), strict_text=True))
