@@ -1,8 +1,9 @@
 """Repeated lines, exact or with few edits, by a segment-partition edit join.
 
-Lines are ``\\n``-split and compared without the white space at their ends. Lines of fewer than ``MIN_CHARS`` characters
-repeat by nature and are never compared. Two lines are linked if at most ``EDITS`` insertions, deletions or
-substitutions of characters lead from one to the other.
+Lines are ``\\n``-split and compared without the white space at their ends. Equal lines are linked whatever their length;
+lines of nothing but white space separate others and are never compared. Two lines of at least ``MIN_CHARS`` characters
+are also linked if at most ``EDITS`` insertions, deletions or substitutions of characters lead from one to the other:
+among shorter ones few edits lead from a word to quite another.
 
 A line is cut into EDITS + 1 segments of even length; a line within that many edits holds one of them unchanged, shifted
 by few places. So every line is indexed by its segments, with their number and the line's length, and probes, for its own
@@ -32,6 +33,7 @@ from clearlot.llm.linking import link_groups
 from clearlot.session import staged
 
 EDITS = 2
+#: Lines from this length on are linked by edits too; equal ones always are.
 MIN_CHARS = 20
 #: Up to this many rows, keys, lines or documents are broadcast; more are shuffled.
 BROADCAST_ROWS = 500_000
@@ -112,8 +114,8 @@ def _documents(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return own.withColumn("digest", F.xxhash64("text"))
 
 
-def _lines(own: DataFrame, min_chars: int) -> DataFrame:
-    """Where lines stand: ``id, digest, number, line`` for all lines that are compared."""
+def _lines(own: DataFrame) -> DataFrame:
+    """Where lines stand: ``id, digest, number, line`` for all lines that are not empty."""
 
     schema = schema_of(f"id {own.schema['id'].dataType.simpleString()}", "digest long", "numbers array<int>", "lines array<long>")
 
@@ -124,7 +126,7 @@ def _lines(own: DataFrame, min_chars: int) -> DataFrame:
         for batch in batches:
             numbers, lines = [], []
             for text in batch.column(1).to_pylist():
-                found = [(at, line_id(cut)) for at, line in enumerate(text.split("\n")) if len(cut := line.strip()) >= min_chars]
+                found = [(at, line_id(cut)) for at, line in enumerate(text.split("\n")) if (cut := line.strip())]
                 numbers.append([at for at, _ in found])
                 lines.append([line for _, line in found])
             columns = [batch.column(0), batch.column(2), pa.array(numbers, pa.list_(pa.int32())), pa.array(lines, pa.list_(pa.int64()))]
@@ -230,7 +232,7 @@ def removed_lines(
 ) -> DataFrame:
     """``id, digest, removed``: the numbers, from 0, of the lines that each document loses; only documents that lose some."""
     own = _documents(docs, id_column, text_column)
-    lines = staged(_lines(own, min_chars), "lines")
+    lines = staged(_lines(own), "lines")
     place = F.struct("id", "digest", "number")
     firsts = lines.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     found = _keys(own, edits, min_chars)
