@@ -93,14 +93,21 @@ def op5_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, folder, "pages"))
 
 
+def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
+    """Page ids with the labels of the document that a page shows; the URL's path ends with that document's number."""
+    number = F.regexp_extract(url_filter.path_of(F.col("url")), r"^/[^/]+/([0-9]{1,18})(?:/|\.html)?$", 1)
+    shown = pages.select("page_id", F.when(number != "", number).cast("long").alias("doc_id"))
+    return shown.join(labels, "doc_id")
+
+
 @query
 def op7_url_filter(spark: SparkSession, folder: str) -> DataFrame:
-    """A verdict for every page's URL; pages whose number is labelled teach the mined rules."""
+    """A verdict for every page's URL; pages whose document is labelled teach the mined rules."""
     bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
-    labels = table(spark, folder, "labels").select(
-        F.col("doc_id").alias("id"), F.when(bad, "block").when(~bad, "allow").alias("verdict")
-    )
-    return url_filter.judge_urls(table(spark, folder, "pages"), labels, URL_RULES)
+    pages = table(spark, folder, "pages")
+    labels = table(spark, folder, "labels").select("doc_id", F.when(bad, "block").when(~bad, "allow").alias("verdict"))
+    taught = labelled_pages(pages, labels).select(F.col("page_id").alias("id"), "verdict")
+    return url_filter.judge_urls(pages, taught, URL_RULES)
 
 
 @query
