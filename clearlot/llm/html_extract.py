@@ -4,9 +4,10 @@ A parser of the standard library reads a page as a stream of events. Text betwee
 ratio is its number of characters by the number of tags met since the line before. Lines inside elements that name
 themselves as something else than the article (``SKIPPED`` tags, roles, and classes or ids with a word of ``ASIDE``)
 have ratio 0. Ratios are smoothed with a Gaussian, so that short lines among long ones gain and long lines among menus
-lose, and lines at or above the threshold, a share of the standard deviation, are seeds. The content region is the
-innermost ``article`` or ``main`` element, or else the innermost container of any kind, that holds most of the seeds'
-characters; all its lines that are not aside are kept, whatever their length.
+lose, and lines at or above the threshold, a share of the standard deviation, are seeds. Where an ``article`` or ``main``
+element holds most of the seeds' characters, the content region is the innermost such element that holds all seeds of the
+outermost one; else it is the innermost container of any kind that holds all seeds, or the page. All its lines that are
+not aside are kept, whatever their length.
 
 Character references are decoded, white space inside a line becomes one space, and lines are joined by an empty line.
 Null and empty pages, and pages without such a line, have empty text. Pages are read whole; unclosed elements are closed
@@ -54,7 +55,7 @@ NAME = regex.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 SIGMA = 1.0
 #: Lines are seeds from this share of the standard deviation of the ratios on.
 THRESHOLD = 0.5
-#: The region's element holds at least this share of the seeds' characters.
+#: An article or main element that holds at least this share of the seeds' characters bounds the region.
 MOST = 0.8
 
 
@@ -171,9 +172,12 @@ def main_lines(html: str, sigma: float = SIGMA, threshold: float = THRESHOLD, mo
         for level, container in enumerate(around):
             held[container] = held.get(container, 0) + size
             depth[container] = level
-    enough = [container for container, size in held.items() if size >= most * sizes[seeds].sum()]
-    articles = [container for container in enough if container[1] in ("article", "main")]
-    region = max(articles or enough, key=lambda container: (depth[container], -container[0]), default=None)
+    wanted = sizes[seeds].sum()
+    articles = [one for one, size in held.items() if one[1] in ("article", "main") and size >= most * wanted]
+    if articles:
+        wanted = held[min(articles, key=lambda container: (depth[container], container[0]))]
+    whole = [container for container in articles or held if held[container] >= wanted]
+    region = max(whole, key=lambda container: (depth[container], -container[0]), default=None)
     return [
         text
         for text, _, aside, around in lines
