@@ -40,6 +40,7 @@ MARKS = ".,!?;|"
 class WordTokenizer:
     """A tokenizer of the tokenizers library whose pieces never hold white space, and that knows no upper case.
 
+    Only its added tokens are matched as they are written: words that look like one of them keep their upper case.
     Words between spaces and line breaks are then encoded apart, and so are a word and the marks at its end if there is
     a letter or digit before them. The library gets each such part once; its ids are remembered.
     """
@@ -50,12 +51,14 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self._added = tuple(dict.fromkeys(one.content.lower() for one in added))
         self._words: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {"": b""}
 
-    @staticmethod
-    def _cut(word: str) -> tuple[str, str]:
-        plain = word.lower() if word.isascii() else word
+    def _cut(self, word: str) -> tuple[str, str]:
+        lower = word.lower()
+        plain = lower if word.isascii() and not any(token in lower for token in self._added) else word
         head = plain.rstrip(MARKS)
         last = head[-1:]  # a letter that lower-casing and normalisation leave as it is
         safe = last.isalnum() and last < "\u0180" and last == last.lower()
