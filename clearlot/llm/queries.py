@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clearlot.llm import (
     byte_pairs,
+    centroids,
     decontaminate,
     html_extract,
     jaccard_join,
@@ -139,3 +140,9 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
         gone.alias("removed"),
         "text",
     )
+
+
+@query
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """The cluster of every embedding after ten rounds around eight centroids."""
+    return centroids.digests(centroids.cluster(table(spark, folder, "embeddings")))
