@@ -7,9 +7,9 @@ def _centroids(dimensions: int = 64, clusters: int = 8, rounds: int = 10, seed:
     """Chained steps: ``m0`` are the first centroids, ``a<n>`` the assignment of a round, ``m<n+1>`` its means."""
     steps = [
         f"""kept AS MATERIALIZED (
-            SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
-            WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0)""",
+            WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
         f"""m0 AS MATERIALIZED (
             SELECT row_number() OVER (ORDER BY sha256('{seed}:' || vec_id), vec_id) - 1 AS k, v FROM kept
             QUALIFY k < {clusters})""",
@@ -17,7 +17,7 @@ def _centroids(dimensions: int = 64, clusters: int = 8, rounds: int = 10, seed:
     for number in range(rounds + 1):
         steps.append(f"""a{number} AS MATERIALIZED (
             SELECT vec_id, kept.v AS v, k, m.v AS middle, CAST(list_sum(list_transform(range(1, {dimensions + 1}),
-                i -> (kept.v[i] - m.v[i]) * (kept.v[i] - m.v[i]))) AS BIGINT) AS far
+                lambda i: (kept.v[i] - m.v[i]) * (kept.v[i] - m.v[i]))) AS BIGINT) AS far
             FROM kept, m{number} AS m
             QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY far, k) = 1)""")
         if number < rounds:
@@ -29,7 +29,7 @@ def _centroids(dimensions: int = 64, clusters: int = 8, rounds: int = 10, seed:
     return f"""WITH {", ".join(steps)}
         SELECT vec_id, CAST(k AS INTEGER) AS cluster, far AS distance,
             CAST(sum(far) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia, CAST(sum(far) OVER () AS BIGINT) AS inertia,
-            sha256(array_to_string(list_transform(middle, x -> CAST(x AS BIGINT)), ',')) AS centroid_sha256
+            sha256(array_to_string(list_transform(middle, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
         FROM a{rounds}"""
 
 
