@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,16 +63,44 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaning: dict[str, list] = {}
+_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries within leave no shuffle files behind, so the disk holds those of one step, not of all steps before it.
+
+    Sessions count the blocks that are open, and the last one to end puts the setting back.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        open_blocks = _cleaning.setdefault(session, [0, spark.conf.get(_CLEANUP)])
+        open_blocks[0] += 1
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            open_blocks[0] -= 1
+            if not open_blocks[0]:
+                spark.conf.set(_CLEANUP, open_blocks[1])
+                del _cleaning[session]
+
+
 def staged(frame: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``frame`` once to the shared folder and read it back.
 
     Several outputs can then be made from one evaluation, and a lost executor costs only its own tasks,
-    because what was written no longer depends on the executors that computed it.
+    because what was written no longer depends on the executors that computed it. The shuffle files of the step go
+    with it.
     """
     spark = frame.sparkSession
     path = fresh_folder(spark, label)
     writer = frame.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    with shuffles_removed(spark):
+        writer.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
