@@ -34,3 +34,19 @@ def _centroids(dimensions: int = 64, clusters: int = 8, rounds: int = 10, seed:
 
 
 ORACLE["op12_centroids"] = _centroids()
+
+#: Windows are compared as lists of words; ``gone`` numbers the words that a window covers which stands earlier.
+ORACLE["op11_substring_dedup"] = r"""
+WITH split AS MATERIALIZED (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS MATERIALIZED (
+    SELECT doc_id, place, array_to_string(words[place:place + 19], ' ') AS passage
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS place FROM split WHERE len(words) >= 20)),
+again AS (
+    SELECT doc_id, place FROM windows QUALIFY row_number() OVER (PARTITION BY passage ORDER BY doc_id, place) > 1),
+gone AS (SELECT doc_id, list(DISTINCT place + step) AS places FROM again, range(20) AS r(step) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(array_to_string(list_filter(words, lambda word, nth: NOT list_contains(coalesce(places, []), nth)), ' '), ''))
+        AS kept_sha256
+FROM split LEFT JOIN gone USING (doc_id)
+"""

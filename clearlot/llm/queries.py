@@ -17,6 +17,7 @@ from clearlot.llm import (
     language_id,
     line_dedup,
     quality_rules,
+    substring_dedup,
     suffix_dedup,
     token_files,
     url_filter,
@@ -142,6 +143,12 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the 20-word windows that stand earlier."""
+    return substring_dedup.digests(substring_dedup.without_repeated_passages(table(spark, folder, "documents")))
+
+
 @query
 def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
     """The cluster of every embedding after ten rounds around eight centroids."""
