@@ -50,3 +50,25 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places),
         AS kept_sha256
 FROM split LEFT JOIN gone USING (doc_id)
 """
+
+_TERMS = r"""unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"""
+
+#: Every term of an item meets every document that holds it; scores are in whole numbers, as the query has them.
+ORACLE["op13_ranked_search"] = f"""
+WITH counted AS MATERIALIZED (
+    SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} FROM documents) GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+norms AS (SELECT doc_id, 100 - 25 + (25 * n * docs) // terms AS m FROM lengths, total),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counted, total GROUP BY term, docs),
+asked AS (SELECT item_id, {_TERMS} FROM benchmark),
+found AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+    FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN norms USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM found WHERE score > 0 QUALIFY rank <= 20
+"""

@@ -17,6 +17,7 @@ from clearlot.llm import (
     language_id,
     line_dedup,
     quality_rules,
+    ranked_search,
     substring_dedup,
     suffix_dedup,
     token_files,
@@ -153,3 +154,9 @@ def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
     """The cluster of every embedding after ten rounds around eight centroids."""
     return centroids.digests(centroids.cluster(table(spark, folder, "embeddings")))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty best documents for every benchmark item."""
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
