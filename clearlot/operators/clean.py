@@ -36,6 +36,7 @@ LAT_PATTERN = r'"lat":\s*([-\d.]+)'
 LON_PATTERN = r'"lon":\s*([-\d.]+)'
 
 _PLAIN_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
+_ANY_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d{1,4})?\s*$"
 
 
 def drop_connector_metadata(frame: DataFrame) -> DataFrame:
@@ -85,22 +86,29 @@ def repair_swap(
     )
 
 
-def whole_number(value: Column, is_text: bool) -> Column:
-    """As int; fractions are cut off, text that is no plain number and values out of range become NULL."""
+def whole_number(value: Column, is_text: bool, exponents: bool = False) -> Column:
+    """As int; fractions are cut off, text that is no plain number and values out of range become NULL.
+
+    With ``exponents`` text such as ``1.2E7`` is a number too.
+    """
     if not is_text:
         return value.try_cast("int")
-    return F.when(value.rlike(_PLAIN_NUMBER), value.try_cast("decimal(38,6)").try_cast("int"))
+    pattern = _ANY_NUMBER if exponents else _PLAIN_NUMBER
+    return F.when(value.rlike(pattern), value.try_cast("decimal(38,6)").try_cast("int"))
 
 
-def cast_contract(frame: DataFrame, entity: str) -> DataFrame:
-    """Numeric columns to the job's types where present; unreadable values become NULL."""
+def cast_contract(frame: DataFrame, entity: str, exponents: bool = False) -> DataFrame:
+    """Numeric columns to the job's types where present; unreadable values become NULL.
+
+    Whole numbers written with an exponent are unreadable unless ``exponents`` is set, as some writers need it.
+    """
     kinds = dict(frame.dtypes)
     casts = {}
     for name, kind in NUMERIC[entity].items():
         if name not in kinds or kinds[name] == kind:
             continue
         if kind == "int":
-            casts[name] = whole_number(F.col(name), kinds[name] == "string")
+            casts[name] = whole_number(F.col(name), kinds[name] == "string", exponents)
         else:
             casts[name] = F.col(name).try_cast(kind)
     return frame.withColumns(casts) if casts else frame

@@ -950,6 +950,25 @@ ORACLE["landing_type_drift"] = _sql(
     """SELECT r AS landing_run_id, count(*) AS rows, CAST(sum(defect_rate_ppm) AS BIGINT) AS ppm
     FROM sup, (VALUES ('20240131_060000'), ('20240131_180000')) AS runs(r) GROUP BY 1""",
 )
+_BIG = "CAST(substr(supplier_id, 2, 8) AS BIGINT) % 1000 * 1000000 + 12345678"
+ORACLE["landing_int_double_drift"] = _sql(
+    _S,
+    f"""SELECT r AS landing_run_id, supplier_id, 'double,double' AS landed_as, CAST({_BIG} AS INTEGER) AS capacity_units_per_week,
+      CASE WHEN r = '20240131_060000' THEN 7 ELSE CAST(substr(supplier_id, 2, 8) AS INTEGER) // 10000 END AS defect_rate_ppm,
+      CASE WHEN r = '20240131_060000' THEN 70000 ELSE CAST(substr(supplier_id, 2, 8) AS BIGINT) END AS ten_thousandths
+    FROM sup, (VALUES ('20240131_060000'), ('20240131_180000')) AS runs(r)""",
+)
+ORACLE["landing_text_double_drift"] = _sql(
+    _S,
+    f"""SELECT r AS landing_run_id, supplier_id, CAST(CASE WHEN r = '20240131_060000' THEN {_BIG}
+      ELSE CAST(substr(supplier_id, 2, 8) AS BIGINT) END AS INTEGER) AS capacity_units_per_week
+    FROM sup, (VALUES ('20240131_060000'), ('20240131_180000')) AS runs(r)""",
+)
+ORACLE["cast_contract_exponents"] = _sql(
+    _LS,
+    f"""SELECT supplier_id, CASE WHEN defect_rate_ppm = '1e3' THEN 1000 ELSE {_int("defect_rate_ppm")} END AS defect_rate_ppm,
+      {_int("capacity_units_per_week")} AS capacity_units_per_week FROM lsup""",
+)
 ORACLE["landing_column_drift"] = _sql(
     _S,
     """SELECT '20240131_060000' AS landing_run_id, count(*) AS rows, 0 AS named, 'legal_name' AS field, 'missing' AS type
@@ -960,6 +979,7 @@ ORACLE["roundtrip_csv_newlines"] = _sql(
     """SELECT part_id, 'say "' || description || '",' || chr(10) || 'line two' || chr(10) || part_id AS description, uom
     FROM prt""",
 )
+ORACLE["roundtrip_csv_split"] = _sql(_P, "SELECT part_id, description, uom FROM prt")
 ORACLE["roundtrip_csv_reordered"] = _sql(
     _P, "SELECT part_id, tenant_id, description, uom, '' AS category FROM prt"
 )

@@ -1125,14 +1125,54 @@ def landing_type_drift(spark: SparkSession, folder: str) -> DataFrame:
     return runs.groupBy("landing_run_id").agg(F.count("*").alias("rows"), F.sum("defect_rate_ppm").alias("ppm"))
 
 
+@query
+def landing_int_double_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole numbers in one run and doubles in the next, large and small ones: no value is lost on the way to the cast."""
+    rows = suppliers(spark, folder)
+    number = F.substring("supplier_id", 2, 8).cast("int")
+    large, small = number % 1000 * 1_000_000 + 12_345_678, number / 10_000
+    one = rows.withColumns({"capacity_units_per_week": large, "defect_rate_ppm": F.lit(7)})
+    two = rows.withColumns({"capacity_units_per_week": large.cast("double"), "defect_rate_ppm": small})
+    root = _two_runs(spark, folder, one, two)
+    landed = landing.read_runs(spark, root, "tenant_a", C.SUPPLIERS, "2024-01-31")
+    kinds = dict(landed.dtypes)
+    kind = F.lit(f"{kinds['capacity_units_per_week']},{kinds['defect_rate_ppm']}").alias("landed_as")
+    cast = clean.cast_contract(landed.withColumn("as_landed", F.col("defect_rate_ppm")), C.SUPPLIERS)
+    return cast.select(
+        "landing_run_id", "supplier_id", kind, "capacity_units_per_week", "defect_rate_ppm",
+        F.round(F.col("as_landed") * 10_000).cast("long").alias("ten_thousandths"),
+    )
+
+
+@query
+def landing_text_double_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Doubles in one run and text in the next: the doubles are printed so that the cast reads them."""
+    rows = suppliers(spark, folder)
+    number = F.substring("supplier_id", 2, 8).cast("int")
+    one = rows.withColumn("capacity_units_per_week", (number % 1000 * 1_000_000 + 12_345_678).cast("double"))
+    two = rows.withColumn("capacity_units_per_week", F.concat(F.lit(" "), number.cast("string"), F.lit(".9")))
+    root = _two_runs(spark, folder, one, two)
+    landed = landing.read_runs(spark, root, "tenant_a", C.SUPPLIERS, "2024-01-31")
+    return clean.cast_contract(landed, C.SUPPLIERS).select("landing_run_id", "supplier_id", "capacity_units_per_week")
+
+
+@query
+def cast_contract_exponents(spark: SparkSession, folder: str) -> DataFrame:
+    """Text numbers with exponents, as some writers print them, are read on request."""
+    return clean.cast_contract(landed_suppliers(spark, folder), C.SUPPLIERS, exponents=True).select(
+        "supplier_id", "defect_rate_ppm", "capacity_units_per_week"
+    )
+
+
 @query
 def landing_column_drift(spark: SparkSession, folder: str) -> DataFrame:
     """A column is missing in one run: it is kept for the others, and the drift is told run by run."""
     rows = suppliers(spark, folder)
     root = _two_runs(spark, folder, rows.drop("legal_name"), rows)
-    runs = landing.read_runs(spark, root, "tenant_a", C.SUPPLIERS, "2024-01-31")
+    schemas = landing.landed_schemas(spark, root, "tenant_a", C.SUPPLIERS, "2024-01-31")
+    runs = landing.read_runs(spark, root, "tenant_a", C.SUPPLIERS, "2024-01-31", schemas)
     found = runs.groupBy("landing_run_id").agg(F.count("*").alias("rows"), F.count("legal_name").alias("named"))
-    drift = landing.run_drift(spark, root, "tenant_a", C.SUPPLIERS, "2024-01-31")
+    drift = landing.run_drift(spark, root, "tenant_a", C.SUPPLIERS, "2024-01-31", schemas)
     return found.join(drift, "landing_run_id")
 
 
@@ -1145,6 +1185,14 @@ def roundtrip_csv_newlines(spark: SparkSession, folder: str) -> DataFrame:
     return landing.read_csv(spark, path, C.PARTS).select("part_id", "description", "uom")
 
 
+@query
+def roundtrip_csv_split(spark: SparkSession, folder: str) -> DataFrame:
+    """A file without line breaks in its fields may be split among tasks."""
+    path = fresh_folder(spark, "csv")
+    exports.write_csv_flat(clean.typed_view(parts(spark, folder), C.PARTS), path, C.PARTS)
+    return landing.read_csv(spark, path, C.PARTS, line_breaks=False).select("part_id", "description", "uom")
+
+
 @query
 def roundtrip_csv_reordered(spark: SparkSession, folder: str) -> DataFrame:
     """A file with its columns in another order, and one more, is read by its header."""

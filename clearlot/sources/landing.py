@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import json
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clearlot import contracts as C
+from clearlot.sources.schemas import as_type, schemas_by_file, widest
 
 # Conditions that mean that a source is not there.
 MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -39,64 +40,79 @@ def read_landing(
     return reader.parquet(landing_glob(root, tenant, entity, run_date))
 
 
-def run_paths(spark: SparkSession, root: str, tenant: str, entity: str, run_date: str) -> list[str]:
-    """The landed files and folders of one date, run by run."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(landing_glob(root, tenant, entity, run_date))
-    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(status.getPath().toString() for status in system.globStatus(place) or [])
+def landed_schemas(
+    spark: SparkSession, root: str, tenant: str, entity: str, run_date: str
+) -> dict[str, T.StructType]:
+    """Columns and types of every landed file of a date, by its path: one job reads all footers.
+
+    ``read_runs`` and ``run_drift`` take the result, so that a job that wants both looks into the files once.
+    """
+    return schemas_by_file(spark, landing_glob(root, tenant, entity, run_date))
 
 
-def read_runs(spark: SparkSession, root: str, tenant: str, entity: str, run_date: str) -> DataFrame:
+def read_runs(
+    spark: SparkSession,
+    root: str,
+    tenant: str,
+    entity: str,
+    run_date: str,
+    schemas: dict[str, T.StructType] | None = None,
+) -> DataFrame:
     """All runs of one date with their lineage, whatever columns and types each run has.
 
-    Each run is read by its own schema. A column that only some runs have is NULL in the others. Where the types of a
-    column differ it becomes text: numbers as they print, lists as comma text, structs as JSON, as the job's repairs
-    expect. Runs of one schema are read together. A date without runs is an error, as for any reader.
+    Files are read by their own schemas, those of one schema together. A column that only some have is NULL in the others.
+    Where the types of a column differ it gets the narrowest type that holds all values (``schemas.widest``), which is text in
+    the end: numbers without exponents, lists as comma text, structs as JSON, as the job's repairs expect. A date without
+    runs is an error, as for any reader.
     """
-    paths = run_paths(spark, root, tenant, entity, run_date)
-    if not paths:
-        return with_lineage(read_landing(spark, root, tenant, entity, run_date))  # says what is missing
+    schemas = landed_schemas(spark, root, tenant, entity, run_date) if schemas is None else schemas
     base = f"{root.rstrip('/')}/processed"
-    alike: dict[str, list[str]] = {}
-    for path in paths:
-        alike.setdefault(spark.read.option("mergeSchema", "true").parquet(path).schema.json(), []).append(path)
-    schemas = {text: T.StructType.fromJson(json.loads(text)) for text in alike}
-    kinds: dict[str, set[str]] = {}
-    for schema in schemas.values():
-        for field in schema.fields:
-            kinds.setdefault(field.name, set()).add(field.dataType.simpleString())
+    alike: dict[tuple, list[str]] = {}
+    kinds: dict[str, dict[str, T.DataType]] = {}
+    for path, schema in schemas.items():
+        alike.setdefault(tuple((field.name, field.dataType.simpleString()) for field in schema), []).append(path)
+        for field in schema:
+            kinds.setdefault(field.name, {})[field.dataType.simpleString()] = field.dataType
+    target = {name: widest(found.values()) for name, found in kinds.items() if len(found) > 1}
     frames = []
-    for text, files in alike.items():
-        frame = with_lineage(spark.read.schema(schemas[text]).option("basePath", base).parquet(*files))
-        frames.append(frame.withColumns({
-            field.name: _as_text(F.col(field.name), field.dataType)
-            for field in schemas[text].fields
-            if len(kinds[field.name]) > 1
-        }))
+    for files in alike.values():
+        schema = schemas[files[0]]
+        frame = with_lineage(spark.read.schema(schema).option("basePath", base).parquet(*files))
+        changed = {
+            field.name: as_type(F.col(f"`{field.name}`"), field.dataType, target[field.name])
+            for field in schema
+            if field.name in target
+        }
+        frames.append(frame.withColumns(changed) if changed else frame)
     first, *rest = frames
     for frame in rest:
         first = first.unionByName(frame, allowMissingColumns=True)
     return first
 
 
-def _as_text(value: Column, kind: T.DataType) -> Column:
-    if isinstance(kind, T.ArrayType):
-        return F.array_join(value, ",")
-    if isinstance(kind, T.StructType):
-        return F.to_json(value, {"ignoreNullFields": "false"})
-    return value.cast("string")
-
+def run_drift(
+    spark: SparkSession,
+    root: str,
+    tenant: str,
+    entity: str,
+    run_date: str,
+    schemas: dict[str, T.StructType] | None = None,
+) -> DataFrame:
+    """A row for each run and column that some runs lack or hold in another type: its type there, or ``missing``.
 
-def run_drift(spark: SparkSession, root: str, tenant: str, entity: str, run_date: str) -> DataFrame:
-    """A row for each run and column that some runs lack or hold in another type: its type there, or ``missing``."""
-    found = {}
-    for path in run_paths(spark, root, tenant, entity, run_date):
-        fields = spark.read.option("mergeSchema", "true").parquet(path).schema.fields
-        found[path] = {field.name: field.dataType.simpleString() for field in fields}
-    names = sorted({name for kinds in found.values() for name in kinds})
-    drifting = [name for name in names if len({kinds.get(name, "missing") for kinds in found.values()}) > 1]
-    rows = [(path.split("/")[-2], name, kinds.get(name, "missing")) for path, kinds in found.items() for name in drifting]
+    Where the files of one run differ, all their types are named.
+    """
+    schemas = landed_schemas(spark, root, tenant, entity, run_date) if schemas is None else schemas
+    runs: dict[tuple[str, str], dict[str, set[str]]] = {}
+    for path, schema in schemas.items():
+        tenant_name, _, _, run_id = re.search(PROCESSED_LAYOUT, path).groups()
+        found = runs.setdefault((run_id, tenant_name), {})
+        for field in schema:
+            found.setdefault(field.name, set()).add(field.dataType.simpleString())
+    told = {run: {name: " or ".join(sorted(kinds)) for name, kinds in found.items()} for run, found in runs.items()}
+    names = sorted({name for kinds in told.values() for name in kinds})
+    drifting = [name for name in names if len({kinds.get(name, "missing") for kinds in told.values()}) > 1]
+    rows = [(run[0], name, kinds.get(name, "missing")) for run, kinds in sorted(told.items()) for name in drifting]
     return spark.createDataFrame(rows, "landing_run_id string, field string, type string")
 
 
@@ -134,17 +150,20 @@ def read_or_none(read, required: bool = False) -> DataFrame | None:
         return None
 
 
-def read_csv(spark: SparkSession, path: str, entity: str, header: list[str] | None = None) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, entity: str, header: list[str] | None = None, line_breaks: bool = True
+) -> DataFrame:
     """A header CSV with the contract's columns, all as text.
 
     Columns are told by the header, in whatever order the file has them; columns that it lacks are empty, others than
     ``header`` (the contract's, unless given) are left out. The files of a folder share one header; a file with another
-    one is refused. Fields may hold line breaks, so a file is read by one task: ``write_csv_chunked`` keeps files short.
+    one is refused. Fields may hold line breaks, so a file is read by one task: ``write_csv_chunked`` keeps files short. Without
+    ``line_breaks`` no field may hold one, and a long file is split among tasks.
     Every field is taken as written: the writer has no mark for NULL, so missing values and empty lists both come back as
     the empty string.
     """
     names = header or C.columns(entity)
-    reader = spark.read.options(header=True, encoding="UTF-8", escape='"', multiLine=True, enforceSchema=False)
+    reader = spark.read.options(header=True, encoding="UTF-8", escape='"', multiLine=line_breaks, enforceSchema=False)
     found = reader.csv(min(spark.read.text(path).inputFiles())).columns
     schema = T.StructType([T.StructField(name, T.StringType()) for name in found])
     frame = reader.schema(schema).csv(path).na.fill("")

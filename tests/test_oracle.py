@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_file
+from clearlot.plans.oracle import ORACLE
+from clearlot.plans.queries import QUERIES
 from conftest import FOLDER
 
 TABLES = (
@@ -21,7 +23,7 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry_file.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, database, name):
     frame = entry_file.queries()[name](spark, FOLDER)
     found = database.execute(entry_file.oracle_sql()[name])
@@ -35,7 +37,8 @@ def test_query_matches_sql(spark, database, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry_file.oracle_sql()) == set(entry_file.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_file.queries()) and set(ORACLE) <= set(entry_file.oracle_sql())
 
 
 def test_entry(spark):
