@@ -23,9 +23,12 @@ def lists_with_orphans(
 ) -> DataFrame:
     """The distinct list values of which at least one element is not among ``ids``.
 
-    The stored value itself serves as the key, so rows with missing or repeated primary keys do no harm.
+    The stored value itself serves as the key, so rows with missing or repeated primary keys do no harm. When the ids are
+    too many to be broadcast, each distinct list is taken apart once; else rows are, as that needs no shuffle.
     """
-    checked = flag_members(list_members(frame, name), "member", ids, "_known", limits, size)
+    size = size or measure(ids)
+    lists = frame if size.fits(limits) else frame.select(name).distinct()
+    checked = flag_members(list_members(lists, name), "member", ids, "_known", limits, size)
     return checked.where("NOT _known").select(name).distinct()
 
 

@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from clearlot import contracts as C
 
-# A country code nobody has.
-
 
 class Rule(NamedTuple):
     code: str

@@ -12,7 +12,9 @@ from clearlot.operators.members import Limits, flag_members, measure, members_on
 
 SMALL = Limits()
 SHUFFLED = Limits(broadcast_rows=0, broadcast_bytes=0, frequent_rows=20, frequent_keys=3)
-BOTH = pytest.mark.parametrize("limits", [SMALL, SHUFFLED], ids=["broadcast", "shuffle"])
+#: Too many members to broadcast, but few keys that are none, or few that are.
+ANSWERED = Limits(broadcast_rows=5, frequent_rows=20, frequent_keys=3)
+BOTH = pytest.mark.parametrize("limits", [SMALL, SHUFFLED, ANSWERED], ids=["broadcast", "shuffle", "answers"])
 
 
 def skewed_keys(count=600):
@@ -66,6 +68,27 @@ def test_frequent_keys_do_not_meet_in_one_task(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("orphan", [True, False], ids=["few orphans", "few members"])
+def test_rows_stay_where_they_are_when_few_keys_tell(spark, orphan):
+    """More members than may be broadcast: keys are shuffled, rows of many columns are not."""
+    key = F.when(F.col("id") % 1000 == 7, "odd").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string")))
+    wide = spark.range(0, 20_000, numPartitions=9).select(key.alias("key"), "id", *[F.lit(at).alias(f"c{at}") for at in range(21)])
+    known = [(f"k{at}" if orphan else f"m{at}",) for at in range(60)] + ([] if orphan else [("odd",)])
+    ids = spark.createDataFrame(known, "id string")
+    found = flag_members(wide, "key", ids, "known", ANSWERED)
+    plan = plan_of(found)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert found.where("known").count() == (20_000 - 20 if orphan else 20)
+    assert found.columns == [*wide.columns, "known"]
+
+
+def test_lists_are_taken_apart_once_when_ids_are_many(spark):
+    parts = spark.createDataFrame([("a,b",)] * 50 + [("a,x",)] * 50 + [(None,)], "qualified_supplier_ids string")
+    ids = spark.createDataFrame([(one,) for one in "abcdefgh"], "id string")
+    for limits in (SMALL, ANSWERED, SHUFFLED):
+        assert rows_of(references.lists_with_orphans(parts, "qualified_supplier_ids", ids, limits)) == [("a,x",)]
+
+
 def test_measure(spark):
     size = measure(spark.createDataFrame([("abc",), ("é",), (None,)], "v string"))
     assert (size.rows, size.bytes) == (3, 5)
