@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from clearlot import contracts as C
-from clearlot.operators import checks, clean, curate, rules, synth
+from clearlot.operators import checks, clean, curate, references, rules, synth
 from clearlot.plans import curation, dataset
 from clearlot.plans.tables import landed_parts, landed_suppliers, parts, suppliers
 from clearlot.session import fresh_folder, shared_folder, staged
@@ -222,6 +222,93 @@ def test_table_upsert_rewrites_only_touched_partitions(spark, place, folder):
     assert kept == {path for path in before if f"tenant_key=t_{chosen['tenant_id']}/" not in path}
 
 
+def _scanned(frame):
+    """Rows that the scans of a frame hand on, after files, row groups and pages are ruled out."""
+    frame.collect()
+    todo, total = [frame._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif node.getClass().getSimpleName() == "FileSourceScanExec":
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(at) for at in range(children.size())]
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+    return total
+
+
+def test_few_keys_are_found_without_reading_the_table(spark, place, folder):
+    """A hundred files and more: the lookup of an upsert reads a small part of their rows."""
+    name = tables.create_curated_table(spark, C.SUPPLIERS, f"{database(spark, place)}.k", f"{place}/k", buckets=4)
+    made = synth.synth_suppliers(spark.range(4_000), as_of=AS_OF)
+    rows = staged(curate.curated_rows(rules.tag_suppliers(made), C.SUPPLIERS), "rows")
+    dated = rows.withColumn("landing_date", F.concat(F.lit("2024-01-"), F.lpad(F.pmod(F.xxhash64("supplier_id"), F.lit(28)).cast("string"), 2, "0")))
+    tables.append_rows(dated, C.SUPPLIERS, name)
+    files = len(spark.table(name).inputFiles())
+    keys = [row[0] for row in rows.select("supplier_id").limit(2).collect()]
+    found = tables.rows_of_keys(spark, name, "supplier_id", keys).select("tenant_key", "landing_date")
+    whole = spark.table(name).select("supplier_id")
+    assert files >= 100 and found.count() == 2
+    assert _scanned(whole) == rows.count() and 0 < _scanned(found) * 10 <= rows.count()
+    assert tables.rows_of_keys(spark, name, "supplier_id", ["absent"]).count() == 0
+    batch = dated.where(F.col("supplier_id").isin(keys)).withColumn("risk_score", F.lit(1.0))
+    for limit in (tables.POINT_KEYS, 1):
+        tables.POINT_KEYS, kept = limit, tables.POINT_KEYS
+        try:
+            tables.upsert_rows(batch.withColumn("risk_score", F.lit(float(limit))), C.SUPPLIERS, name)
+        finally:
+            tables.POINT_KEYS = kept
+        assert spark.table(name).where(F.col("risk_score") == float(limit)).count() >= 2
+        assert spark.table(name).count() == rows.count()
+
+
+def test_only_partitions_in_many_files_are_compacted(spark, place, folder):
+    name = tables.create_curated_table(spark, C.SUPPLIERS, f"{database(spark, place)}.z", f"{place}/z", buckets=2)
+    rows = staged(curate.curated_rows(rules.tag_suppliers(suppliers(spark, folder)), C.SUPPLIERS), "rows")
+    tables.append_rows(rows, C.SUPPLIERS, name)
+    one = rows.where("tenant_id = 'tenant_1'")
+    for _ in range(3):
+        tables.append_rows(one, C.SUPPLIERS, name)
+    before, content = set(spark.table(name).inputFiles()), rows_of(spark.table(name), "supplier_id", "risk_score")
+    done = tables.compact_partitions(spark, name, C.SUPPLIERS).collect()
+    after = set(spark.table(name).inputFiles())
+    assert [row["tenant_key"] for row in done] == ["t_tenant_1"] and done[0]["before"] >= 4 and done[0]["after"] <= 2
+    assert {path for path in before if "tenant_key=t_tenant_1/" not in path} == {path for path in after if "tenant_key=t_tenant_1/" not in path}
+    assert len([path for path in after if "tenant_key=t_tenant_1/" in path]) == done[0]["after"]
+    assert rows_of(spark.table(name), "supplier_id", "risk_score") == content
+    assert tables.compact_partitions(spark, name, C.SUPPLIERS).collect() == []
+    assert set(spark.table(name).inputFiles()) == after
+    # a small target splits a bucket among files again, and does not come back to it
+    small = min(row["bytes"] for row in tables.file_sizes(spark, name, C.SUPPLIERS).collect()) // 3
+    tables.append_rows(one, C.SUPPLIERS, name)
+    assert tables.compact_partitions(spark, name, C.SUPPLIERS, target_bytes=small).collect() == []
+
+
+def test_stale_partitions_go_after_new_rows_are_there(spark, place, folder, monkeypatch):
+    name = tables.create_curated_table(spark, C.PARTS, f"{database(spark, place)}.y", f"{place}/y", buckets=0)
+    made = synth.synth_parts(spark.range(300), 40, as_of=AS_OF)
+    ids = synth.synth_suppliers(spark.range(40), as_of=AS_OF).select("supplier_id")
+    rows = staged(curate.curated_rows(references.tag_parts(made, ids), C.PARTS).withColumn("tenant_id", F.lit("o'b\\c d")), "rows")
+    tables.append_rows(rows, C.PARTS, name)
+    assert len(tables._partitions(spark, name)) == 4
+    less = rows.where("category <> 'ELECTRICAL'")
+    seen = []
+    drop = tables._drop_partitions
+    monkeypatch.setattr(tables, "_drop_partitions", lambda *args: (seen.append(tables.row_count(spark, name)), drop(*args)))
+    tables.append_rows(less, C.PARTS, name, replace=True)
+    assert seen == [rows.count()] and tables.row_count(spark, name) == less.count() < rows.count()
+    assert len(tables._partitions(spark, name)) == 3
+    tables.append_rows(rows.where("category = 'ELECTRICAL'"), C.PARTS, name)
+    assert tables.row_count(spark, name) == rows.count()
+
+
+def test_buckets_follow_the_load(spark, folder):
+    assert [tables.buckets_for(size) for size in (0, 1 << 31, (1 << 31) + 1, 10**12, 10**20)] == [16, 16, 32, 8_192, 65_536]
+    assert tables.stored_bytes(staged(spark.range(1000), "size")) > 1000
+
+
 def land(spark, root, folder, with_parts=True):
     path = landing.run_folder(root, "tenant_a", C.SUPPLIERS, "2024-01-31", "20240131_060000")
     landed_suppliers(spark, folder).write.parquet(path)
