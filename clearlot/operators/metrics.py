@@ -18,6 +18,11 @@ def _rate(part: Column, whole: Column) -> Column:
 def validation_metrics(tagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows, valid rows and pass rate, in one pass; per group when ``by`` is given."""
     counted = tagged.groupBy(*by).agg(F.count("*").alias("total"), F.count_if("is_valid").alias("valid"))
+    return with_pass_rate(counted)
+
+
+def with_pass_rate(counted: DataFrame) -> DataFrame:
+    """Add the pass rate to counts of ``total`` and ``valid`` rows."""
     return counted.withColumn("pass_rate", _rate(F.col("valid"), F.col("total")))
 
 

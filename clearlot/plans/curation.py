@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clearlot import contracts as C
 from clearlot.operators import metrics as M
 from clearlot.operators.clean import clean
 from clearlot.operators.curate import curated_projection, quarantined_rows
-from clearlot.operators.members import DEFAULT_LIMITS, Limits
+from clearlot.operators.members import DEFAULT_LIMITS, Limits, Measure
 from clearlot.operators.references import tag_parts
 from clearlot.operators.rules import tag_suppliers, valid_ids, valid_rows
 from clearlot.session import staged
-from clearlot.sources.landing import read_or_none, read_runs
+from clearlot.sources.landing import landed_tenants, read_or_none, read_runs
 from clearlot.sources.tables import (
     append_rows,
+    buckets_for,
     create_curated_table,
     has_struct_column,
+    stored_bytes,
     table_name,
     with_partitions,
     write_rejects,
@@ -28,10 +33,14 @@ from clearlot.sources.tables import (
 
 @dataclass(frozen=True)
 class Tagged:
-    """Tagged suppliers and parts, each evaluated once and kept in the shared folder."""
+    """Tagged suppliers and parts, each evaluated once and kept in the shared folder.
+
+    ``counts`` has the rows and valid rows of each entity, as they were counted while the rows were written.
+    """
 
     suppliers: DataFrame
     parts: DataFrame | None
+    counts: dict[str, tuple[int, int]] = field(default_factory=dict)
 
 
 def tag_both(
@@ -39,25 +48,49 @@ def tag_both(
 ) -> Tagged:
     """Tag suppliers, then parts against the valid ones.
 
-    With ``stage`` each tagged table is written once, split by validity: metrics, ids, curated rows and
-    quarantine are then read from it instead of being worked out again, and carry the same timestamps.
+    With ``stage`` each tagged table is written once, split by validity: ids, curated rows and quarantine are then read
+    from it instead of being worked out again, and carry the same timestamps. Rows are counted on the way.
     """
-    tagged = tag_suppliers(suppliers)
-    if stage:
-        tagged = staged(tagged, "tagged-suppliers", ("is_valid",))
+    counts: dict[str, tuple[int, int]] = {}
+    sizes: dict[str, Measure] = {}
+
+    def kept(frame: DataFrame, entity: str) -> DataFrame:
+        if not stage:
+            return frame
+        seen = Observation()
+        key_bytes = F.when(F.col("is_valid"), F.octet_length(C.PRIMARY_KEY[entity]))
+        observed = frame.observe(
+            seen,
+            F.count("*").alias("total"),
+            F.count_if("is_valid").alias("valid"),
+            F.coalesce(F.sum(key_bytes), F.lit(0)).alias("key_bytes"),
+        )
+        written = staged(observed, f"tagged-{entity}", ("is_valid",))
+        found = seen.get
+        counts[entity] = (int(found["total"]), int(found["valid"]))
+        sizes[entity] = Measure(int(found["valid"]), int(found["key_bytes"]))
+        return written
+
+    tagged = kept(tag_suppliers(suppliers), C.SUPPLIERS)
     if parts is None:
-        return Tagged(tagged, None)
-    tagged_parts = tag_parts(parts, valid_ids(tagged), limits=limits, stage=stage)
-    if stage:
-        tagged_parts = staged(tagged_parts, "tagged-parts", ("is_valid",))
-    return Tagged(tagged, tagged_parts)
+        return Tagged(tagged, None, counts)
+    checked = tag_parts(parts, valid_ids(tagged), limits=limits, size=sizes.get(C.SUPPLIERS), stage=stage)
+    tagged_parts = kept(checked, C.PARTS)
+    return Tagged(tagged, tagged_parts, counts)
+
+
+def _figures(tagged: Tagged, entity: str, frame: DataFrame) -> DataFrame:
+    """Rows, valid rows and pass rate: those counted while writing, or else counted now."""
+    if entity not in tagged.counts:
+        return M.validation_metrics(frame)
+    return M.with_pass_rate(frame.sparkSession.createDataFrame([tagged.counts[entity]], "total long, valid long"))
 
 
 def report(tagged: Tagged, threshold: float = 99.0) -> DataFrame:
-    """Rows, valid rows, pass rate and gate per entity and overall."""
-    rows = [M.validation_metrics(tagged.suppliers).withColumn("entity", F.lit(C.SUPPLIERS))]
+    """Rows, valid rows, pass rate and gate per entity and overall; of staged tables nothing is read for it."""
+    rows = [_figures(tagged, C.SUPPLIERS, tagged.suppliers).withColumn("entity", F.lit(C.SUPPLIERS))]
     if tagged.parts is not None:
-        rows.append(M.validation_metrics(tagged.parts).withColumn("entity", F.lit(C.PARTS)))
+        rows.append(_figures(tagged, C.PARTS, tagged.parts).withColumn("entity", F.lit(C.PARTS)))
     rows.append(M.overall_pass_rate(*rows).withColumn("entity", F.lit("overall")))
     stacked = rows[0]
     for row in rows[1:]:
@@ -84,13 +117,14 @@ def write_curated(
     location: str | None = None,
     quarantine: str | None = None,
     replace: bool = False,
-    buckets: int = C.CURATED_BUCKETS,
+    buckets: int | None = None,
     rows_per_file: int = 0,
     replaced_too: DataFrame | None = None,
 ) -> dict[str, str]:
     """Write valid rows to the curated tables and invalid ones to the quarantine folder, suppliers first.
 
-    With ``replace`` each tenant and landing date of the rows, and of ``replaced_too``, is replaced exactly.
+    With ``replace`` each tenant and landing date of the rows, and of ``replaced_too``, is replaced exactly. A table that
+    is not there yet gets as many buckets as the size of its first load asks for, unless ``buckets`` names a number.
     """
     names = {}
     for entity, frame in ((C.SUPPLIERS, tagged.suppliers), (C.PARTS, tagged.parts)):
@@ -98,7 +132,8 @@ def write_curated(
             continue
         name = table_name(entity, database)
         place = f"{location}/{C.CURATED_TABLE[entity]}" if location else None
-        create_curated_table(spark, entity, name, place, buckets=buckets)
+        asked = buckets_for(stored_bytes(frame)) if buckets is None else buckets
+        create_curated_table(spark, entity, name, place, buckets=asked)
         # Tenants without a valid row, or without a rejected one, are replaced by nothing.
         seen = with_partitions(frame).select("tenant_key", "landing_date").distinct()
         replaced = seen if replaced_too is None else seen.unionByName(replaced_too)
@@ -121,7 +156,7 @@ def run(
     replace: bool = False,
     threshold: float = 99.0,
     limits: Limits = DEFAULT_LIMITS,
-    buckets: int = C.CURATED_BUCKETS,
+    buckets: int | None = None,
     rows_per_file: int = 0,
     by_tenant: bool = False,
 ) -> DataFrame | None:
@@ -149,3 +184,58 @@ def run(
     shaped = has_struct_column(spark, names[C.SUPPLIERS])
     made = tenant_report(tagged, threshold) if by_tenant else report(tagged, threshold)
     return made.withColumn("geo_is_struct", F.lit(shaped))
+
+
+def run_tenants(
+    spark: SparkSession,
+    root: str,
+    run_date: str,
+    tenants: Sequence[str] | None = None,
+    jobs: int = 10,
+    database: str | None = None,
+    location: str | None = None,
+    buckets: int | None = None,
+    **options,
+) -> DataFrame:
+    """Curate tenants as jobs of their own, up to ``jobs`` of them at a time, all into the same tables.
+
+    Each tenant has a driver thread and a scheduling pool, so with ``spark.scheduler.mode=FAIR`` a large one does not
+    hold up the others. A tenant that fails takes nothing with it: its error is reported and the others are stored. Without
+    ``tenants`` all that landed something are taken. ``options`` are those of ``run``.
+
+    Returns a row for each tenant and entity, and one with ``error`` for each tenant that failed: tenant, entity, total,
+    valid, pass_rate, passed, seconds and records_per_second of the tenant's job, error.
+    """
+    chosen = list(tenants) if tenants is not None else landed_tenants(spark, root, C.SUPPLIERS, run_date)
+    for entity in C.ENTITIES:  # before the threads ask for them at once
+        if location or database:
+            place = f"{location}/{C.CURATED_TABLE[entity]}" if location else None
+            wanted = C.CURATED_BUCKETS if buckets is None else buckets
+            create_curated_table(spark, entity, table_name(entity, database), place, buckets=wanted)
+
+    def job(tenant: str) -> list[tuple]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", tenant)
+        spark.sparkContext.setJobDescription(f"curate {tenant}")
+        started = time.monotonic()
+        try:
+            made = run(spark, root, tenant, run_date, database, location, buckets=buckets, **options)
+            rows = [] if made is None else made.where("entity <> 'overall'").collect()
+        except Exception as error:  # noqa: BLE001 - whatever went wrong, it is this tenant's alone
+            return [(tenant, None, None, None, None, None, time.monotonic() - started, None, str(error).splitlines()[0])]
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+            spark.sparkContext.setJobDescription(None)
+        seconds = time.monotonic() - started
+        speed = sum(row["total"] for row in rows) / seconds
+        return [
+            (tenant, row["entity"], row["total"], row["valid"], row["pass_rate"], row["passed"], seconds, speed, None)
+            for row in rows
+        ]
+
+    with ThreadPoolExecutor(max(1, jobs)) as threads:
+        found = [row for rows in threads.map(job, chosen) for row in rows]
+    return spark.createDataFrame(
+        found,
+        "tenant string, entity string, total long, valid long, pass_rate double, passed boolean, seconds double, "
+        "records_per_second double, error string",
+    )

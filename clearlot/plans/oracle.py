@@ -934,6 +934,16 @@ ORACLE["all_tenants_job"] = _sql(
       100.0 * count(*) FILTER (WHERE violations = '') >= 50 * count(*) AS passed FROM sup_tag
     UNION ALL SELECT 'tenant_b', 'suppliers', count(*), 0, 0.0, false FROM sup_tag""",
 )
+ORACLE["tenant_jobs"] = _sql(
+    _ST,
+    f"""SELECT *, (SELECT count(*) FROM sup_tag WHERE violations = '')
+      + (SELECT count(*) FROM sup_tag WHERE violations = '' AND tenant_id <> 'tenant_1') AS stored FROM (
+    SELECT 'tenant_a' AS tenant, 'suppliers' AS entity, {_METRICS} AS pass_rate,
+      100.0 * count(*) FILTER (WHERE violations = '') >= 50 * count(*) AS passed, false AS failed FROM sup_tag
+    UNION ALL SELECT 'tenant_b', NULL, NULL, NULL, NULL, NULL, true
+    UNION ALL SELECT 'tenant_c', 'suppliers', {_METRICS},
+      100.0 * count(*) FILTER (WHERE violations = '') >= 50 * count(*), false FROM sup_tag WHERE tenant_id <> 'tenant_1')""",
+)
 ORACLE["upsert_empty_tenant"] = _sql(
     _ST,
     """SELECT supplier_id, '' AS tenant_id, CASE WHEN supplier_id LIKE '%7' THEN 1.0 ELSE risk_score END AS risk_score

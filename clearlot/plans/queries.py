@@ -1088,6 +1088,21 @@ def all_tenants_job(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(done, "pass_rate").drop("geo_is_struct")
 
 
+@query
+def tenant_jobs(spark: SparkSession, folder: str) -> DataFrame:
+    """Three tenants as jobs side by side; one has landed a file that is none, and the others are stored all the same."""
+    root, folders = fresh_folder(spark, "landing"), _job_folders(spark)
+    rows = suppliers(spark, folder)
+    _land(spark, root, rows, "tenant_a", "2024-01-31")
+    _land(spark, root, rows.where("tenant_id <> 'tenant_1'"), "tenant_c", "2024-01-31")
+    broken = landing.run_folder(root, "tenant_b", C.SUPPLIERS, "2024-01-31", "20240131_060000")
+    rows.select("supplier_id").write.text(broken.replace("suppliers.parquet", "suppliers_of_b.parquet"))
+    told = curation.run_tenants(spark, root, "2024-01-31", threshold=50.0, **folders)
+    kept = _stored(spark, folders).agg(F.count("*")).scalar().alias("stored")
+    failed = F.col("error").isNotNull().alias("failed")
+    return _rounded(told, "pass_rate").select("tenant", "entity", "total", "valid", "pass_rate", "passed", failed, kept)
+
+
 @query
 def upsert_empty_tenant(spark: SparkSession, folder: str) -> DataFrame:
     """An upsert into a table whose tenant is the empty text keeps the tenant's other rows."""

@@ -50,6 +50,13 @@ def landed_schemas(
     return schemas_by_file(spark, landing_glob(root, tenant, entity, run_date))
 
 
+def landed_tenants(spark: SparkSession, root: str, entity: str, run_date: str) -> list[str]:
+    """The tenants that landed an entity on a date; only the files are listed."""
+    files = spark.read.format("binaryFile").load(landing_glob(root, "*", entity, run_date))
+    named = files.select(F.regexp_extract("path", PROCESSED_LAYOUT, 1).alias("tenant")).distinct()
+    return sorted(row.tenant for row in named.collect())
+
+
 def read_runs(
     spark: SparkSession,
     root: str,

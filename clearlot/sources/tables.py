@@ -176,9 +176,10 @@ _appends: dict[str, threading.Lock] = {}
 _appends_lock = threading.Lock()
 
 
-def _turn(spark: SparkSession, name: str) -> threading.Lock:
+def _turn(place: str) -> threading.Lock:
+    """The lock of a table, by its full name, or of a folder."""
     with _appends_lock:
-        return _appends.setdefault(_full_name(spark, name), threading.Lock())
+        return _appends.setdefault(place, threading.Lock())
 
 
 def append_rows(
@@ -200,7 +201,7 @@ def append_rows(
     if not replace and not rows_per_file:
         partitions = C.CURATED_PARTITIONS[entity]
         sized = sized_for_write(ready, partitions, C.PRIMARY_KEY[entity], bucket_count(spark, name))
-        with _turn(spark, name):
+        with _turn(_full_name(spark, name)):
             sized.write.insertInto(name)
         return
     ready = staged(ready, "append")
@@ -219,7 +220,7 @@ def append_rows(
             for one in _partitions(spark, name)
             if (one["tenant_key"], one["landing_date"]) in chosen and tuple(one[part] for part in parts) not in kept
         ]
-    with nullcontext() if replace else _turn(spark, name):
+    with nullcontext() if replace else _turn(_full_name(spark, name)):
         _insert(ready, entity, name, replace, rows_per_file)
     # new rows are there before old ones go, so a crash in between leaves rows of before, not holes
     _drop_partitions(spark, name, stale)
@@ -356,7 +357,8 @@ def write_rejects(frame: DataFrame, path: str, replace: bool = False, replaced:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         writer = writer.mode("append")
-    writer.parquet(path)
+    with nullcontext() if replace else _turn(path):
+        writer.parquet(path)
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:

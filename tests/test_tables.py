@@ -343,6 +343,46 @@ def test_job_reruns(spark, place, folder):
         assert kept.select("dq_timestamp").distinct().count() <= 1
 
 
+def test_report_of_a_staged_job_reads_nothing(spark, place, folder):
+    ids = suppliers(spark, folder)
+    tagged = curation.tag_both(ids, parts(spark, folder))
+    lazy = curation.tag_both(ids, parts(spark, folder), stage=False)
+    spark.sparkContext.setJobGroup("report", "report")
+    told = rows_of(curation.report(tagged))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert told == rows_of(curation.report(lazy)) and len(told) == 3 and not lazy.counts
+    plan = plan_of(curation.report(tagged))
+    assert "Scan parquet" not in plan and "FileScan" not in plan
+    none = curation.tag_both(ids.where("false"), None)
+    assert none.counts == {C.SUPPLIERS: (0, 0)}
+
+
+def test_one_failing_tenant_leaves_the_others_stored(spark, place, folder):
+    for tenant in ("one", "two", "three", "four"):
+        path = landing.run_folder(place, tenant, C.SUPPLIERS, "2024-01-31", "20240131_060000")
+        rows = landed_suppliers(spark, folder).withColumn("supplier_code", F.lit(tenant))  # exchanged with tenant_id
+        (rows.drop("supplier_id") if tenant == "two" else rows).write.parquet(path)
+    path = landing.run_folder(place, "one", C.PARTS, "2024-01-31", "20240131_060000")
+    landed_parts(spark, folder).withColumn("tenant_id", F.lit("one")).write.parquet(path)
+    assert landing.landed_tenants(spark, place, C.SUPPLIERS, "2024-01-31") == ["four", "one", "three", "two"]
+    name = database(spark, place)
+    targets = dict(database=name, location=f"{place}/curated", quarantine=f"{place}/quarantine")
+    for replace, times in ((False, 1), (False, 2), (True, 1)):
+        told = curation.run_tenants(spark, place, "2024-01-31", jobs=3, replace=replace, **targets).collect()
+        failed = [row for row in told if row["error"]]
+        assert [row["tenant"] for row in failed] == ["two"] and "supplier_id" in failed[0]["error"]
+        done = {(row["tenant"], row["entity"]): row for row in told if not row["error"]}
+        assert set(done) == {("one", "suppliers"), ("three", "suppliers"), ("four", "suppliers"), ("one", "parts")}
+        assert all(row["records_per_second"] > 0 and row["seconds"] > 0 for row in done.values())
+        for entity in C.ENTITIES:
+            kept = spark.table(f"{name}.{C.CURATED_TABLE[entity]}").count()
+            assert kept == times * sum(row["valid"] for (_, kind), row in done.items() if kind == entity)
+            refused = spark.read.parquet(f"{place}/quarantine/{entity}").count()
+            assert kept + refused == times * sum(row["total"] for (_, kind), row in done.items() if kind == entity)
+    assert spark.sparkContext.getConf().get("spark.scheduler.mode") == "FAIR"
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
 def test_required_source(spark, place):
     missing = lambda: landing.read_landing(spark, place, "t", C.PARTS, "2024-01-31")
     assert landing.read_or_none(missing) is None
