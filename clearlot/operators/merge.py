@@ -148,11 +148,23 @@ def fresh_rows(frame: DataFrame, as_of: Column, name: str = "source_timestamp")
     return frame.where(F.col(name).isNull() | (F.col(name) <= as_of))
 
 
-def incremental_rows(source: DataFrame, target: DataFrame, cursor: str) -> DataFrame:
+def incremental_rows(
+    source: DataFrame, target: DataFrame, cursor: str, keys: Sequence[str] = ()
+) -> DataFrame:
     """Source rows newer than anything in the target; all of them while the target is empty.
 
-    Rows without a cursor value are always among them, as nothing tells that they were loaded before; load them with an
-    upsert. The cursor is a scalar subquery, so it is read when the result is computed.
+    With ``keys``, rows that arrive late at the very moment the target has reached are among them too, unless the target has
+    a row of that key and moment: only the target's rows of that moment are looked at. Rows without a cursor value are
+    always among them, as nothing tells that they were loaded before; load them with an upsert. The cursor is a scalar
+    subquery, so it is read when the result is computed.
     """
     reached = target.agg(F.max(cursor)).scalar()
-    return source.where(reached.isNull() | F.col(cursor).isNull() | (F.col(cursor) > reached))
+    open_rows = reached.isNull() | F.col(cursor).isNull()
+    if not keys:
+        return source.where(open_rows | (F.col(cursor) > reached))
+    last = target.where(F.col(cursor) == reached)
+    last = last.select(F.col(cursor).alias("_reached"), *[F.col(key).alias(f"_loaded_{key}") for key in keys]).distinct()
+    same = F.col(cursor) == F.col("_reached")
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_loaded_{key}"))
+    return source.where(open_rows | (F.col(cursor) >= reached)).join(last, same, "left_anti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from clearlot import contracts as C
+from clearlot.operators.dirt import KINDS
 
 # ---------------------------------------------------------------- building blocks
 
@@ -896,6 +897,11 @@ ORACLE["injected_profile"] = (
     "SELECT count(*) AS rows, CAST(floor(count(*) * 0.06) AS BIGINT) AS damaged, CAST(1 AS BIGINT) AS most_per_row FROM orders"
 )
 ORACLE["injected_parts_profile"] = ORACLE["injected_profile"]
+ORACLE["injected_parts_kinds"] = "\nUNION ALL ".join(
+    f"""SELECT '{kind}' AS kind, count(*) AS rows, CAST(floor(count(*) * {rate}) AS BIGINT) AS damaged,
+      CAST(floor(count(*) * {rate}) AS BIGINT) AS marks, CAST(1 AS BIGINT) AS most_per_row FROM orders"""
+    for kind, rate in [*[(kind, 0.01) for kind in KINDS[C.PARTS]], ("all", 0.06)]
+)
 ORACLE["sampled_rows"] = (
     "SELECT CAST(floor(count(*) * 0.06) AS BIGINT) AS rows, CAST(floor(count(*) * 0.06) AS BIGINT) AS orders FROM orders"
 )
@@ -993,6 +999,19 @@ ORACLE["roundtrip_csv_split"] = _sql(_P, "SELECT part_id, description, uom FROM
 ORACLE["roundtrip_csv_reordered"] = _sql(
     _P, "SELECT part_id, tenant_id, description, uom, '' AS category FROM prt"
 )
+ORACLE["incremental_same_moment"] = """
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events
+WHERE ts >= TIMESTAMP '2024-01-20' AND NOT (ts < TIMESTAMP '2024-01-21' AND event_id % 3 = 0)"""
+ORACLE["sketch_surplus"] = """
+SELECT CAST(l_suppkey % 4 AS INTEGER) AS tenant, count(*) AS lines, count(*) - count(DISTINCT l_orderkey) AS surplus,
+  true AS orders_within_error, true AS parts_within_error, true AS as_one_pass FROM lineitem GROUP BY 1"""
+ORACLE["sketch_quantiles"] = """
+SELECT count(*) AS lines, rank, true AS within_error
+FROM lineitem, (VALUES (0.01::DOUBLE), (0.25), (0.5), (0.75), (0.99)) AS ranks(rank) GROUP BY rank"""
+ORACLE["sketch_values"] = """
+SELECT CAST(l_suppkey % 4 AS INTEGER) AS tenant, 'l_returnflag' AS "column", l_returnflag AS value, count(*) AS rows
+FROM lineitem GROUP BY ALL
+UNION ALL SELECT CAST(l_suppkey % 4 AS INTEGER), 'l_quantity', CAST(l_quantity AS VARCHAR), count(*) FROM lineitem GROUP BY ALL"""
 ORACLE["incremental_null_cursor"] = """
 SELECT event_id % 10 = 3 AS undated, count(*) AS rows FROM events
 WHERE event_id % 10 = 3 OR ts > (SELECT max(ts) FROM events WHERE event_id % 10 <> 3 AND ts <= TIMESTAMP '2024-01-20 00:00:00')

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from clearlot import contracts as C
 from clearlot.functions import lists as L
 from clearlot.functions.lookups import base_risk, derive_currency, derive_region, risk_tier, utc_text
-from clearlot.operators import checks, clean, curate, dirt, merge, metrics, references, rules, synth
+from clearlot.operators import checks, clean, curate, dirt, merge, metrics, references, rules, sketches, synth
+from clearlot.operators.members import flag_members as members_flag
 from clearlot.operators.members import members_only
 from clearlot.plans import curation, dataset
 from clearlot.plans.tables import accounts, landed_parts, landed_suppliers, parts, suppliers, table
-from clearlot.session import fresh_folder
+from clearlot.session import fresh_folder, staged
 from clearlot.sources import exports, landing, tables
 from clearlot.streaming.curation import curate_new_files
 from clearlot.streaming.incremental import load_new_files, watch_folder
@@ -538,6 +539,16 @@ def incremental_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def incremental_same_moment(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that arrive late, at the very moment the last load reached: those not loaded yet are, the others are not."""
+    events = table(spark, folder, "events").withColumn("ts", F.date_trunc("DAY", "ts").cast("timestamp_ntz"))
+    day = F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    loaded = events.where((F.col("ts") < day) | ((F.col("ts") == day) & (F.col("event_id") % 3 == 0)))
+    new = merge.incremental_rows(events, loaded, "ts", keys=["event_id"])
+    return new.select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+
+
 @query
 def incremental_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Events loaded as a stream of files, then a second start that finds nothing new."""
@@ -959,6 +970,44 @@ def injected_parts_profile(spark: SparkSession, folder: str) -> DataFrame:
     return dirty.agg(F.count("*").alias("rows"), F.sum(marks).alias("damaged"), F.max(marks).cast("long").alias("most_per_row"))
 
 
+@query
+def injected_parts_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    """Each kind of damage to parts, found by its own test: orphan ids in both key columns, copied numbers and the rest.
+
+    One hundredth of the rows is damaged by one kind at a time, then six by all kinds together, one kind each.
+    """
+    made = staged(_made_parts(spark, folder), "parts")
+    parents = synth.synth_suppliers(table(spark, folder, "customer").select("c_custkey")).select("supplier_id")
+    before = made.select(F.col("part_id").alias("id"), F.col("part_number").alias("number"))
+    late = F.try_to_timestamp("source_timestamp") > F.lit(AS_OF).cast("timestamp")
+
+    def marked(dirty: DataFrame) -> DataFrame:
+        known = members_flag(dirty, "default_supplier_id", parents, "known")
+        alone = F.col("qualified_supplier_ids") == F.array("default_supplier_id")
+        tests = {
+            "negative_cost": F.col("unit_cost") < 0,
+            "wrong_uom": F.col("uom") == dirt.WRONG_UNIT,
+            "invalid_supplier_id": ~F.col("known") & alone,
+            "future_timestamp": late,
+            "duplicate_part_number": F.col("part_number") != F.col("number"),
+        }
+        joined = known.join(before, F.col("part_id") == F.col("id"))
+        return joined.select(*[F.coalesce(test, F.lit(False)).cast("int").alias(kind) for kind, test in tests.items()])
+
+    frames = []
+    for kinds in [*[(kind,) for kind in dirt.KINDS[C.PARTS]], dirt.KINDS[C.PARTS]]:
+        rate = 0.01 if len(kinds) == 1 else 0.06
+        found = marked(dirt.inject_anomalies(made, C.PARTS, rate, kinds=kinds, as_of=AS_OF))
+        total = sum((F.col(kind) for kind in found.columns), F.lit(0))
+        own = total if len(kinds) > 1 else F.col(kinds[0])
+        frames.append(
+            found.agg(F.count("*").alias("rows"), F.sum(own).alias("damaged"), F.sum(total).alias("marks"),
+                      F.max(total).cast("long").alias("most_per_row"))
+            .withColumn("kind", F.lit(kinds[0] if len(kinds) == 1 else "all"))
+        )
+    return reduce(DataFrame.unionByName, frames)
+
+
 @query
 def sampled_rows(spark: SparkSession, folder: str) -> DataFrame:
     """An exact share of all orders, without replacement."""
@@ -1226,6 +1275,81 @@ def incremental_null_cursor(spark: SparkSession, folder: str) -> DataFrame:
     return new.groupBy(F.col("ts").isNull().alias("undated")).agg(F.count("*").alias("rows"))
 
 
+# ---------------------------------------------------------------- profiles that merge
+
+
+_LINES = sketches.Wanted(distinct=("l_orderkey", "l_partkey"), numbers=("l_extendedprice",), values=("l_returnflag", "l_quantity"))
+
+
+def _stored_profiles(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Line items by supplier's remainder (for a tenant) and month, and their profiles as stored and read back."""
+    items = table(spark, folder, "lineitem").withColumns(
+        {"tenant": F.pmod("l_suppkey", F.lit(4)).cast("int"), "month": F.date_format("l_shipdate", "yyyy-MM")}
+    )
+    path = fresh_folder(spark, "profiles")
+    made = sketches.sketch_profile(items, ["tenant", "month"], _LINES)
+    for _ in range(2):  # a month that is profiled again takes the place of what was there
+        sketches.store_profiles(made, path, ("month",))
+    return items, spark.read.parquet(path)
+
+
+@query
+def sketch_surplus(spark: SparkSession, folder: str) -> DataFrame:
+    """Repeated order and part numbers of each tenant over all months, from stored sketches; beside them the exact counts."""
+    items, stored = _stored_profiles(spark, folder)
+    exact = items.groupBy("tenant").agg(
+        F.count("*").alias("lines"), F.count_distinct("l_orderkey").alias("orders"), F.count_distinct("l_partkey").alias("parts")
+    )
+    merged = sketches.merge_profiles(stored, _LINES, ["tenant"])
+    once = sketches.sketch_profile(items, ["tenant"], _LINES).select(
+        "tenant", sketches.distinct_estimate("l_orderkey").alias("orders_once"), sketches.distinct_estimate("l_partkey").alias("parts_once")
+    )
+    told = merged.select(
+        "tenant",
+        sketches.surplus_estimate("l_orderkey").alias("repeated_orders"),
+        sketches.distinct_estimate("l_orderkey").alias("orders_merged"),
+        sketches.distinct_estimate("l_partkey").alias("parts_merged"),
+    )
+    both = exact.join(told, "tenant").join(once, "tenant")
+    surplus = F.col("lines") - F.col("orders")
+    return both.select(
+        "tenant",
+        "lines",
+        surplus.alias("surplus"),
+        (F.abs(F.col("repeated_orders") - surplus) <= F.col("orders") * sketches.DISTINCT_ERROR).alias("orders_within_error"),
+        (F.abs(F.col("parts_merged") - F.col("parts")) <= F.col("parts") * sketches.DISTINCT_ERROR).alias("parts_within_error"),
+        ((F.col("orders_merged") == F.col("orders_once")) & (F.col("parts_merged") == F.col("parts_once"))).alias("as_one_pass"),
+    )
+
+
+@query
+def sketch_quantiles(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices at some ranks over all months from stored sketches: their true rank is within the stated error."""
+    items, stored = _stored_profiles(spark, folder)
+    ranks = (0.01, 0.25, 0.5, 0.75, 0.99)
+    merged = sketches.merge_profiles(stored, _LINES)
+    found = merged.select(sketches.quantile_estimates("l_extendedprice", ranks).alias("found")).scalar()
+    below = [F.avg((F.col("l_extendedprice") <= F.element_at(F.col("found"), at)).cast("double")) for at in range(1, len(ranks) + 1)]
+    rank = items.withColumn("found", found).agg(F.count("*").alias("lines"), F.array(*below).alias("ranks"))
+    told = rank.select("lines", F.posexplode("ranks").alias("at", "true_rank"))
+    wanted = F.element_at(F.array(*[F.lit(one) for one in ranks]), F.col("at") + 1)
+    return told.select("lines", wanted.alias("rank"), (F.abs(F.col("true_rank") - wanted) <= sketches.RANK_ERROR).alias("within_error"))
+
+
+@query
+def sketch_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Frequencies of values by tenant from the sketches of all months; so few values are counted exactly."""
+    _, stored = _stored_profiles(spark, folder)
+    merged = sketches.merge_profiles(stored, _LINES, ["tenant"])
+    frames = [
+        sketches.frequent_values(merged, name, 60, ["tenant"]).select(
+            "tenant", F.lit(name).alias("column"), F.col(name).alias("value"), "rows"
+        )
+        for name in _LINES.values
+    ]
+    return frames[0].unionByName(frames[1])
+
+
 # ---------------------------------------------------------------- every rule
 
 
