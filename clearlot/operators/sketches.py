@@ -40,7 +40,7 @@ def sketch_profile(frame: DataFrame, by: Sequence[str], wanted: Wanted) -> DataF
     """
     made: list[Column] = [F.count("*").alias("rows")]
     for name in wanted.distinct:
-        text = F.col(name).cast("string")
+        text = F.concat(F.lit("="), F.col(name).cast("string"))  # the sketch would pass over an empty text
         made += [F.hll_sketch_agg(text, LOG_REGISTERS).alias(f"distinct_{name}"), F.count(name).alias(f"filled_{name}")]
     for name in wanted.numbers:
         number = F.col(name).try_cast("double")

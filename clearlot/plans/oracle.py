@@ -342,6 +342,21 @@ ORACLE["lineitem_references"] = _sql(
     "(SELECT supplier_id FROM valid_sup) GROUP BY 1",
 )
 
+ORACLE["lineitem_references_answered"] = _sql(
+    _ST,
+    "SELECT l_linenumber, count(*) FILTER (WHERE 'S' || lpad(CAST(l_suppkey AS VARCHAR), 8, '0') IN "
+    "(SELECT supplier_id FROM valid_sup)) AS rows FROM lineitem GROUP BY 1",
+)
+ORACLE["landing_uploads"] = """
+SELECT 'tenant_a' AS landing_tenant, 'suppliers' AS landing_entity, '2024-01-31' AS landing_date,
+  '20240131_060000' AS landing_run_id, count(*) AS rows FROM supplier
+UNION ALL SELECT 'tenant b', 'parts', '2024-01-31', '20240131_060000', count(*) FROM part"""
+ORACLE["compaction_report"] = _sql(
+    _ST,
+    """SELECT 't_tenant_1' AS tenant_key, 4 * count(*) AS rows, true AS fewer_files, CAST(0 AS BIGINT) AS left_to_do
+    FROM sup_tag WHERE violations = '' AND tenant_id = 'tenant_1' HAVING count(*) > 0""",
+)
+
 # ---------------------------------------------------------------- curated and quarantined rows
 
 ORACLE["curated_suppliers"] = _sql(
@@ -583,6 +598,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC,
   l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
   l_linestatus DESC) AS place FROM lineitem) WHERE place = 1"""
+ORACLE["streamed_latest"] = ORACLE["dedupe_latest"]
 ORACLE["duplicate_codes"] = _sql(
     _P,
     "SELECT part_id, tenant_id, part_number, count(*) OVER (PARTITION BY tenant_id, part_number) > 1 AS is_duplicate "
@@ -1002,6 +1018,57 @@ ORACLE["roundtrip_csv_reordered"] = _sql(
 ORACLE["incremental_same_moment"] = """
 SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events
 WHERE ts >= TIMESTAMP '2024-01-20' AND NOT (ts < TIMESTAMP '2024-01-21' AND event_id % 3 = 0)"""
+
+
+def _chi_square(name: str, column: str, shares: dict[str, float]) -> str:
+    """The tail as one less a series whose terms come from the logarithm of the gamma function."""
+    listed = ", ".join(f"('{value}', {share})" for value, share in shares.items())
+    degrees = len(shares) - 1
+    return f"""SELECT '{name}' AS specification, rows, rows - seen AS unexpected, round(statistic, 6) AS statistic,
+      CAST({degrees} AS INTEGER) AS degrees, CASE WHEN rows > seen THEN 0.0 ELSE round(greatest(0.0, 1 - (
+        SELECT sum(exp(({degrees} / 2 + n) * ln(statistic / 2) - statistic / 2 - lgamma({degrees} / 2 + n + 1)))
+        FROM range(1500) AS r(n))), 6) END AS p_value
+    FROM (SELECT (SELECT count(*) FROM kept) AS rows, CAST(sum(n) AS BIGINT) AS seen,
+            sum(pow(n - share * total, 2) / (share * total)) AS statistic
+          FROM (SELECT share, (SELECT count(*) FROM kept WHERE {column} = value) AS n,
+                  (SELECT count(*) FROM kept WHERE {column} IN (SELECT value FROM (VALUES {listed}) AS v(value, s))) AS total
+                FROM (VALUES {listed}) AS shares(value, share)))"""
+
+
+_SPECIFICATIONS = {
+    "near": ("lifecycle_status", {"ACTIVE": 0.85, "NEW": 0.1, "EOL": 0.05}),
+    "synthetic": ("category", {"ELECTRICAL": 0.35, "MECHANICAL": 0.35, "RAW_MATERIAL": 0.2, "OTHER": 0.1}),
+    "two_of_three": ("lifecycle_status", {"ACTIVE": 0.9, "NEW": 0.1}),
+}
+ORACLE["distribution_shift"] = _sql(
+    (*_P, "kept AS (SELECT * FROM prt WHERE category <> 'BOGUS')"),
+    " UNION ALL ".join(_chi_square(name, *wanted) for name, wanted in _SPECIFICATIONS.items()),
+)
+
+
+def _two_samples(name: str, number: str, first: str) -> str:
+    return f"""SELECT '{name}' AS "case", first_rows, second_rows, round(distance, 6) AS distance,
+      round(least(1.0, greatest(0.0, (SELECT sum(CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END * exp(-2 * j * j * reach * reach))
+        FROM range(1, 101) AS r(j)))), 6) AS p_value
+    FROM (SELECT *, (root + 0.12 + 0.11 / root) * distance AS reach
+      FROM (SELECT *, sqrt(CAST(first_rows AS DOUBLE) * second_rows / (first_rows + second_rows)) AS root
+        FROM (SELECT CAST(max(ones) AS BIGINT) AS first_rows, CAST(max(twos) AS BIGINT) AS second_rows,
+            max(abs(ones / all_ones - twos / all_twos)) AS distance
+          FROM (SELECT sum(one) OVER running AS ones, sum(two) OVER running AS twos,
+                  CAST(sum(one) OVER () AS DOUBLE) AS all_ones, CAST(sum(two) OVER () AS DOUBLE) AS all_twos
+                FROM (SELECT {number} AS value, count(*) FILTER (WHERE {first}) AS one,
+                        count(*) FILTER (WHERE NOT ({first})) AS two FROM lineitem GROUP BY 1)
+                WINDOW running AS (ORDER BY value)))))"""
+
+
+ORACLE["run_shift"] = " UNION ALL ".join(
+    _two_samples(*case)
+    for case in (
+        ("alike", "l_quantity", "l_suppkey % 2 = 0"),
+        ("shifted", "l_extendedprice", "l_quantity > 25"),
+        ("nearly", "l_extendedprice", "l_partkey % 3 = 0"),
+    )
+)
 ORACLE["sketch_surplus"] = """
 SELECT CAST(l_suppkey % 4 AS INTEGER) AS tenant, count(*) AS lines, count(*) - count(DISTINCT l_orderkey) AS surplus,
   true AS orders_within_error, true AS parts_within_error, true AS as_one_pass FROM lineitem GROUP BY 1"""

@@ -11,15 +11,28 @@ from pyspark.sql import functions as F
 from clearlot import contracts as C
 from clearlot.functions import lists as L
 from clearlot.functions.lookups import base_risk, derive_currency, derive_region, risk_tier, utc_text
-from clearlot.operators import checks, clean, curate, dirt, merge, metrics, references, rules, sketches, synth
+from clearlot.operators import (
+    checks,
+    clean,
+    curate,
+    dirt,
+    distributions,
+    merge,
+    metrics,
+    references,
+    rules,
+    sketches,
+    synth,
+)
 from clearlot.operators.members import flag_members as members_flag
-from clearlot.operators.members import members_only
+from clearlot.operators.members import Limits, members_only
 from clearlot.plans import curation, dataset
 from clearlot.plans.tables import accounts, landed_parts, landed_suppliers, parts, suppliers, table
 from clearlot.session import fresh_folder, staged
 from clearlot.sources import exports, landing, tables
 from clearlot.streaming.curation import curate_new_files
 from clearlot.streaming.incremental import load_new_files, watch_folder
+from clearlot.streaming.latest import latest_rows, load_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -184,6 +197,18 @@ def lineitem_references(spark: SparkSession, folder: str) -> DataFrame:
     return known.groupBy("l_linenumber").agg(F.count("*").alias("rows"))
 
 
+@query
+def lineitem_references_answered(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with more suppliers than may be broadcast: distinct keys are answered, and the rows stay where they are."""
+    items = table(spark, folder, "lineitem").select(
+        "l_linenumber", F.concat(F.lit("S"), F.lpad(F.col("l_suppkey").cast("string"), 8, "0")).alias("supplier_id")
+    )
+    ids = _valid_ids(spark, folder).withColumnRenamed("supplier_id", "valid_id")
+    few = Limits(broadcast_rows=max(1, ids.count() - 1))
+    flagged = members_flag(items, "supplier_id", ids, "known", few)
+    return flagged.groupBy("l_linenumber").agg(F.count_if("known").alias("rows"))
+
+
 # ---------------------------------------------------------------- curated and quarantined rows
 
 
@@ -509,6 +534,22 @@ def dedupe_latest(spark: SparkSession, folder: str) -> DataFrame:
     return latest.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query
+def streamed_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from files that a stream takes two at a time, in any order; a second start finds nothing new."""
+    keys, newest = ["l_orderkey", "l_linenumber"], "l_shipdate"
+    rest = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    place, target, progress = (fresh_folder(spark, label) for label in ("arrivals", "latest", "progress"))
+    items = table(spark, folder, "lineitem")
+    items.repartition(5, "l_partkey").write.parquet(place)
+    late = 0
+    for _ in range(2):
+        stream = watch_folder(spark, place, items.schema, files_per_batch=2)
+        late += load_latest(stream, target, progress, keys, newest, rest, delay="4000 days", span="30 days")
+    rows = latest_rows(spark, target, items.schema, keys, newest, rest)
+    return rows.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss")).where(F.lit(late) == 0)
+
+
 @query
 def duplicate_codes(spark: SparkSession, folder: str) -> DataFrame:
     flagged = merge.flag_duplicates(parts(spark, folder), ["tenant_id", "part_number"], "is_duplicate")
@@ -707,6 +748,21 @@ def landing_lineage(spark: SparkSession, folder: str) -> DataFrame:
     return both[0].agg(F.count("*").alias("rows")).unionByName(both[1].agg(F.count("*").alias("rows")))
 
 
+@query
+def landing_uploads(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs in the layout of uploaded files, told by their paths."""
+    root = fresh_folder(spark, "uploads")
+    for tenant, entity, rows in (("tenant_a", "suppliers", suppliers(spark, folder)), ("tenant b", "parts", parts(spark, folder))):
+        rows.write.parquet(f"{root}/{tenant}/2024-01-31/20240131_060000/{entity}.parquet")
+    frames = [
+        landing.with_upload_lineage(spark.read.parquet(f"{root}/*/2024-01-31/*/{entity}*"))
+        .groupBy("landing_tenant", "landing_entity", "landing_date", "landing_run_id")
+        .agg(F.count("*").alias("rows"))
+        for entity in C.ENTITIES
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
 @query
 def all_tenants(spark: SparkSession, folder: str) -> DataFrame:
     """Two tenants landed the same suppliers; one job reads and rates both."""
@@ -789,6 +845,23 @@ def compacted_table(spark: SparkSession, folder: str) -> DataFrame:
     return tables.read_table(spark, name).groupBy("supplier_id").agg(F.count("*").alias("rows"))
 
 
+@query
+def compaction_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Of a table whose partitions were written once, one of them four times, only the latter is worth rewriting."""
+    location = fresh_folder(spark, "curated")
+    name = tables.create_curated_table(spark, C.SUPPLIERS, f"curated_{location.rsplit('-', 1)[1]}", location)
+    rows = staged(curate.curated_rows(_tagged_suppliers(spark, folder), C.SUPPLIERS), "rows")
+    tables.append_rows(rows, C.SUPPLIERS, name)
+    for _ in range(3):
+        tables.append_rows(rows.where("tenant_id = 'tenant_1'"), C.SUPPLIERS, name)
+    told = staged(tables.compact_partitions(spark, name, C.SUPPLIERS), "told")
+    again = tables.compact_partitions(spark, name, C.SUPPLIERS).count()
+    kept = tables.read_table(spark, name).groupBy("tenant_key").agg(F.count("*").alias("rows"))
+    return kept.join(told, "tenant_key").select(
+        "tenant_key", "rows", (F.col("before") >= 2 * F.col("after")).alias("fewer_files"), F.lit(again).cast("long").alias("left_to_do")
+    )
+
+
 @query
 def upsert_curated(spark: SparkSession, folder: str) -> DataFrame:
     """Curated suppliers updated, twice, by the valid rows of a later landing batch."""
@@ -1275,6 +1348,41 @@ def incremental_null_cursor(spark: SparkSession, folder: str) -> DataFrame:
     return new.groupBy(F.col("ts").isNull().alias("undated")).agg(F.count("*").alias("rows"))
 
 
+# ---------------------------------------------------------------- distributions
+
+
+@query
+def distribution_shift(spark: SparkSession, folder: str) -> DataFrame:
+    """Categories and lifecycles of the parts against specifications: one that holds nearly, and some that do not."""
+    rows = parts(spark, folder).where("category <> 'BOGUS'")
+    wanted = {
+        "near": ("lifecycle_status", {"ACTIVE": 0.85, "NEW": 0.1, "EOL": 0.05}),
+        "synthetic": ("category", {"ELECTRICAL": 0.35, "MECHANICAL": 0.35, "RAW_MATERIAL": 0.2, "OTHER": 0.1}),
+        "two_of_three": ("lifecycle_status", {"ACTIVE": 0.9, "NEW": 0.1}),
+    }
+    frames = [
+        distributions.chi_square(rows, column, shares).withColumn("specification", F.lit(name))
+        for name, (column, shares) in wanted.items()
+    ]
+    return _rounded(reduce(DataFrame.unionByName, frames), "statistic", "p_value")
+
+
+@query
+def run_shift(spark: SparkSession, folder: str) -> DataFrame:
+    """Two halves of the line items that are alike, and two that are not: distance of their prices and quantities."""
+    items = table(spark, folder, "lineitem")
+    cases = {
+        "alike": ("l_quantity", F.col("l_suppkey") % 2 == 0),
+        "shifted": ("l_extendedprice", F.col("l_quantity") > 25),
+        "nearly": ("l_extendedprice", F.col("l_partkey") % 3 == 0),
+    }
+    frames = [
+        distributions.two_samples(items, number, first).withColumn("case", F.lit(name))
+        for name, (number, first) in cases.items()
+    ]
+    return _rounded(reduce(DataFrame.unionByName, frames), "distance", "p_value")
+
+
 # ---------------------------------------------------------------- profiles that merge
 
 

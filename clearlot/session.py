@@ -90,6 +90,20 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
                 del _cleaning[session]
 
 
+@contextmanager
+def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting of the session for what is started within; what was set before holds again afterwards."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def staged(frame: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``frame`` once to the shared folder and read it back.
 
