@@ -15,7 +15,7 @@ has found it. The last of ``LEVELS`` divisions emits empty ones, too, so no pair
 Equal sets are one class, told by a 64-bit hash; only classes are compared. Sets that share a signature are candidates if
 their parities, a bit for each of ``PARITIES`` cells of the domain, differ in no more places than linked sets can differ in
 elements; candidates are verified by the sets themselves. Documents without words, or text, have an empty set and are linked with nothing.
-Repeated rows are members of one class; a row without an id takes its class's component, and names none.
+Repeated rows are members of one class; a row without an id is linked like any other, but names no component.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ SPARE = 0.08
 PARITIES = 1024
 #: Up to this many rows, a table of ids or keys is broadcast; more are shuffled.
 BROADCAST_ROWS = 500_000
-WORDS_KEPT = 500_000
+WORDS_KEPT = 150_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -164,25 +164,12 @@ def _small(frame: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 def _linked(pairs: DataFrame, sets: DataFrame, alike: tuple[int, int]) -> DataFrame:
     """The pairs ``a, b`` whose sets reach the threshold."""
     num, den = alike
-    schema = schema_of("a long", "b long")
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            ours, theirs = batch.column(2), batch.column(3)
-            for row in range(batch.num_rows):
-                both = np.concatenate([ours[row].values.to_numpy(), theirs[row].values.to_numpy()])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep[row] = den * common >= num * (len(both) - common)
-            yield batch.select([0, 1]).filter(pa.array(keep))
-
-    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("ours"), F.size("shingles").alias("n_a"))
-    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("theirs"), F.size("shingles").alias("n_b"))
+    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("ours"), F.col("size").alias("n_a"))
+    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("theirs"), F.col("size").alias("n_b"))
     sizes = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
-    return (
-        pairs.join(a, "a").join(b, "b").where(sizes).select("a", "b", "ours", "theirs").mapInArrow(task, schema)
-    )
+    common = F.size(F.array_intersect("ours", "theirs"))  # sets, so no element is there twice
+    reached = common * den >= (F.col("n_a") + F.col("n_b") - common) * num
+    return pairs.join(a, "a").join(b, "b").where(sizes).where(reached).select("a", "b")
 
 
 def similar_documents(
@@ -206,26 +193,22 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``docs``, with all columns, of the first document of each component: least id, then least text hash.
 
-    Rows without words stay. Of rows that repeat an id and a text one stays. Rows without an id stay if no document with
-    an id is linked with them, one of each class.
+    Rows without words stay. Of rows that repeat an id and a text one stays. Rows without an id come last: they stay if
+    nothing with an id is in their component, one of each.
     """
     named = staged(_classified(docs, id_column, text_column, alike, shingle), "components")
-    group = F.coalesce("component_id", "class")
-    wordy = named.where(F.col("class").isNotNull()).withColumn("group", group)
+    wordy = named.where(F.col("class").isNotNull())
     first = F.min(F.struct(F.col("id").isNull(), "id", "digest")).alias("first")
-    rows = wordy.groupBy("group", F.col("component_id").isNull().alias("nameless")).agg(first, F.count("*").alias("n"))
+    rows = wordy.groupBy("root").agg(first, F.count("*").alias("n"))
     lost = (
         wordy.join(
-            rows.where("n > 1").select(
-                F.col("group").alias("its_group"), F.col("nameless").alias("its"), F.col("first.id").alias("keep_id"),
-                F.col("first.digest").alias("keep_digest"),
-            ),
-            (F.col("group") == F.col("its_group")) & (F.col("component_id").isNull() == F.col("its")),
+            rows.where("n > 1").select("root", F.col("first.id").alias("keep_id"), F.col("first.digest").alias("keep_digest")),
+            "root",
         )
         .where(~(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("digest") == F.col("keep_digest"))))
         .select(F.col("id").alias("__id"), F.col("digest").alias("__digest"))
         .distinct()
-    )
+    )
     text = text_or_empty(text_column)
     same = F.col(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__digest"))
     left = docs.join(_small(staged(lost, "lost")), same, "left_anti")
@@ -242,7 +225,7 @@ def one_of_each(
 def _classified(
     docs: DataFrame, id_column: str, text_column: str, alike: tuple[int, int], shingle: int
 ) -> DataFrame:
-    """``id, digest, n_shingles, class, component_id`` of every row."""
+    """``id, digest, n_shingles, class, root, component_id`` of every row; ``root`` names the component by a class."""
     own = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
 
     def start():
@@ -257,7 +240,8 @@ def _classified(
     schema = schema_of(id_field(own, "id"), "digest long", "n_shingles long", "class long", "signs array<long>")
     hashed = own.withColumn("digest", F.xxhash64(text_or_empty("text")))
     held = staged(in_python(hashed, schema, start, measure=1), "signatures")
-    classes = held.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("id"))
+    holder = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("holder")
+    classes = held.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("id"), holder)
     signs = held.select("class", F.explode("signs").alias("key"))
     shared = staged(
         signs.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key"),
@@ -266,10 +250,8 @@ def _classified(
     members = staged(
         signs.join(_small(shared), "key").select("key", F.col("class").alias("id")).distinct(), "shares"
     )
-    wanted = (
-        members.select(F.col("id").alias("class")).distinct().join(classes.withColumnRenamed("id", "its_id"), "class")
-    )
-    wanted = staged(wanted.where(F.col("its_id").isNotNull()), "wanted")
+    wanted = members.select(F.col("id").alias("class")).distinct().join(classes, "class")
+    wanted = staged(wanted.select("class", F.col("holder.id").alias("its_id"), F.col("holder.digest").alias("its_digest")), "wanted")
 
     def again():
         shingles = Shingler(shingle)
@@ -280,8 +262,9 @@ def _classified(
 
         return row
 
-    # rows that share an id may hold other texts: the class found again tells them
-    texts = own.join(_small(wanted.select(F.col("its_id").alias("id")).distinct()), "id", "left_semi")
+    # one row of each class gives its set; the class found again tells texts of one hash
+    its = F.col("id").eqNullSafe(F.col("its_id")) & (F.col("digest") == F.col("its_digest"))
+    texts = hashed.join(_small(wanted.select("its_id", "its_digest").distinct()), its, "left_semi").select("id", "text")
     sets = staged(
         in_python(texts, schema_of("id long", "size long", "parity array<long>", "shingles array<long>"), again, measure=1)
         .join(wanted.select(F.col("class").alias("id")), "id", "left_semi")
@@ -306,11 +289,12 @@ def _classified(
         .withColumn("root", F.coalesce("root", "class"))
     )
     numbers = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    numbered = named.join(numbers, "root").select("class", "component_id")
+    numbered = named.join(numbers, "root").select("class", "root", "component_id")
     return held.join(numbered, "class", "left").select(
         "id",
         "digest",
         "n_shingles",
         "class",
+        "root",
         F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"),
     )

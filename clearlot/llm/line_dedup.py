@@ -13,14 +13,14 @@ character pairs differ by more than the edits can change; candidates are verifie
 along the diagonal, a band of 2 * EDITS + 1 cells in the bits of one integer.
 
 Linked lines form groups. Of each group the first line is kept, in the order of document ids and lines, and all others
-are removed; equal lines are one line. What is a copy is judged on the input. Null and empty texts have no lines. Rows with
-the same id and text are one document: they lose the same lines. Rows without an id come first.
+are removed; equal lines are one line. What is a copy is judged on the input. A null text has no lines, an empty one a single
+empty line, which is never compared. Rows with the same id and text are one document: they lose the same lines. Rows without an id come first.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,8 @@ MIN_CHARS = 20
 #: Up to this many rows, keys, lines or documents are broadcast; more are shuffled.
 BROADCAST_ROWS = 500_000
 ROWS_AT_ONCE = 100_000
+#: Lines that a task remembers, so as not to make the keys of a repeated one again.
+LINES_KEPT = 200_000
 #: Cells for pairs of neighbouring characters, a multiple of 64. An edit takes away and adds four pairs at most.
 PARITIES = 256
 PAIRS_OF_AN_EDIT = 4
@@ -55,9 +57,14 @@ def segment(length: int, number: int, edits: int = EDITS) -> tuple[int, int]:
     return start, length * (number + 1) // (edits + 1) - start
 
 
-def line_keys(line: str, edits: int = EDITS, min_chars: int = MIN_CHARS) -> tuple[list[int], list[int]]:
-    """Hashes of the substrings a line is found by, and 1 for those it is indexed by, else 0."""
-    count, keys, own = len(line), [], []
+#: Bytes of a character in the coding whose slices are hashed.
+WIDTH = 4
+
+
+@lru_cache(maxsize=4096)
+def _cuts(count: int, edits: int, min_chars: int) -> tuple[list[tuple[int, int, int]], list[int]]:
+    """For lines of ``count`` characters: first and last byte and seed of each substring, and 1 for those of the index."""
+    cuts, own = [], []
     for less in range(edits + 1):
         length = count - less
         if length < min_chars:
@@ -67,10 +74,16 @@ def line_keys(line: str, edits: int = EDITS, min_chars: int = MIN_CHARS) -> tupl
             first = max(at - number, at + less - (edits - number), 0)
             last = min(at + number, at + less + (edits - number), count - size)
             for start in range(first, last + 1):
-                part = line[start : start + size].encode("utf-8", "surrogatepass")
-                keys.append(xxhash.xxh3_64_intdigest(part, seed=length * (edits + 1) + number))
+                cuts.append((start * WIDTH, (start + size) * WIDTH, length * (edits + 1) + number))
                 own.append(int(not less and start == at))
-    return keys, own
+    return cuts, own
+
+
+def line_keys(line: str, edits: int = EDITS, min_chars: int = MIN_CHARS) -> tuple[list[int], list[int]]:
+    """Hashes of the substrings a line is found by, and 1 for those it is indexed by, else 0."""
+    cuts, own = _cuts(len(line), edits, min_chars)
+    coded, digest = line.encode("utf-32-le", "surrogatepass"), xxhash.xxh3_64_intdigest
+    return [digest(coded[first:last], seed) for first, last, seed in cuts], own
 
 
 def within(one: str, other: str, edits: int = EDITS) -> bool:
@@ -152,13 +165,16 @@ def _keys(own: DataFrame, edits: int, min_chars: int) -> DataFrame:
             columns = [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(np.array(lines, np.int64))]
             return pa.RecordBatch.from_arrays(columns, names=["key", "line"])
 
+        seen: set[int] = set()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for line in text.split("\n"):
                     cut = line.strip()
-                    if len(cut) >= min_chars:
+                    if len(cut) >= min_chars and (number := line_id(cut)) not in seen:
+                        if len(seen) >= LINES_KEPT:
+                            seen.clear()
+                        seen.add(number)
                         found, owned = line_keys(cut, edits, min_chars)
-                        number = line_id(cut)
                         keys += found
                         lines += [number | flag for flag in owned]
                 if len(keys) >= ROWS_AT_ONCE:

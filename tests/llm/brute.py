@@ -105,18 +105,18 @@ def near(one, other, edits):
 
 
 def repeated_lines(docs, edits=2, min_chars=20):
-    """id -> numbers of the lines to remove, for documents with distinct ids."""
+    """id -> numbers of the lines to remove, for documents with distinct ids; edits link lines of ``min_chars`` and more."""
     places: dict[str, list] = {}
     for key, text in docs:
         for number, line in enumerate((text or "").split("\n")):
-            if len(line.strip()) >= min_chars:
+            if line.strip():
                 places.setdefault(line.strip(), []).append((key, number))
     lines = sorted(places, key=len)
     letters = [Counter(line) for line in lines]
     union = Union(lines)
     for at, line in enumerate(lines):
         for before in range(at - 1, -1, -1):
-            if len(lines[before]) < len(line) - edits:
+            if len(lines[before]) < max(min_chars, len(line) - edits):
                 break
             if (letters[at] - letters[before]).total() <= edits and near(lines[before], line, edits):
                 union.link(line, lines[before])
