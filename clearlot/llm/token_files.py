@@ -14,8 +14,11 @@ the end id. Documents with equal ids are ordered by text; null ids come first.
 from __future__ import annotations
 
 import os
+import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,6 +36,8 @@ BATCH_SEQUENCES = 256
 #: Words, and parts of words, that a task remembers; a full table is emptied. Longer ones are not remembered.
 TABLE_SIZE = 600_000
 LONG = 48
+#: Characters of text whose new words are encoded together.
+CHARS_AT_ONCE = 400_000
 #: Marks that are cut off the end of a word.
 MARKS = ".,!?;|"
 
@@ -52,13 +57,15 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         added = self.tokenizer.get_added_tokens_decoder().values()
-        self._added = tuple(dict.fromkeys(one.content.lower() for one in added))
+        names = dict.fromkeys(one.content.lower() for one in added)
+        self._added = re.compile("|".join(map(re.escape, names)) or r"(?!)").search
+        self._code = "H" if self.kind.itemsize == array("H").itemsize else "I"
         self._words: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {"": b""}
 
     def _cut(self, word: str) -> tuple[str, str]:
         lower = word.lower()
-        plain = lower if word.isascii() and not any(token in lower for token in self._added) else word
+        plain = lower if word.isascii() and not self._added(lower) else word
         head = plain.rstrip(MARKS)
         last = head[-1:]  # a letter that lower-casing and normalisation leave as it is
         safe = last.isalnum() and last < "\u0180" and last == last.lower()
@@ -71,27 +78,47 @@ class WordTokenizer:
         new = list(dict.fromkeys(part for cut in cuts for part in cut if part not in self._parts))
         found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         for part, one in zip(new, found, strict=True):
-            self._parts[part] = np.array(one.ids, self.kind).tobytes()
+            self._parts[part] = self._packed(one.ids)
         made = {word: self._parts[a] + self._parts[b] for word, (a, b) in zip(words, cuts, strict=True)}
         for part in new:
             if len(part) > LONG:
                 del self._parts[part]
         return made
 
+    def _packed(self, ids: list[int]) -> bytes:
+        made = array(self._code, ids)
+        if sys.byteorder == "big":
+            made.byteswap()
+        return made.tobytes()
+
     def encode(self, text: str) -> bytes:
         """All ids of a text, packed."""
-        words, known = text.replace("\n", " ").split(" "), self._words
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            new = dict.fromkeys(word for word in words if word not in known)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The same for several texts, whose new words go to the library together."""
+        known, made = self._words, [b""] * len(texts)
+        waiting: list[tuple[int, list[str]]] = []
+        for at, text in enumerate(texts):
+            words = text.replace("\n", " ").split(" ")
+            try:
+                made[at] = b"".join(map(known.__getitem__, words))
+            except KeyError:
+                waiting.append((at, words))
+        if not waiting:
+            return made
+        new = dict.fromkeys(word for _, words in waiting for word in words if word not in known)
         if len(known) + len(new) > TABLE_SIZE:
             known.clear()
-            new = dict.fromkeys(words)
-        made = self._learned(list(new))
-        ids = b"".join(made[word] if word in made else known[word] for word in words)
-        known.update((word, packed) for word, packed in made.items() if len(word) <= LONG)
-        return ids
+            new = dict.fromkeys(word for _, words in waiting for word in words)
+        learned = self._learned(list(new))
+        known.update(learned)
+        for at, words in waiting:
+            made[at] = b"".join(map(known.__getitem__, words))
+        for word in learned:
+            if len(word) > LONG:
+                del known[word]
+        return made
 
 
 @lru_cache(maxsize=1)
@@ -172,6 +199,20 @@ class SequenceFile:
         self.source.close()
 
 
+def _slices(rows: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
+    """Keys and texts of a batch, some texts at a time, fewer if they are long."""
+    keys, texts, chars = [], [], 0
+    for key, text in zip(*(column.to_pylist() for column in rows.columns), strict=True):
+        keys.append(key)
+        texts.append(text)
+        chars += len(text)
+        if chars >= CHARS_AT_ONCE:
+            yield keys, texts
+            keys, texts, chars = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def write_sequences(
     docs: DataFrame,
     folder: str,
@@ -201,15 +242,16 @@ def write_sequences(
         writer, first = None, 0
         for rows in batches:
             made = []
-            for key, text in zip(*(column.to_pylist() for column in rows.columns), strict=True):
+            for keys, texts in _slices(rows):
                 if writer is None:
                     writer = SequenceWriter(f"{uri}/sequences/{name}", own.kind, length, batch)
                     end = np.array([end_id], own.kind).tobytes()
-                ids = own.encode(text) + end
-                writer.add(ids)
-                count = len(ids) // own.kind.itemsize
-                made.append((key, part, name, first, count))
-                first += count
+                for key, encoded in zip(keys, own.encode_all(texts), strict=True):
+                    ids = encoded + end
+                    writer.add(ids)
+                    count = len(ids) // own.kind.itemsize
+                    made.append((key, part, name, first, count))
+                    first += count
             if made:
                 arrow = to_arrow_schema(schema)
                 columns = [pa.array(list(v), f.type) for v, f in zip(zip(*made, strict=True), arrow, strict=True)]
