@@ -36,6 +36,8 @@ BATCH_SEQUENCES = 256
 #: Words, and parts of words, that a task remembers; a full table is emptied. Longer ones are not remembered.
 TABLE_SIZE = 600_000
 LONG = 48
+#: Parts that the library gets as one text.
+PARTS_TOGETHER = 2_000
 #: Characters of text whose new words are encoded together.
 CHARS_AT_ONCE = 400_000
 #: Marks that are cut off the end of a word.
@@ -56,8 +58,14 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        names = dict.fromkeys(one.content.lower() for one in added)
+        added = self.tokenizer.get_added_tokens_decoder()
+        names = dict.fromkeys(one.content.lower() for one in added.values())
+        raw = {
+            one.content: number
+            for number, one in added.items()
+            if not (one.normalized or one.single_word or one.lstrip or one.rstrip)
+        }
+        self._mark, self._mark_id = next(iter(raw.items()), ("", -1))
         self._added = re.compile("|".join(map(re.escape, names)) or r"(?!)").search
         self._code = "H" if self.kind.itemsize == array("H").itemsize else "I"
         self._words: dict[str, bytes] = {}
@@ -76,15 +84,33 @@ class WordTokenizer:
         if len(self._parts) > TABLE_SIZE:
             self._parts = {"": b""}
         new = list(dict.fromkeys(part for cut in cuts for part in cut if part not in self._parts))
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for part, one in zip(new, found, strict=True):
-            self._parts[part] = self._packed(one.ids)
+        for start in range(0, len(new), PARTS_TOGETHER):
+            some = new[start : start + PARTS_TOGETHER]
+            self._parts.update(zip(some, self._encoded(some), strict=True))
         made = {word: self._parts[a] + self._parts[b] for word, (a, b) in zip(words, cuts, strict=True)}
         for part in new:
             if len(part) > LONG:
                 del self._parts[part]
         return made
 
+    def _encoded(self, parts: list[str]) -> list[bytes]:
+        """The packed ids of each part.
+
+        An added token that is matched as it is written separates what stands around it, so the library can take all parts as
+        one text with that token between them. Where a part holds something like an added token, or the token is not
+        found as often as it was put, the parts are encoded one by one.
+        """
+        if self._mark and not self._added("\n".join(parts).lower()):
+            whole = self.tokenizer.encode_batch_fast([self._mark.join(parts)], add_special_tokens=False)[0].ids
+            ids = np.array(whole, self.kind)
+            marks = np.flatnonzero(ids == self._mark_id)
+            if len(marks) == len(parts) - 1:
+                packed, size = ids.tobytes(), self.kind.itemsize
+                starts, ends = [0, *((marks + 1) * size).tolist()], [*(marks * size).tolist(), len(packed)]
+                return [packed[start:end] for start, end in zip(starts, ends, strict=True)]
+        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        return [self._packed(one.ids) for one in found]
+
     def _packed(self, ids: list[int]) -> bytes:
         made = array(self._code, ids)
         if sys.byteorder == "big":

@@ -32,3 +32,15 @@ def test_documents_with_words_like_added_tokens(spark, make_docs, tmp_path):
         want.append((key, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, token_files.document_checksums(spark, place).collect())) == want
+
+
+def test_parts_are_encoded_as_if_alone():
+    """Whatever stands beside it, a part gets the ids that the library gives to it alone."""
+    tokenizer = token_files.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    parts = ["a", "Ünï", "x\ty", "<", "<|", "|>", "<|endoftext|", "endoftext|>", "\u200b", "\x00", "日本", "👍🏽", "'s", "12a3", "e\u0301", "\r", "ß" * 60]
+    alone = [tokenizer._packed(tokenizer.tokenizer.encode(part, add_special_tokens=False).ids) for part in parts]
+    assert tokenizer._encoded(parts) == alone
+    more = [*parts, "<|endoftext|>", "<|EndOfText|>x"]
+    alone = [tokenizer._packed(tokenizer.tokenizer.encode(part, add_special_tokens=False).ids) for part in more]
+    assert tokenizer._encoded(more) == alone
+    assert tokenizer._encoded(["one"]) == [tokenizer.encode("one")]
