@@ -44,6 +44,18 @@ CHARS_AT_ONCE = 400_000
 MARKS = ".,!?;|"
 
 
+class _Table(dict):
+    """Ids of words; a word that is not there is noted in ``new`` and counts as nothing."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: dict[str, None] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        self.new[word] = None
+        return b""
+
+
 class WordTokenizer:
     """A tokenizer of the tokenizers library whose pieces never hold white space, and that knows no upper case.
 
@@ -68,7 +80,7 @@ class WordTokenizer:
         self._mark, self._mark_id = next(iter(raw.items()), ("", -1))
         self._added = re.compile("|".join(map(re.escape, names)) or r"(?!)").search
         self._code = "H" if self.kind.itemsize == array("H").itemsize else "I"
-        self._words: dict[str, bytes] = {}
+        self._words = _Table()
         self._parts: dict[str, bytes] = {"": b""}
 
     def _cut(self, word: str) -> tuple[str, str]:
@@ -123,17 +135,17 @@ class WordTokenizer:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The same for several texts, whose new words go to the library together."""
-        known, made = self._words, [b""] * len(texts)
+        known, made = self._words, []
         waiting: list[tuple[int, list[str]]] = []
         for at, text in enumerate(texts):
-            words = text.replace("\n", " ").split(" ")
-            try:
-                made[at] = b"".join(map(known.__getitem__, words))
-            except KeyError:
+            words, before = text.replace("\n", " ").split(" "), len(known.new)
+            made.append(b"".join(map(known.__getitem__, words)))
+            if len(known.new) > before or (before and not known.new.keys().isdisjoint(words)):
                 waiting.append((at, words))
         if not waiting:
             return made
-        new = dict.fromkeys(word for _, words in waiting for word in words if word not in known)
+        new = known.new
+        known.new = {}
         if len(known) + len(new) > TABLE_SIZE:
             known.clear()
             new = dict.fromkeys(word for _, words in waiting for word in words)
