@@ -83,26 +83,38 @@ class WordTokenizer:
         self._words = _Table()
         self._parts: dict[str, bytes] = {"": b""}
 
-    def _cut(self, word: str) -> tuple[str, str]:
-        lower = word.lower()
-        plain = lower if word.isascii() and not self._added(lower) else word
-        head = plain.rstrip(MARKS)
-        last = head[-1:]  # a letter that lower-casing and normalisation leave as it is
-        safe = last.isalnum() and last < "\u0180" and last == last.lower()
-        return (head, plain[len(head) :]) if safe else (plain, "")
+    def _cut(self, words: list[str]) -> list[tuple[str, str]]:
+        """Each word without the marks at its end, and the marks, where both can be encoded apart."""
+        looks = self._added if self._added("\n".join(words).lower()) else None
+        cuts = []
+        for word in words:
+            plain = word
+            if word.isascii():
+                lower = word.lower()
+                if looks is None or not looks(lower):
+                    plain = lower
+            if plain[-1:] in MARKS:
+                head = plain.rstrip(MARKS)
+                last = head[-1:]  # a letter that lower-casing and normalisation leave as it is
+                if last.isalnum() and last < "\u0180" and last == last.lower():
+                    cuts.append((head, plain[len(head) :]))
+                    continue
+            cuts.append((plain, ""))
+        return cuts
 
     def _learned(self, words: list[str]) -> dict[str, bytes]:
-        cuts = [self._cut(word) for word in words]
+        cuts = self._cut(words)
         if len(self._parts) > TABLE_SIZE:
             self._parts = {"": b""}
-        new = list(dict.fromkeys(part for cut in cuts for part in cut if part not in self._parts))
+        parts = self._parts
+        new = list(dict.fromkeys(part for cut in cuts for part in cut if part not in parts))
         for start in range(0, len(new), PARTS_TOGETHER):
             some = new[start : start + PARTS_TOGETHER]
-            self._parts.update(zip(some, self._encoded(some), strict=True))
-        made = {word: self._parts[a] + self._parts[b] for word, (a, b) in zip(words, cuts, strict=True)}
+            parts.update(zip(some, self._encoded(some), strict=True))
+        made = {word: parts[a] + parts[b] if b else parts[a] for word, (a, b) in zip(words, cuts, strict=True)}
         for part in new:
             if len(part) > LONG:
-                del self._parts[part]
+                del parts[part]
         return made
 
     def _encoded(self, parts: list[str]) -> list[bytes]:
