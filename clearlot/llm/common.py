@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clearlot.session import session_setting, staged
+
 #: Rows that a task hands back at once, and the characters of input after which it does so earlier.
 ROWS_AT_ONCE = 2_000
 CHARS_AT_ONCE = 8_000_000
@@ -67,6 +69,12 @@ def in_python(
     return frame.mapInArrow(task, schema)
 
 
+def staged_small(frame: DataFrame, label: str) -> DataFrame:
+    """``staged``, with Arrow batches of at most ROWS_AT_ONCE rows between Spark and Python: whole texts make large ones."""
+    with session_setting(frame.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE)):
+        return staged(frame, label)
+
+
 def schema_of(*fields: str) -> T.StructType:
     """A schema from texts such as ``"doc_id long"``."""
     return T.StructType.fromDDL(", ".join(fields))

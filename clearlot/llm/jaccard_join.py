@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearlot.llm.common import id_field, in_python, schema_of, text_or_empty
+from clearlot.llm.common import id_field, in_python, schema_of, staged_small, text_or_empty
 from clearlot.llm.linking import link_groups
 from clearlot.session import staged
 
@@ -239,7 +239,7 @@ def _classified(
 
     schema = schema_of(id_field(own, "id"), "digest long", "n_shingles long", "class long", "signs array<long>")
     hashed = own.withColumn("digest", F.xxhash64(text_or_empty("text")))
-    held = staged(in_python(hashed, schema, start, measure=1), "signatures")
+    held = staged_small(in_python(hashed, schema, start, measure=1), "signatures")
     holder = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("holder")
     classes = held.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("id"), holder)
     signs = held.select("class", F.explode("signs").alias("key"))
@@ -265,7 +265,7 @@ def _classified(
     # one row of each class gives its set; the class found again tells texts of one hash
     its = F.col("id").eqNullSafe(F.col("its_id")) & (F.col("digest") == F.col("its_digest"))
     texts = hashed.join(_small(wanted.select("its_id", "its_digest").distinct()), its, "left_semi").select("id", "text")
-    sets = staged(
+    sets = staged_small(
         in_python(texts, schema_of("id long", "size long", "parity array<long>", "shingles array<long>"), again, measure=1)
         .join(wanted.select(F.col("class").alias("id")), "id", "left_semi")
         .dropDuplicates(["id"]),

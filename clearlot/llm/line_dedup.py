@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearlot.llm.common import schema_of, text_or_empty
+from clearlot.llm.common import schema_of, staged_small, text_or_empty
 from clearlot.llm.linking import link_groups
 from clearlot.session import staged
 
@@ -248,12 +248,12 @@ def removed_lines(
 ) -> DataFrame:
     """``id, digest, removed``: the numbers, from 0, of the lines that each document loses; only documents that lose some."""
     own = _documents(docs, id_column, text_column)
-    lines = staged(_lines(own), "lines")
+    lines = staged_small(_lines(own), "lines")
     place = F.struct("id", "digest", "number")
     firsts = lines.groupBy("line").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     found = _keys(own, edits, min_chars)
     bare = F.col("line").bitwiseAND(F.lit(~1))
-    shared = staged(
+    shared = staged_small(
         found.groupBy("key")
         .agg(F.min("line").alias("low"), F.max("line").alias("high"))
         .where(F.col("low").bitwiseAND(F.lit(~1)) != F.col("high").bitwiseAND(F.lit(~1)))
@@ -261,10 +261,10 @@ def removed_lines(
         "shared",
     )
     met = found.join(_small(shared), "key").groupBy("key", bare.alias("id")).agg(F.max(F.col("line").bitwiseAND(F.lit(1))).alias("own"))
-    met = staged(met, "met")
+    met = staged_small(met, "met")
     indexed = met.groupBy("key").agg(F.max("own").alias("any")).where(F.col("any") == 1).select("key")
     wanted = firsts.join(met.select(F.col("id").alias("line")).distinct(), "line", "left_semi").select("line", "first.*")
-    texts = staged(_texts(own, wanted, min_chars), "texts")
+    texts = staged_small(_texts(own, wanted, min_chars), "texts")
     words = [F.col("parity")[at].alias(f"parity{at}") for at in range(PARITIES // 64)]
     members = staged(met.join(indexed, "key", "left_semi").select("key", "id").join(texts.select("id", "chars", *words), "id"), "members")
 
