@@ -20,12 +20,10 @@ Repeated rows are members of one class; a row without an id is linked like any o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
