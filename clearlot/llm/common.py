@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from clearlot.session import session_setting, staged
 
 #: Rows that a task hands back at once, and the characters of input after which it does so earlier.
-ROWS_AT_ONCE = 2_000
-CHARS_AT_ONCE = 8_000_000
+ROWS_AT_ONCE = 500
+CHARS_AT_ONCE = 2_000_000
 
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 

@@ -41,7 +41,7 @@ SPARE = 0.08
 PARITIES = 1024
 #: Up to this many rows, a table of ids or keys is broadcast; more are shuffled.
 BROADCAST_ROWS = 500_000
-WORDS_KEPT = 150_000
+WORDS_KEPT = 100_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
