@@ -1,15 +1,19 @@
 """Removal of byte strings that a document with a smaller id also holds, by suffix arrays.
 
 A window is a string of ``WINDOW`` bytes. Every window has an anchor, the run of ``GRAM`` bytes in it with the least hash,
-so equal windows have equal anchors wherever they stand. Consecutive windows with one anchor are a piece. Only pieces
-whose anchor occurs under two ids can hold a repeated window. A bit map of these anchors, in the shared folder, tells the
-tasks which pieces to send; its size is bounded, and where it is too small, or two anchors share a bit, pieces are sent in
-vain but none is missed. Pieces go to shards by their anchors, equal pieces only once, with the least id.
+so equal windows have equal anchors wherever they stand. A window holds half of its other bytes, or more, on the left of the
+anchor or else on its right; the anchor and so many bytes on that side are the window's core, and equal windows have equal
+cores. Consecutive windows with one core are a piece. Only pieces whose core occurs under two ids can hold a repeated
+window. A bit map of the hashes of these cores, in the shared folder, tells the tasks which pieces to send; its size is
+bounded, and where it is too small, or two cores share a bit, pieces are sent in vain but none is missed. Pieces go to
+shards by their cores, equal pieces only once, with the least id. There are as many shards as the counted bytes of the
+pieces ask for. A core whose different pieces would fill a shard by themselves is split: its pieces are cut into single
+windows, which go to shards by their own hashes.
 
 A shard sorts the suffixes of its pieces: first by eight bytes, then, in Larsson and Sadakane's way, groups that are not
 sorted yet by the rank of what follows, twice as far each time. The common prefixes of neighbours come from Kasai's rule,
-along all pieces at once. Neighbours that share a whole window form a group, with the least id of its pieces. A shard
-larger than ``SHARD_BYTES`` makes several suffix arrays, merged by binary search for the windows of one in the others.
+along all pieces at once. Neighbours that share a whole window form a group, with the least id of its pieces. A shard that
+came out larger than ``SHARD_BYTES`` makes several suffix arrays, merged by binary search for the windows of one in the others.
 The bytes of every window whose group has a smaller id than its document are removed.
 
 Texts are UTF-8; null texts are empty. Rows without an id lose nothing and take nothing. Rows with the same id do not count
@@ -37,6 +41,8 @@ CHUNK = 1 << 22
 SHARD_BYTES = 1 << 22
 #: Up to this many documents with something to remove are broadcast; more are shuffled.
 BROADCAST_DOCS = 500_000
+#: The same for hot cores.
+BROADCAST_KEYS = 500_000
 #: Bits of the map for each anchor, and in all; bits of a slice, which one task makes.
 BITS_PER_ANCHOR = 32
 MOST_BITS = 1 << 31
@@ -58,8 +64,9 @@ def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
 
 
 def pieces_of(data: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first and last window start of each piece of a text."""
+    """Core hash, first and last window start of each piece of a text."""
     made = []
+    beside = (window - gram + 1) // 2  # bytes of a core beside the anchor
     for start in range(0, max(0, len(data) - window + 1), CHUNK):
         part = data[start : start + CHUNK + window - 1]
         hashes = gram_hashes(part, gram)
@@ -74,12 +81,24 @@ def pieces_of(data: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple
         anchors = (low - (least & low)).astype(np.int64)
         first = np.concatenate([[0], np.flatnonzero(np.diff(anchors)) + 1])
         last = np.concatenate([first[1:], [len(anchors)]]) - 1
-        made.append((hashes[anchors[first]].view(np.int64), first + start, last + start))
+        places = anchors[first]
+        left, right = first <= places - beside, last > places - beside
+        made.append((_cores(hashes, places[left], -1, beside, gram), first[left], np.minimum(last, places - beside)[left]))
+        made.append((_cores(hashes, places[right], 1, beside, gram), np.maximum(first, places - beside + 1)[right], last[right]))
+        made[-2:] = [(core, one + start, other + start) for core, one, other in made[-2:]]
     if not made:
         return (np.zeros(0, np.int64),) * 3
     return tuple(np.concatenate(columns) for columns in zip(*made, strict=True))
 
 
+def _cores(hashes: np.ndarray, anchors: np.ndarray, side: int, beside: int, gram: int) -> np.ndarray:
+    """Hashes of anchors with the bytes on their left (``side`` -1) or right (1)."""
+    values = hashes[anchors] + np.uint64(side + 2)
+    for shift in range(beside, 0, -gram):
+        values = (values ^ (values >> np.uint64(29))) * _B + hashes[anchors + side * shift] * _C
+    return (values ^ (values >> np.uint64(31))).view(np.int64)
+
+
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """The places of a text in the order of its suffixes."""
     count = len(text)
@@ -287,8 +306,31 @@ def _packed(made: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
 
+def _cut(found: DataFrame, window: int) -> DataFrame:
+    """Every window of the pieces as a piece of its own, which goes by its own hash."""
+    places = F.explode(F.sequence(F.lit(0), F.length("piece") - window))
+    cut = found.withColumn("at", places).withColumn("piece", F.expr(f"substring(piece, at + 1, {int(window)})"))
+    return cut.select(
+        F.xxhash64("piece").alias("anchor"),
+        "id",
+        "digest",
+        (F.col("start") + F.col("at")).cast("int").alias("start"),
+        "piece",
+        F.xxhash64(F.lit("cut"), "piece").alias("hash"),
+    )
+
+
+def _distinct(found: DataFrame) -> DataFrame:
+    return found.groupBy("anchor", "piece").agg(F.min("id").alias("least"), F.first("hash").alias("hash"))
+
+
 def repeated_spans(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, gram: int = GRAM
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    window: int = WINDOW,
+    gram: int = GRAM,
+    shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """``id, digest, spans`` (first byte, byte after the last) to remove; spans may overlap."""
     own = docs.where(F.col(id_column).isNotNull()).select(
@@ -306,8 +348,17 @@ def repeated_spans(
     found = staged(
         _pieces(own, window, gram, _bit_map(shared)).withColumn("hash", F.xxhash64("piece")), "pieces"
     )
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    distinct = found.groupBy("anchor", "piece").agg(F.min("id").alias("least"), F.first("hash").alias("hash"))
+    distinct = staged(_distinct(found), "distinct")
+    bytes_held = F.sum(F.length("piece") + 1)
+    hot = staged(distinct.groupBy("anchor").agg(bytes_held.alias("held")).where(F.col("held") > shard_bytes), "hot")
+    if not hot.isEmpty():
+        hot = _small(hot.select("anchor"), BROADCAST_KEYS)
+        cut = staged(_cut(found.join(hot, "anchor", "left_semi"), window), "windows")
+        found = found.join(hot, "anchor", "left_anti").unionByName(cut)
+        distinct = distinct.join(hot, "anchor", "left_anti").unionByName(_distinct(cut))
+        distinct = staged(distinct, "distinct")
+    held = distinct.agg(bytes_held.alias("held")).first()["held"] or 0
+    shards = 1 + max(2 * held // shard_bytes, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     told = schema_of("anchor long", "hash long", "first int", "last int", "least long")
 
     def shard(table: pa.Table) -> pa.Table:
@@ -315,7 +366,9 @@ def repeated_spans(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         owners, firsts, lasts, leasts = [], [], [], []
-        for number, least in enumerate(least_ids(table.column("piece").to_pylist(), table.column("least").to_numpy(), window)):
+        pieces, ids = table.column("piece").to_pylist(), table.column("least").to_numpy()
+        found_ids = least_ids(pieces, ids, window, shard_bytes)
+        for number, least in enumerate(found_ids):
             first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
             owners.append(np.full(len(first), number))
             firsts.append(first)
@@ -328,7 +381,7 @@ def repeated_spans(
         return pa.Table.from_arrays([pa.array(c).cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     answers = (
-        distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(4 * shards)))
+        distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
         .groupBy("shard")
         .applyInArrow(shard, told)
     )
