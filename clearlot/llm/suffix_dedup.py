@@ -5,10 +5,11 @@ so equal windows have equal anchors wherever they stand. A window holds half of
 anchor or else on its right; the anchor and so many bytes on that side are the window's core, and equal windows have equal
 cores. Consecutive windows with one core are a piece. Only pieces whose core occurs under two ids can hold a repeated
 window. A bit map of the hashes of these cores, in the shared folder, tells the tasks which pieces to send; its size is
-bounded, and where it is too small, or two cores share a bit, pieces are sent in vain but none is missed. Pieces go to
-shards by their cores, equal pieces only once, with the least id. There are as many shards as the counted bytes of the
-pieces ask for. A core whose different pieces would fill a shard by themselves is split: its pieces are cut into single
-windows, which go to shards by their own hashes.
+bounded, and where it is too small, or two cores share a bit, pieces are sent in vain but none is missed. First a piece is
+sent as its place and a 64-bit hash of its bytes. Where all pieces of a core have one hash, that piece and its least id stand
+for all. Where they differ, one of each kind goes, with its bytes and its least id, to a shard by the hash of the core.
+There are as many shards as the counted bytes ask for. A core whose different pieces would fill a shard by themselves is
+split: its pieces are cut into single windows, which go to shards by their own hashes.
 
 A shard sorts the suffixes of its pieces: first by eight bytes, then, in Larsson and Sadakane's way, groups that are not
 sorted yet by the rank of what follows, twice as far each time. The common prefixes of neighbours come from Kasai's rule,
@@ -259,32 +260,41 @@ def _marked(anchors: np.ndarray, bit_map: np.ndarray) -> np.ndarray:
     return (bit_map[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 > 0
 
 
+def piece_hashes(hashes: np.ndarray, first: np.ndarray, ends: np.ndarray, gram: int = GRAM) -> np.ndarray:
+    """A hash of the bytes from each first place up to each end, from those of the grams that cover them."""
+    values, last = (ends - first).astype(np.uint64), ends - gram
+    for shift in range(0, int((last - first).max(initial=0)) + gram, gram):
+        values = (values ^ (values >> np.uint64(31))) * _C + hashes[np.minimum(first + shift, last)] * _A
+    return ((values ^ (values >> np.uint64(29))) * _B).view(np.int64)
+
+
 def _pieces(own: DataFrame, window: int, gram: int, bit_map: tuple[str, int] | None = None) -> DataFrame:
-    """``anchor, id`` of all pieces; with a bit map, ``digest, start, piece`` of those that it marks, too."""
-    with_bytes = bit_map is not None
-    schema = schema_of("anchor long", "id long", *["digest long", "start int", "piece binary"] * with_bytes)
+    """``anchor, id`` of all pieces; with a bit map, ``digest, hash, start, size`` of those that it marks, too."""
+    with_places = bit_map is not None
+    more = ["digest long", "hash long", "start int", "size int"] * with_places
+    schema = schema_of("anchor long", "id long", *more)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        marks = _read_bit_map(*bit_map) if with_bytes else None
+        marks = _read_bit_map(*bit_map) if with_places else None
         for batch in batches:
             made: list[tuple] = []
             held = 0
             for key, text, digest in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                data = text.encode("utf-8", "surrogatepass")
-                anchors, first, last = pieces_of(np.frombuffer(data, np.uint8), window, gram)
-                if with_bytes and len(anchors):
+                data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+                anchors, first, last = pieces_of(data, window, gram)
+                if with_places and len(anchors):
                     chosen = _marked(anchors, marks)
                     anchors, first, last = anchors[chosen], first[chosen], last[chosen]
                 if not len(anchors):
                     continue
                 one = [anchors, np.full(len(anchors), key, np.int64)]
-                if with_bytes:
+                if with_places:
                     ends = last + window
-                    parts = [data[a:b] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
-                    one += [np.full(len(anchors), digest, np.int64), first.astype(np.int32), parts]
+                    one += [np.full(len(anchors), digest, np.int64), _hashed(data, first, ends, gram)]
+                    one += [first.astype(np.int32), (ends - first).astype(np.int32)]
                 made.append(tuple(one))
                 held += len(anchors)
                 if held > 50_000:
@@ -296,32 +306,41 @@ def _pieces(own: DataFrame, window: int, gram: int, bit_map: tuple[str, int] | N
     return own.select("id", "text", "digest").mapInArrow(task, schema)
 
 
-def _packed(made: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
-    columns = []
-    for values, field in zip(zip(*made, strict=True), arrow, strict=True):
-        if isinstance(values[0], list):
-            columns.append(pa.array([part for parts in values for part in parts], field.type))
-        else:
-            columns.append(pa.array(np.concatenate(values), field.type))
-    return pa.RecordBatch.from_arrays(columns, schema=arrow)
+def _hashed(data: np.ndarray, first: np.ndarray, ends: np.ndarray, gram: int) -> np.ndarray:
+    """``piece_hashes`` of a text, whose grams are hashed some at a time."""
+    made, parts = np.zeros(len(first), np.int64), first // CHUNK
+    for part in np.unique(parts):
+        chosen, start = parts == part, int(part) * CHUNK
+        hashes = gram_hashes(data[start : int(ends[chosen].max())], gram)
+        made[chosen] = piece_hashes(hashes, first[chosen] - start, ends[chosen] - start, gram)
+    return made
 
 
-def _cut(found: DataFrame, window: int) -> DataFrame:
-    """Every window of the pieces as a piece of its own, which goes by its own hash."""
-    places = F.explode(F.sequence(F.lit(0), F.length("piece") - window))
-    cut = found.withColumn("at", places).withColumn("piece", F.expr(f"substring(piece, at + 1, {int(window)})"))
-    return cut.select(
-        F.xxhash64("piece").alias("anchor"),
-        "id",
-        "digest",
-        (F.col("start") + F.col("at")).cast("int").alias("start"),
-        "piece",
-        F.xxhash64(F.lit("cut"), "piece").alias("hash"),
+def _packed(made: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
+    columns = zip(zip(*made, strict=True), arrow, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v), f.type) for v, f in columns], schema=arrow)
+
+
+def _with_bytes(kinds: DataFrame, own: DataFrame) -> DataFrame:
+    """``anchor, hash, least, piece``: the bytes come from the text that holds the first piece of its kind."""
+    wanted = F.struct("anchor", "hash", "start", "size")
+    places = kinds.groupBy("id", "digest").agg(F.collect_list(wanted).alias("wanted"))
+    texts = own.select("id", "digest", F.col("text").cast("binary").alias("data")).dropDuplicates(["id", "digest"])
+    taken = F.transform(
+        "wanted",
+        lambda one: F.struct(
+            one["anchor"].alias("anchor"), one["hash"].alias("hash"), F.substring(F.col("data"), one["start"] + 1, one["size"]).alias("piece")
+        ),
     )
+    rows = texts.join(places, ["id", "digest"]).select(F.col("id").alias("least"), F.explode(taken).alias("one"))
+    return rows.select("one.anchor", "one.hash", "least", "one.piece")
 
 
-def _distinct(found: DataFrame) -> DataFrame:
-    return found.groupBy("anchor", "piece").agg(F.min("id").alias("least"), F.first("hash").alias("hash"))
+def _windows(pieces: DataFrame, window: int) -> DataFrame:
+    """Every window of the pieces: ``anchor, hash, first``, and ``core, piece, kind, least`` as it goes by its own hash."""
+    places = F.explode(F.sequence(F.lit(0), F.length("piece") - window))
+    cut = pieces.withColumn("first", places).withColumn("piece", F.substring("piece", F.col("first") + 1, F.lit(window)))
+    return cut.withColumn("core", F.xxhash64("piece")).withColumn("kind", F.xxhash64(F.lit("window"), "piece"))
 
 
 def repeated_spans(
@@ -345,19 +364,29 @@ def repeated_spans(
         .select("anchor"),
         "anchors",
     )
-    found = staged(
-        _pieces(own, window, gram, _bit_map(shared)).withColumn("hash", F.xxhash64("piece")), "pieces"
+    found = staged(_pieces(own, window, gram, _bit_map(shared)), "pieces")
+    cores = staged(
+        found.groupBy("anchor")
+        .agg(F.min("id").alias("least"), F.max("id").alias("most"), F.min("hash").alias("low"), F.max("hash").alias("high"))
+        .where("least < most"),
+        "cores",
     )
-    distinct = staged(_distinct(found), "distinct")
+    # pieces that differ: one of each kind, with its bytes
+    mixed = _small(cores.where("low < high").select("anchor"), BROADCAST_KEYS)
+    place = F.min(F.struct("id", "digest", "start", "size")).alias("place")
+    kinds = found.join(mixed, "anchor", "left_semi").groupBy("anchor", "hash").agg(place)
+    pieces = staged(_with_bytes(staged(kinds.select("anchor", "hash", "place.*"), "kinds"), own), "bytes")
     bytes_held = F.sum(F.length("piece") + 1)
-    hot = staged(distinct.groupBy("anchor").agg(bytes_held.alias("held")).where(F.col("held") > shard_bytes), "hot")
+    hot = staged(pieces.groupBy("anchor").agg(bytes_held.alias("held")).where(F.col("held") > shard_bytes), "hot")
+    windows = None
     if not hot.isEmpty():
         hot = _small(hot.select("anchor"), BROADCAST_KEYS)
-        cut = staged(_cut(found.join(hot, "anchor", "left_semi"), window), "windows")
-        found = found.join(hot, "anchor", "left_anti").unionByName(cut)
-        distinct = distinct.join(hot, "anchor", "left_anti").unionByName(_distinct(cut))
-        distinct = staged(distinct, "distinct")
-    held = distinct.agg(bytes_held.alias("held")).first()["held"] or 0
+        windows = staged(_windows(pieces.join(hot, "anchor", "left_semi"), window), "windows")
+        own_windows = windows.groupBy("core", "piece").agg(F.min("least").alias("least"), F.first("kind").alias("hash"))
+        pieces = staged(
+            pieces.join(hot, "anchor", "left_anti").unionByName(own_windows.withColumnRenamed("core", "anchor")), "bytes"
+        )
+    held = pieces.agg(bytes_held.alias("held")).first()["held"] or 0
     shards = 1 + max(2 * held // shard_bytes, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     told = schema_of("anchor long", "hash long", "first int", "last int", "least long")
 
@@ -366,8 +395,7 @@ def repeated_spans(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         owners, firsts, lasts, leasts = [], [], [], []
-        pieces, ids = table.column("piece").to_pylist(), table.column("least").to_numpy()
-        found_ids = least_ids(pieces, ids, window, shard_bytes)
+        found_ids = least_ids(table.column("piece").to_pylist(), table.column("least").to_numpy(), window, shard_bytes)
         for number, least in enumerate(found_ids):
             first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
             owners.append(np.full(len(first), number))
@@ -381,13 +409,23 @@ def repeated_spans(
         return pa.Table.from_arrays([pa.array(c).cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     answers = (
-        distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+        pieces.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
         .groupBy("shard")
         .applyInArrow(shard, told)
     )
-    span = F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last") + window).alias("end"))
+    if windows is not None:
+        answers = staged(answers, "answers")
+        each = answers.select(F.col("anchor").alias("core"), F.col("hash").alias("kind"), F.col("least").alias("told"))
+        split = windows.join(each, ["core", "kind"]).select(
+            "anchor", "hash", "first", F.col("first").alias("last"), F.col("told").alias("least")
+        )
+        answers = answers.unionByName(split)
+    alike = cores.where("low = high").select("anchor", F.col("low").alias("hash"), F.lit(0).alias("first"), F.lit(-1).alias("last"), "least")
+    answers = answers.unionByName(alike)
+    last = F.when(F.col("last") < 0, F.col("size") - window).otherwise(F.col("last"))
+    span = F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + last + window).alias("end"))
     return (
-        found.select("anchor", "hash", "id", "digest", "start")
+        found.select("anchor", "hash", "id", "digest", "start", "size")
         .join(answers, ["anchor", "hash"])
         .where(F.col("least") < F.col("id"))
         .groupBy("id", "digest")

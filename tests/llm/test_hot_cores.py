@@ -43,3 +43,14 @@ def test_equal_windows_have_equal_cores():
         cores, first, last = suffix_dedup.pieces_of(data)
         found.add(int(cores[(first <= before) & (before <= last)][0]))
     assert len(found) == 1
+
+
+def test_hashes_of_pieces_tell_them_apart():
+    rng = np.random.default_rng(6)
+    data = rng.integers(97, 99, 500).astype(np.uint8)
+    data = np.concatenate([data, data[:200]])
+    first = np.repeat(np.arange(0, 600), 18)
+    ends = np.minimum(first + 50 + np.tile(np.arange(18), 600), len(data))
+    found = suffix_dedup.piece_hashes(suffix_dedup.gram_hashes(data), first, ends)
+    texts = [data[a:b].tobytes() for a, b in zip(first, ends, strict=True)]
+    assert len(set(found.tolist())) == len(set(texts)) == len(set(zip(found.tolist(), texts, strict=True)))
