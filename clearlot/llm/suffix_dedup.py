@@ -40,9 +40,9 @@ GRAM = 16
 #: Windows of a text that are looked at together.
 CHUNK = 1 << 22
 SHARD_BYTES = 1 << 22
-#: Up to this many documents with something to remove are broadcast; more are shuffled.
-BROADCAST_DOCS = 500_000
-#: The same for hot cores.
+#: Up to this many spans to remove are broadcast, with their documents; more are shuffled.
+BROADCAST_SPANS = 500_000
+#: The same for cores.
 BROADCAST_KEYS = 500_000
 #: Bits of the map for each anchor, and in all; bits of a slice, which one task makes.
 BITS_PER_ANCHOR = 32
@@ -438,7 +438,9 @@ def without_repeats(
 ) -> DataFrame:
     """Per document ``n_bytes, n_removed, n_spans`` and ``kept``, the bytes that are left; other columns are left out."""
     gone = staged(repeated_spans(docs, id_column, text_column, window, gram), "spans")
-    gone = _small(gone.withColumnsRenamed({"id": "its_id", "digest": "its_digest"}), BROADCAST_DOCS)
+    held = gone.agg(F.sum(F.size("spans"))).first()[0] or 0
+    gone = gone.withColumnsRenamed({"id": "its_id", "digest": "its_digest"})
+    gone = F.broadcast(gone) if held <= BROADCAST_SPANS else gone.hint("merge")
     own = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text"))
     same = (F.col("id") == F.col("its_id")) & (F.xxhash64("text") == F.col("its_digest"))
     joined = own.join(gone, same, "left").select(
