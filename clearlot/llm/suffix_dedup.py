@@ -40,6 +40,9 @@ GRAM = 16
 #: Windows of a text that are looked at together.
 CHUNK = 1 << 22
 SHARD_BYTES = 1 << 22
+#: Bytes of short texts that are looked at together, and pieces that a task hands back at once.
+BYTES_TOGETHER = 1 << 18
+PIECES_AT_ONCE = 50_000
 #: Up to this many spans to remove are broadcast, with their documents; more are shuffled.
 BROADCAST_SPANS = 500_000
 #: The same for cores.
@@ -64,10 +67,13 @@ def gram_hashes(data: np.ndarray, size: int = GRAM) -> np.ndarray:
     return values
 
 
-def pieces_of(data: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Core hash, first and last window start of each piece of a text."""
+def pieces_of(
+    data: np.ndarray, window: int = WINDOW, gram: int = GRAM, sizes: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Core hash, first and last window start of each piece of a text, or of texts of these sizes that follow each other."""
     made = []
     beside = (window - gram + 1) // 2  # bytes of a core beside the anchor
+    borders = np.cumsum([len(data)] if sizes is None else sizes)
     for start in range(0, max(0, len(data) - window + 1), CHUNK):
         part = data[start : start + CHUNK + window - 1]
         hashes = gram_hashes(part, gram)
@@ -80,8 +86,20 @@ def pieces_of(data: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple
         if reach < span:
             least = np.minimum(least[: len(least) - (span - reach)], least[span - reach :])
         anchors = (low - (least & low)).astype(np.int64)
-        first = np.concatenate([[0], np.flatnonzero(np.diff(anchors)) + 1])
+        # the last window of a text begins a window before its end; those from there on, up to the border, are none
+        ends = borders[(borders > start) & (borders < start + len(part))] - start
+        edges = np.zeros(len(anchors) + 1, bool)
+        edges[0] = True
+        edges[1:-1] = anchors[1:] != anchors[:-1]
+        edges[np.minimum(ends, len(anchors))] = True
+        crossing = np.zeros(len(anchors) + 1, np.int32)
+        np.add.at(crossing, np.minimum(np.maximum(ends - window + 1, 0), len(anchors)), 1)
+        np.add.at(crossing, np.minimum(ends, len(anchors)), -1)
+        whole = np.cumsum(crossing[:-1]) == 0
+        edges[1:-1] |= whole[1:] != whole[:-1]
+        first = np.flatnonzero(edges[:-1])
         last = np.concatenate([first[1:], [len(anchors)]]) - 1
+        first, last = first[whole[first]], last[whole[first]]
         places = anchors[first]
         left, right = first <= places - beside, last > places - beside
         made.append((_cores(hashes, places[left], -1, beside, gram), first[left], np.minimum(last, places - beside)[left]))
@@ -280,28 +298,25 @@ def _pieces(own: DataFrame, window: int, gram: int, bit_map: tuple[str, int] | N
         arrow = to_arrow_schema(schema)
         marks = _read_bit_map(*bit_map) if with_places else None
         for batch in batches:
-            made: list[tuple] = []
-            held = 0
-            for key, text, digest in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                anchors, first, last = pieces_of(data, window, gram)
-                if with_places and len(anchors):
+            for keys, digests, texts in _together(batch):
+                sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+                data = np.frombuffer(b"".join(texts), np.uint8)
+                anchors, first, last = pieces_of(data, window, gram, sizes)
+                if with_places:
                     chosen = _marked(anchors, marks)
                     anchors, first, last = anchors[chosen], first[chosen], last[chosen]
                 if not len(anchors):
                     continue
-                one = [anchors, np.full(len(anchors), key, np.int64)]
+                borders = np.cumsum(sizes)
+                owner = np.searchsorted(borders, first, side="right")
+                columns = [anchors, keys[owner]]
                 if with_places:
                     ends = last + window
-                    one += [np.full(len(anchors), digest, np.int64), _hashed(data, first, ends, gram)]
-                    one += [first.astype(np.int32), (ends - first).astype(np.int32)]
-                made.append(tuple(one))
-                held += len(anchors)
-                if held > 50_000:
-                    yield _packed(made, arrow)
-                    made, held = [], 0
-            if made:
-                yield _packed(made, arrow)
+                    starts = first - (borders - sizes)[owner]
+                    columns += [digests[owner], _hashed(data, first, ends, gram), starts, ends - first]
+                for at in range(0, len(anchors), PIECES_AT_ONCE):
+                    part = zip((column[at : at + PIECES_AT_ONCE] for column in columns), arrow, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(v.astype(f.type.to_pandas_dtype()), f.type) for v, f in part], schema=arrow)
 
     return own.select("id", "text", "digest").mapInArrow(task, schema)
 
@@ -316,9 +331,16 @@ def _hashed(data: np.ndarray, first: np.ndarray, ends: np.ndarray, gram: int) ->
     return made
 
 
-def _packed(made: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
-    columns = zip(zip(*made, strict=True), arrow, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v), f.type) for v, f in columns], schema=arrow)
+def _together(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Ids, digests and coded texts of a batch, some texts at a time, a long one by itself."""
+    keys, digests = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+    texts, held, first = [], 0, 0
+    for at, text in enumerate(batch.column(1)):
+        texts.append(text.as_buffer().to_pybytes())
+        held += len(texts[-1])
+        if held >= BYTES_TOGETHER or at + 1 == batch.num_rows:
+            yield keys[first : at + 1], digests[first : at + 1], texts
+            texts, held, first = [], 0, at + 1
 
 
 def _with_bytes(kinds: DataFrame, own: DataFrame) -> DataFrame:

@@ -54,3 +54,15 @@ def test_hashes_of_pieces_tell_them_apart():
     found = suffix_dedup.piece_hashes(suffix_dedup.gram_hashes(data), first, ends)
     texts = [data[a:b].tobytes() for a, b in zip(first, ends, strict=True)]
     assert len(set(found.tolist())) == len(set(texts)) == len(set(zip(found.tolist(), texts, strict=True)))
+
+
+def test_texts_together_have_the_pieces_of_each():
+    rng = np.random.default_rng(7)
+    texts = [rng.integers(97, 100, size).astype(np.uint8) for size in (10, 50, 0, 49, 51, 300, 3, 120, 66, 1, 50)]
+    sizes = np.array([len(text) for text in texts])
+    cores, first, last = suffix_dedup.pieces_of(np.concatenate(texts), sizes=sizes)
+    want, before = [], 0
+    for text in texts:
+        want += [(c, a + before, b + before) for c, a, b in zip(*map(np.ndarray.tolist, suffix_dedup.pieces_of(text)), strict=True)]
+        before += len(text)
+    assert sorted(zip(cores.tolist(), first.tolist(), last.tolist(), strict=True)) == sorted(want)
