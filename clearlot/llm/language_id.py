@@ -6,7 +6,7 @@ points); each candidate gets the sum of its n-gram scores. Over the words of a t
 with the highest sum of word scores minus a penalty for each change of language; its runs are the spans. The text's
 language is the one that labels the most letters, and the score is that share of all letters.
 
-Words are runs of letters and combining marks, lower-cased. A word in a script that no language uses is neutral: it
+Words are runs of letters and combining marks, lower-cased, that hold a letter. A word in a script that no language uses is neutral: it
 takes the language of its neighbours and counts for none. Null texts, and texts without a letter, are ``und`` with score
 0 and no spans; so is every text if nothing was learned. A text with neutral words only gets the most frequent language
 with score 0. Ties go to the language with more training documents, then the lesser name. Repeated rows are labelled each
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,6 +80,12 @@ UNDETERMINED = "und"
 WORD = regex.compile(r"[\p{L}\p{M}]+")
 
 
+def words_of(text: str | None) -> list[str]:
+    """The lower-cased words; marks without any letter are none."""
+    found = WORD.findall((text or "").lower())
+    return [word for word in found if word[0].isalpha() or any(map(str.isalpha, word))]
+
+
 def script_of(char: str) -> str:
     at = bisect_right(_STARTS, ord(char)) - 1
     return SCRIPTS[at][1] if at >= 0 else ""
@@ -203,7 +209,7 @@ def learn(
     """A model from labelled documents; rows without a language or an id are left out.
 
     All rows are counted. The n-grams come from ``docs_per_language`` documents of each language, or all if there are
-    fewer, chosen by the hash of their ids; the driver gets the ``max_grams`` most frequent of them.
+    fewer, chosen by the hash of their ids; the driver gets ``max_grams`` of them, the most frequent of each language in turn.
     """
     labelled = docs.where(usable(lang_column) & F.col(id_column).isNotNull()).select(
         F.col(id_column).alias("id"), F.col(lang_column).alias("lang"), text_or_empty(text_column).alias("text")
@@ -232,7 +238,8 @@ def learn(
         .select("lang", "n", F.explode(pieces).alias("gram"))
         .groupBy("gram", "lang")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "gram", "lang")
+        .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")))
+        .orderBy("rank", "lang")
         .limit(max_grams)
         .collect()
     )
@@ -305,7 +312,7 @@ def label_languages(
         for batch in batches:
             texts, held, first = [], 0, 0
             for at, text in enumerate(batch.column(0).to_pylist()):
-                texts.append(WORD.findall((text or "").lower()))
+                texts.append(words_of(text))
                 held += len(texts[-1])
                 if held >= WORDS_AT_ONCE or at + 1 == batch.num_rows:
                     yield labelled(batch.slice(first, at + 1 - first), texts)
