@@ -282,7 +282,8 @@ def piece_hashes(hashes: np.ndarray, first: np.ndarray, ends: np.ndarray, gram:
     """A hash of the bytes from each first place up to each end, from those of the grams that cover them."""
     values, last = (ends - first).astype(np.uint64), ends - gram
     for shift in range(0, int((last - first).max(initial=0)) + gram, gram):
-        values = (values ^ (values >> np.uint64(31))) * _C + hashes[np.minimum(first + shift, last)] * _A
+        mixed = (values ^ (values >> np.uint64(31))) * _C + hashes[np.minimum(first + shift, last)] * _A
+        values = np.where(first + shift < ends, mixed, values)  # no matter how long the other pieces are
     return ((values ^ (values >> np.uint64(29))) * _B).view(np.int64)
 
 

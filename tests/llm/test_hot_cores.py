@@ -66,3 +66,25 @@ def test_texts_together_have_the_pieces_of_each():
         want += [(c, a + before, b + before) for c, a, b in zip(*map(np.ndarray.tolist, suffix_dedup.pieces_of(text)), strict=True)]
         before += len(text)
     assert sorted(zip(cores.tolist(), first.tolist(), last.tolist(), strict=True)) == sorted(want)
+
+
+def test_chunks_change_no_window(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [rng.integers(97, 100, size).astype(np.uint8) for size in (400, 10, 64, 63, 65, 700, 50)]
+    data, sizes = np.concatenate(texts), np.array([len(text) for text in texts])
+
+    def cores():
+        return {
+            at: core
+            for core, a, b in zip(*map(np.ndarray.tolist, suffix_dedup.pieces_of(data, sizes=sizes)), strict=True)
+            for at in range(a, b + 1)
+        }
+
+    whole = cores()
+    for chunk in (60, 64, 128, 1000):
+        monkeypatch.setattr(suffix_dedup, "CHUNK", chunk)
+        assert cores() == whole
+        _, first, last = suffix_dedup.pieces_of(data)
+        made = suffix_dedup._hashed(data, first, last + suffix_dedup.WINDOW, suffix_dedup.GRAM)
+        plain = suffix_dedup.piece_hashes(suffix_dedup.gram_hashes(data), first, last + suffix_dedup.WINDOW)
+        assert made.tolist() == plain.tolist()
