@@ -4,22 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clearlot.operators.merge import dedupe_latest
-from clearlot.session import session_setting
 
-#: Progress reports of one start that are kept for counting; a start that has more batches counts the last ones.
-REPORTS_KEPT = 100_000
+#: What is kept of a batch below the progress folder: its newest moment, in microseconds, and its rows that came too late.
+NOTES = "newest long, late long, batch long"
 
 
-def _progressed(query) -> int:
-    """Rows that the state refused as too late, over all batches of a query."""
-    return sum(
-        int(operator["numRowsDroppedByWatermark"]) for report in query.recentProgress for operator in report["stateOperators"]
-    )
+def _span_end(micros: Column, span: str) -> Column:
+    """The end of the span a moment lies in, in microseconds; spans are counted from 1970 on."""
+    length = F.unix_micros(F.timestamp_seconds(F.lit(0)) + F.lit(span).cast("interval"))
+    return micros - F.pmod(micros, length) + length
+
+
+def _forgotten(spark: SparkSession, notes: str, number: int, delay: str) -> int | None:
+    """The moment, in microseconds, up to which spans are forgotten when a batch starts; None in the first one."""
+    if not number:
+        return None
+    earlier = spark.read.schema(NOTES).parquet(notes).where(F.col("batch") < number)
+    reached = F.timestamp_micros(F.max("newest"))
+    return earlier.agg(F.unix_micros(reached - F.lit(delay).cast("interval"))).first()[0]
 
 
 def load_latest(
@@ -34,49 +41,38 @@ def load_latest(
 ) -> int:
     """Keep the newest row of each key among all files not yet seen, then stop; returns the rows that came too late.
 
-    The stream holds one row for each key and ``span`` of time, updated as rows come in any order, and forgets a span once
-    ``delay`` has passed since its end: the state is as large as the keys of that time. Rows of forgotten spans are
-    counted and not taken. Each micro-batch writes the rows that changed into its own folder ``batch=<n>``, and overwrites it
-    when it is repeated after a failure. Rows without a time are never too late; they are written as they come.
+    Each micro-batch writes its newest row of each key into its own folder ``batch=<n>``, and overwrites it when it is
+    repeated after a failure. Nothing of a row is held between batches, so memory does not grow with the keys; a note of
+    each batch tells its newest moment. A ``span`` of time is forgotten once a batch before has had a moment ``delay`` after
+    its end; rows of forgotten spans are counted and not taken. Rows without a time are never too late.
     ``latest_rows`` reads the result, which is what ``dedupe_latest`` makes of all rows that were in time.
     """
-    spark = stream.sparkSession
-    moment = F.col(newest).cast("timestamp")
-    rest = [name for name in stream.columns if name not in keys and name != newest and name not in tie_break]
-    order = F.struct(newest, *tie_break, *rest)
-    grouped = (
-        stream.where(F.col(newest).isNotNull())
-        .withColumn("_moment", moment)
-        .withWatermark("_moment", delay)
-        .groupBy(*keys, F.window("_moment", span))
-        .agg(F.max(order).alias("_row"))
+    notes, late = f"{progress}/notes", []
+    micros = F.unix_micros(F.col(newest).cast("timestamp"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        forgotten = _forgotten(spark, notes, number, delay)
+        gone = F.lit(False)
+        if forgotten is not None:
+            gone = F.coalesce(_span_end(micros, span) <= F.lit(forgotten), F.lit(False))
+        seen = Observation()
+        told = batch.observe(seen, F.max(micros).alias("newest"), F.count_if(gone).alias("late"))
+        rows = dedupe_latest(told.where(~gone), keys, newest, tie_break)
+        rows.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        found = seen.get
+        note = spark.createDataFrame([(found["newest"], found["late"])], "newest long, late long")
+        note.coalesce(1).write.mode("overwrite").parquet(f"{notes}/batch={number}")
+        late.append(int(found["late"]))
+
+    query = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{progress}/files")
+        .trigger(availableNow=True)
+        .start()
     )
-    dated = grouped.select(*[_field(name, keys) for name in stream.columns])
-    undated = stream.where(F.col(newest).isNull())
-
-    def into(place: str):
-        def write(batch: DataFrame, number: int) -> None:
-            batch.write.mode("overwrite").parquet(f"{target}/{place}/batch={number}")
-
-        return write
-
-    late = 0
-    with session_setting(spark, "spark.sql.streaming.numRecentProgressUpdates", str(REPORTS_KEPT)):
-        for place, rows, mode in (("dated", dated, "update"), ("undated", undated, "append")):
-            query = (
-                rows.writeStream.outputMode(mode)
-                .foreachBatch(into(place))
-                .option("checkpointLocation", f"{progress}/{place}")
-                .trigger(availableNow=True)
-                .start()
-            )
-            query.awaitTermination()
-            late += _progressed(query)
-    return late
-
-
-def _field(name: str, keys: Sequence[str]) -> Column:
-    return F.col(name) if name in keys else F.col("_row")[name].alias(name)
+    query.awaitTermination()
+    return sum(late)
 
 
 def latest_rows(

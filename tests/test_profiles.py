@@ -156,3 +156,23 @@ def test_rows_that_come_too_late_are_counted(spark):
     assert [row[0] for row in rows_of(found, "k")] == [1, 3, 4]
 
 
+def test_a_batch_of_the_stream_writes_one_row_of_a_key(spark):
+    """However many spans of time a key has rows in: what is written, and held, follows the keys of a batch."""
+    frame, place = _arrivals(spark, 150, 4, 2)
+    target, progress = fresh_folder(spark, "latest"), fresh_folder(spark, "progress")
+    load_latest(watch_folder(spark, place, frame.schema, files_per_batch=4), target, progress, ["k"], "t", ["v"], "60 days")
+    written = spark.read.schema(frame.schema).option("recursiveFileLookup", "true").parquet(target)
+    assert written.count() == 12
+    assert rows_of(written) == rows_of(merge.dedupe_latest(frame, ["k"], "t", ["v"]))
+
+
+def test_spans_are_forgotten_as_a_whole(spark):
+    """A row is too late when its span has ended ``delay`` before the newest moment of the batches before."""
+    place, target, progress = (fresh_folder(spark, one) for one in ("arrivals", "latest", "progress"))
+    batches = [[(1, "2024-03-11 12:00:00")], [(2, "2024-02-29 23:59:59"), (3, "2024-03-01 00:00:00"), (4, "1960-01-01 00:00:00")]]
+    for rows in batches:
+        frame = spark.createDataFrame(rows, "k int, t string").withColumn("t", F.to_timestamp("t"))
+        frame.coalesce(1).write.mode("append").parquet(place)
+        late = load_latest(watch_folder(spark, place, frame.schema, files_per_batch=1), target, progress, ["k"], "t", delay="10 days")
+    assert late == 2
+    assert [row[0] for row in rows_of(latest_rows(spark, target, frame.schema, ["k"], "t"), "k")] == [1, 3]
