@@ -56,7 +56,7 @@ def _last_drawn(hashes: DataFrame, wanted: int) -> tuple[int, int, int]:
 def _draw(frame: DataFrame, key: str, rate: float, seed: int) -> tuple[Column, Column | None, int]:
     """A condition for the rows surely drawn, one for rows that are alike in every column, and how many of these are."""
     hashed = F.xxhash64(F.col(key), F.lit(seed), F.lit("sample"))
-    hashes = frame.select(hashed.alias("h"))
+    hashes = staged(frame.select(hashed.alias("h")), "hashes")  # the frame is made once, not for each step of the search
     wanted = int(hashes.count() * rate)
     if wanted < 1:
         return F.lit(False), None, 0

@@ -44,6 +44,11 @@ def ids_from_range(spark: SparkSession, rows: int) -> DataFrame:
     return spark.range(rows)
 
 
+def spread(ids: DataFrame) -> DataFrame:
+    """Ids dealt to many tasks: a few bytes of each id are one split of a file, but become a wide row."""
+    return ids.repartition(*ids.columns)
+
+
 def _pick(draw: Draws, purpose: str, weights: dict) -> Column:
     return draw.choice(purpose, list(weights), list(weights.values()))
 

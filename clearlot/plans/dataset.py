@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clearlot import contracts as C
 from clearlot.operators.dirt import inject_anomalies
-from clearlot.operators.synth import FAST, FULL, ids_from_range, synth_parts, synth_suppliers
+from clearlot.operators.synth import FAST, FULL, ids_from_range, spread, synth_parts, synth_suppliers
 from clearlot.session import staged
 from clearlot.sources.exports import stage_for_sql, write_csv_flat, write_parquet_flat, write_parquet_json_geo
 from clearlot.sources.landing import run_folder
@@ -39,7 +39,7 @@ def make_dataset(
         raise ValueError("row counts must be positive")
     if not 0.0 <= dirty_rate <= 1.0:
         raise ValueError("the dirty rate lies between 0 and 1")
-    supplier_ids = ids_from_range(spark, suppliers) if isinstance(suppliers, int) else suppliers
+    supplier_ids = ids_from_range(spark, suppliers) if isinstance(suppliers, int) else spread(suppliers)
     part_ids = ids_from_range(spark, parts) if isinstance(parts, int) else parts
     made = synth_suppliers(supplier_ids, seed, tenant, as_of, variant)
     parents = suppliers if isinstance(suppliers, int) else made.select("supplier_id")

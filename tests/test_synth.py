@@ -8,6 +8,7 @@ from clearlot import contracts as C
 from clearlot.functions.draws import Draws
 from clearlot.operators import checks, dirt, metrics, references, rules, synth
 from clearlot.plans import dataset
+from clearlot.session import session_setting, staged
 
 AS_OF = "2025-01-01 00:00:00"
 ROWS = 20_000
@@ -222,3 +223,24 @@ def test_draws(spark):
     assert 0 <= row["low"] < 0.001 and 0.999 < row["high"] < 1
     assert abs(row["mean"] - 10) < 0.06 and abs(row["deviation"] - 2) < 0.04
     assert sorted(row["whole"]) == [3, 4, 5, 6]
+
+
+def test_ids_of_one_split_are_made_by_many_tasks(spark):
+    ids = spark.range(2_000).coalesce(1)
+    with session_setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b"):
+        made = staged(dataset.make_dataset(spark, ids, 10, as_of="2024-01-31T00:00:00Z").suppliers, "made")
+    assert made.select(F.input_file_name()).distinct().count() > 1
+    assert made.count() == 2_000
+
+
+def test_a_sample_makes_its_frame_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(number):
+        seen.add(1)
+        return number
+
+    frame = spark.range(500).withColumn("id", F.udf(noted, "long")("id"))
+    condition = dirt.exact_sample(frame, "id", 0.1, 7)
+    assert seen.value == 500
+    assert spark.range(500).where(condition).count() == 50
