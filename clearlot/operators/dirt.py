@@ -117,18 +117,20 @@ def inject_anomalies(
     kinds: Sequence[str] | None = None,
     as_of: str | None = None,
     fast: bool = False,
+    chosen: Column | None = None,
 ) -> DataFrame:
     """Damage exactly ``int(n * rate)`` rows with one kind each, all kinds equally likely.
 
     ``frame`` is in landing shape and its primary key identifies a row. ``kinds`` restricts the damage, for
     example to spare foreign keys; ``fast`` takes the shorter list, which never touches keys or codes.
+    ``chosen`` may be passed when the caller has drawn the rows already, as ``exact_sample`` does.
     """
     if entity not in KINDS:
         raise ValueError(f"unknown entity {entity}")
     kinds = tuple(kinds or (FAST_KINDS if fast else KINDS)[entity])
     key, code = C.PRIMARY_KEY[entity], C.BUSINESS_CODE[entity]
     draw = Draws(F.col(key), seed)
-    chosen = exact_sample(frame, key, rate, seed)
+    chosen = exact_sample(frame, key, rate, seed) if chosen is None else chosen
     marked = frame.withColumn("_kind", F.when(chosen, draw.choice("kind", kinds)))
 
     def when(kind: str, value: Column, name: str) -> Column:

@@ -25,7 +25,7 @@ from clearlot.operators import (
     synth,
 )
 from clearlot.operators.members import flag_members as members_flag
-from clearlot.operators.members import Limits, members_only
+from clearlot.operators.members import Limits, measure, members_only
 from clearlot.plans import curation, dataset
 from clearlot.plans.tables import accounts, landed_parts, landed_suppliers, parts, suppliers, table
 from clearlot.session import fresh_folder, staged
@@ -1049,13 +1049,24 @@ def injected_parts_kinds(spark: SparkSession, folder: str) -> DataFrame:
 
     One hundredth of the rows is damaged by one kind at a time, then six by all kinds together, one kind each.
     """
-    made = staged(_made_parts(spark, folder), "parts")
     parents = synth.synth_suppliers(table(spark, folder, "customer").select("c_custkey")).select("supplier_id")
-    before = made.select(F.col("part_id").alias("id"), F.col("part_number").alias("number"))
+    parents = staged(parents, "parents")
+    size = measure(parents)
+    # what the tests look at, and number, first supplier and whether it is known as they were before the damage
+    columns = ["part_id", "part_number", "unit_cost", "uom", "default_supplier_id", "qualified_supplier_ids", "source_timestamp"]
+    made = _made_parts(spark, folder).select(
+        *columns, F.col("part_number").alias("number"), F.col("default_supplier_id").alias("first_id")
+    )
+    made = staged(members_flag(made, "first_id", parents, "first_known", size=size), "parts")
+    drawn = {rate: dirt.exact_sample(made, "part_id", rate, 42) for rate in (0.01, 0.06)}
     late = F.try_to_timestamp("source_timestamp") > F.lit(AS_OF).cast("timestamp")
 
     def marked(dirty: DataFrame) -> DataFrame:
-        known = members_flag(dirty, "default_supplier_id", parents, "known")
+        # ids that are as they were have their answer; the others are looked up
+        same = F.col("default_supplier_id").eqNullSafe(F.col("first_id"))
+        asked = dirty.withColumn("asked", F.when(~same, F.col("default_supplier_id")))
+        found = members_flag(asked, "asked", parents, "other_known", size=size)
+        known = found.withColumn("known", F.when(same, F.col("first_known")).otherwise(F.col("other_known")))
         alone = F.col("qualified_supplier_ids") == F.array("default_supplier_id")
         tests = {
             "negative_cost": F.col("unit_cost") < 0,
@@ -1064,13 +1075,12 @@ def injected_parts_kinds(spark: SparkSession, folder: str) -> DataFrame:
             "future_timestamp": late,
             "duplicate_part_number": F.col("part_number") != F.col("number"),
         }
-        joined = known.join(before, F.col("part_id") == F.col("id"))
-        return joined.select(*[F.coalesce(test, F.lit(False)).cast("int").alias(kind) for kind, test in tests.items()])
+        return known.select(*[F.coalesce(test, F.lit(False)).cast("int").alias(kind) for kind, test in tests.items()])
 
     frames = []
     for kinds in [*[(kind,) for kind in dirt.KINDS[C.PARTS]], dirt.KINDS[C.PARTS]]:
         rate = 0.01 if len(kinds) == 1 else 0.06
-        found = marked(dirt.inject_anomalies(made, C.PARTS, rate, kinds=kinds, as_of=AS_OF))
+        found = marked(dirt.inject_anomalies(made, C.PARTS, rate, kinds=kinds, as_of=AS_OF, chosen=drawn[rate]))
         total = sum((F.col(kind) for kind in found.columns), F.lit(0))
         own = total if len(kinds) > 1 else F.col(kinds[0])
         frames.append(

@@ -244,3 +244,11 @@ def test_a_sample_makes_its_frame_once(spark):
     condition = dirt.exact_sample(frame, "id", 0.1, 7)
     assert seen.value == 500
     assert spark.range(500).where(condition).count() == 50
+
+
+@pytest.mark.parametrize("kinds", [("negative_cost",), ("duplicate_part_number",), None])
+def test_rows_drawn_once_serve_several_kinds(spark, kinds):
+    made = staged(synth.synth_parts(spark.range(300), 40, as_of=AS_OF), "parts")
+    drawn = dirt.exact_sample(made, "part_id", 0.1, 42)
+    once = dirt.inject_anomalies(made, C.PARTS, 0.1, kinds=kinds, as_of=AS_OF, chosen=drawn)
+    assert rows_of(once) == rows_of(dirt.inject_anomalies(made, C.PARTS, 0.1, kinds=kinds, as_of=AS_OF))
