@@ -34,7 +34,7 @@ SEQUENCE_LENGTH = 2048
 #: Sequences of a batch; a task holds one batch.
 BATCH_SEQUENCES = 256
 #: Words, and parts of words, that a task remembers; a full table is emptied. Longer ones are not remembered.
-TABLE_SIZE = 600_000
+TABLE_SIZE = 1_200_000
 LONG = 48
 #: Parts that the library gets as one text.
 PARTS_TOGETHER = 2_000
@@ -45,15 +45,14 @@ MARKS = ".,!?;|"
 
 
 class _Table(dict):
-    """Ids of words; a word that is not there is noted in ``new`` and counts as nothing."""
+    """Ids of words; a word that is not there is noted in ``new`` and gives None."""
 
     def __init__(self) -> None:
         super().__init__()
         self.new: dict[str, None] = {}
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: str) -> None:
         self.new[word] = None
-        return b""
 
 
 class WordTokenizer:
@@ -148,23 +147,29 @@ class WordTokenizer:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The same for several texts, whose new words go to the library together."""
         known, made = self._words, []
-        waiting: list[tuple[int, list[str]]] = []
+        waiting: list[tuple[int, list[str], list[bytes | None]]] = []
         for at, text in enumerate(texts):
-            words, before = text.replace("\n", " ").split(" "), len(known.new)
-            made.append(b"".join(map(known.__getitem__, words)))
-            if len(known.new) > before or (before and not known.new.keys().isdisjoint(words)):
-                waiting.append((at, words))
+            words = text.replace("\n", " ").split(" ")
+            found = list(map(known.__getitem__, words))
+            if None in found:
+                waiting.append((at, words, found))
+                made.append(b"")
+            else:
+                made.append(b"".join(found))
         if not waiting:
             return made
         new = known.new
         known.new = {}
         if len(known) + len(new) > TABLE_SIZE:
             known.clear()
-            new = dict.fromkeys(word for _, words in waiting for word in words)
         learned = self._learned(list(new))
         known.update(learned)
-        for at, words in waiting:
-            made[at] = b"".join(map(known.__getitem__, words))
+        for at, words, found in waiting:
+            place = -1
+            for _ in range(found.count(None)):  # only these are looked up again
+                place = found.index(None, place + 1)
+                found[place] = learned[words[place]]
+            made[at] = b"".join(found)
         for word in learned:
             if len(word) > LONG:
                 del known[word]

@@ -44,3 +44,24 @@ def test_parts_are_encoded_as_if_alone():
     alone = [tokenizer._packed(tokenizer.tokenizer.encode(part, add_special_tokens=False).ids) for part in more]
     assert tokenizer._encoded(more) == alone
     assert tokenizer._encoded(["one"]) == [tokenizer.encode("one")]
+
+
+def test_known_words_are_looked_up_once(monkeypatch):
+    """A text with a new word among many known ones is not looked up a second time as a whole."""
+    own = token_files.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    text = " ".join(["some", "known", "words"] * 100)
+    first = own.encode(text)
+    seen = []
+
+    class Counting(token_files._Table):
+        def __getitem__(self, word):
+            seen.append(word)
+            return self.get(word) or self.__missing__(word)
+
+    counting = Counting()
+    counting.update(own._words)
+    own._words = counting
+    both = own.encode_all([text + " unheard", text, "unheard " + text])
+    assert len(seen) == 301 + 300 + 301
+    new = token_files.WordTokenizer(public_tokenizers.path("word_bpe_49k.json")).encode("unheard")
+    assert both == [first + new, first, new + first]
