@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +27,20 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def then_given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; the memory it has freed goes back to the system when it ends.
+
+    Python workers stay for later tasks, and else hold on to what their largest batches took while others need it.
+    """
+    yield from batches
+    del batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # only the GNU C library has it
+        pass
+
+
 def in_python(
     frame: DataFrame,
     schema: T.StructType,
@@ -38,7 +53,7 @@ def in_python(
     ROWS_AT_ONCE rows at once, fewer when the texts in column number ``measure`` are long, so its memory stays bounded.
     """
 
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
@@ -66,7 +81,7 @@ def in_python(
         if made:
             yield packed()
 
-    return frame.mapInArrow(task, schema)
+    return frame.mapInArrow(lambda batches: then_given_back(results(batches)), schema)
 
 
 def staged_small(frame: DataFrame, label: str) -> DataFrame:

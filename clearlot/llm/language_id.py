@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clearlot.llm.common import schema_of, text_or_empty
+from clearlot.llm.common import schema_of, text_or_empty, then_given_back
 
 #: First code points of script ranges (Unicode blocks) and the script from there on; "" is none.
 SCRIPTS = (
@@ -319,7 +319,9 @@ def label_languages(
                     texts, held, first = [], 0, at + 1
 
     # the text goes along under a name of its own, as it may be kept, too
-    return docs.select(F.col(text_column).alias("__text"), *keep).mapInArrow(task, schema)
+    return docs.select(F.col(text_column).alias("__text"), *keep).mapInArrow(
+        lambda batches: then_given_back(task(batches)), schema
+    )
 
 
 def held_out(id_column: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:

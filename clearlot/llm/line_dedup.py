@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clearlot.llm.common import schema_of, staged_small, text_or_empty
+from clearlot.llm.common import schema_of, staged_small, text_or_empty, then_given_back
 from clearlot.llm.linking import link_groups
 from clearlot.session import staged
 
@@ -148,7 +148,7 @@ def _lines(own: DataFrame) -> DataFrame:
 
     return (
         own.select("id", "text", "digest")
-        .mapInArrow(task, schema)
+        .mapInArrow(lambda batches: then_given_back(task(batches)), schema)
         .select("id", "digest", F.explode(F.arrays_zip("numbers", "lines")).alias("one"))
         .select("id", "digest", F.col("one.numbers").alias("number"), F.col("one.lines").alias("line"))
     )
@@ -183,7 +183,7 @@ def _keys(own: DataFrame, edits: int, min_chars: int) -> DataFrame:
         if keys:
             yield packed()
 
-    return own.select("text").mapInArrow(task, schema_of("key long", "line long"))
+    return own.select("text").mapInArrow(lambda batches: then_given_back(task(batches)), schema_of("key long", "line long"))
 
 
 def parities(line: str) -> list[int]:
@@ -218,7 +218,7 @@ def _texts(own: DataFrame, wanted: DataFrame, min_chars: int) -> DataFrame:
                     [pa.array(list(v), f.type) for v, f in zip(columns, arrow, strict=True)], schema=arrow
                 )
 
-    return own.join(numbers, same).select("text", "numbers").mapInArrow(task, schema).dropDuplicates(["id"])
+    return own.join(numbers, same).select("text", "numbers").mapInArrow(lambda batches: then_given_back(task(batches)), schema).dropDuplicates(["id"])
 
 
 def _small(frame: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -236,7 +236,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
 
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("one"))
     b = texts.select(F.col("id").alias("b"), F.col("text").alias("other"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "one", "other").mapInArrow(task, schema)
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "one", "other").mapInArrow(lambda batches: then_given_back(task(batches)), schema)
 
 
 def removed_lines(
