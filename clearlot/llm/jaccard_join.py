@@ -14,7 +14,8 @@ has found it. The last of ``LEVELS`` divisions emits empty ones, too, so no pair
 
 Equal sets are one class, told by a 64-bit hash; only classes are compared. Sets that share a signature are candidates if
 their parities, a bit for each of ``PARITIES`` cells of the domain, differ in no more places than linked sets can differ in
-elements; candidates are verified by the sets themselves. Documents without words, or text, have an empty set and are linked with nothing.
+elements; candidates are verified by the sets themselves. Signatures are many times the rows, so they are written by their
+leading bits into ``SLICES`` columns, and a step shuffles one of them. Documents without words, or text, have an empty set and are linked with nothing.
 Repeated rows are members of one class; a row without an id is linked like any other, but names no component.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from clearlot.llm.common import id_field, in_python, schema_of, staged_small, text_or_empty
 from clearlot.llm.linking import link_groups
-from clearlot.session import staged
+from clearlot.session import staged, unstaged
 
 #: Links: ALIKE[0] in ALIKE[1] of the union are common. Shingles are of so many words.
 ALIKE = (80, 100)
@@ -41,6 +42,11 @@ SPARE = 0.08
 PARITIES = 1024
 #: Up to this many rows, a table of ids or keys is broadcast; more are shuffled.
 BROADCAST_ROWS = 500_000
+#: Equal signatures lie in one slice. Slices go together while they hold no more signatures than this.
+SLICES = 8
+SIGNS_AT_ONCE = 10_000_000
+#: Pairs whose sets are compared go in up to SLICES slices, each of so many or more.
+PAIRS_AT_ONCE = 5_000
 WORDS_KEPT = 100_000
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -141,10 +147,22 @@ class Signer:
         return np.concatenate(made)
 
 
+def sliced(signs: np.ndarray) -> list[np.ndarray]:
+    """Sorted signatures, as signed numbers, by their leading bits: one array for each slice."""
+    starts = np.arange(1, SLICES, dtype=np.uint64) * np.uint64(2**64 // SLICES)
+    return np.split(signs.view(np.int64), np.searchsorted(signs, starts))
+
+
+def cells(values: np.ndarray) -> np.ndarray:
+    """How many elements lie in each cell; more than 127 count as 127."""
+    counts = np.bincount((mixed(values) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES)
+    return np.minimum(counts, 127).astype(np.int8)
+
+
 def parities(values: np.ndarray) -> list[int]:
     """Whether an odd number of elements lies in each cell, 64 cells in one number."""
-    cells = np.bincount((mixed(values) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
-    return np.packbits(cells.astype(np.uint8)).view(np.int64).tolist()
+    counts = np.bincount((mixed(values) % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(counts.astype(np.uint8)).view(np.int64).tolist()
 
 
 def signed(value: int) -> int:
@@ -159,15 +177,36 @@ def _small(frame: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(frame) if frame.limit(limit + 1).count() <= limit else frame
 
 
+def _sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """``a, b, n_a, n_b, ours, theirs``: the pairs with the sizes and a column of their sets."""
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = sets.select("id", "size", column).join(_small(paired), "id", "left_semi")
+    a = sets.select(F.col("id").alias("a"), F.col("size").alias("n_a"), F.col(column).alias("ours"))
+    b = sets.select(F.col("id").alias("b"), F.col("size").alias("n_b"), F.col(column).alias("theirs"))
+    return a.join(_small(pairs), "a").join(b, "b")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, alike: tuple[int, int]) -> DataFrame:
-    """The pairs ``a, b`` whose sets reach the threshold."""
+    """The pairs ``a, b`` whose sets reach the threshold.
+
+    Sets are wide, so only those meet whose sizes and numbers of elements in each cell allow it; cells of linked sets
+    differ by no more elements than the sets do.
+    """
     num, den = alike
-    a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("ours"), F.col("size").alias("n_a"))
-    b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("theirs"), F.col("size").alias("n_b"))
+    both = F.col("n_a") + F.col("n_b")
     sizes = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
+    apart = F.zip_with("ours", "theirs", lambda x, y: F.abs(x.cast("int") - y.cast("int")))
+    apart = F.aggregate(apart, F.lit(0), lambda total, x: total + x)
+    close = _sides(pairs, sets, "cells").where(sizes).where(apart * (num + den) <= both * (den - num))
+    close = staged(close.select("a", "b"), "close")
     common = F.size(F.array_intersect("ours", "theirs"))  # sets, so no element is there twice
-    reached = common * den >= (F.col("n_a") + F.col("n_b") - common) * num
-    return pairs.join(a, "a").join(b, "b").where(sizes).where(reached).select("a", "b")
+    reached = common * den >= (both - common) * num
+    steps = min(SLICES, close.count() // PAIRS_AT_ONCE + 1)
+    found = []
+    for step in range(steps):
+        part = close if steps == 1 else close.where(F.pmod(F.xxhash64("a"), F.lit(steps)) == step)
+        found.append(staged(_sides(part, sets, "shingles").where(reached).select("a", "b"), "reached"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def similar_documents(
@@ -220,6 +259,21 @@ def one_of_each(
     )
 
 
+def _members(held: DataFrame, slices: list[str]) -> DataFrame:
+    """``key, id``: the signatures that several classes share, and these classes."""
+    total = held.agg(F.sum("n_signs")).first()[0] or 0
+    steps = min(len(slices), total // SIGNS_AT_ONCE + 1)
+    found = []
+    for step in range(steps):
+        names = slices[len(slices) * step // steps : len(slices) * (step + 1) // steps]
+        signs = held.select("class", F.explode(F.concat(*names)).alias("key"))
+        ends = signs.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"))
+        shared = staged(ends.where("low < high").select("key"), "shared")
+        members = signs.join(_small(shared), "key").select("key", F.col("class").alias("id")).distinct()
+        found.append(staged(members, "shares"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _classified(
     docs: DataFrame, id_column: str, text_column: str, alike: tuple[int, int], shingle: int
 ) -> DataFrame:
@@ -231,23 +285,27 @@ def _classified(
 
         def row(key, text, digest) -> tuple:
             values = shingles(text)
-            return key, digest, len(values), class_of(values), signer(values).view(np.int64)
+            signs = signer(values)
+            return key, digest, len(values), class_of(values), len(signs), *sliced(signs)
 
         return row
 
-    schema = schema_of(id_field(own, "id"), "digest long", "n_shingles long", "class long", "signs array<long>")
+    slices = [f"signs{at}" for at in range(SLICES)]
+    schema = schema_of(
+        id_field(own, "id"),
+        "digest long",
+        "n_shingles long",
+        "class long",
+        "n_signs long",
+        *(f"{name} array<long>" for name in slices),
+    )
     hashed = own.withColumn("digest", F.xxhash64(text_or_empty("text")))
     held = staged_small(in_python(hashed, schema, start, measure=1), "signatures")
     holder = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "digest")).alias("holder")
+    members = _members(held, slices)
+    signed_rows, held = held, staged(held.drop("n_signs", *slices), "classes")
+    unstaged(signed_rows)
     classes = held.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("id"), holder)
-    signs = held.select("class", F.explode("signs").alias("key"))
-    shared = staged(
-        signs.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("key"),
-        "shared",
-    )
-    members = staged(
-        signs.join(_small(shared), "key").select("key", F.col("class").alias("id")).distinct(), "shares"
-    )
     wanted = members.select(F.col("id").alias("class")).distinct().join(classes, "class")
     wanted = staged(wanted.select("class", F.col("holder.id").alias("its_id"), F.col("holder.digest").alias("its_digest")), "wanted")
 
@@ -256,21 +314,22 @@ def _classified(
 
         def row(key, text) -> tuple:
             values = shingles(text)
-            return class_of(values), len(values), parities(values), values.view(np.int64)
+            return class_of(values), len(values), parities(values), cells(values), values.view(np.int64)
 
         return row
 
     # one row of each class gives its set; the class found again tells texts of one hash
     its = F.col("id").eqNullSafe(F.col("its_id")) & (F.col("digest") == F.col("its_digest"))
     texts = hashed.join(_small(wanted.select("its_id", "its_digest").distinct()), its, "left_semi").select("id", "text")
+    schema = schema_of("id long", "size long", "parity array<long>", "cells array<tinyint>", "shingles array<long>")
     sets = staged_small(
-        in_python(texts, schema_of("id long", "size long", "parity array<long>", "shingles array<long>"), again, measure=1)
+        in_python(texts, schema, again, measure=1)
         .join(wanted.select(F.col("class").alias("id")), "id", "left_semi")
         .dropDuplicates(["id"]),
         "sets",
     )
     words = [F.col("parity")[at].alias(f"parity{at}") for at in range(PARITIES // 64)]
-    members = members.join(sets.select("id", "size", *words), "id")
+    traits = sets.select("id", "size", *words)
 
     def near(one: DataFrame, other: DataFrame) -> Column:
         differ = [
@@ -279,7 +338,7 @@ def _classified(
         size = F.col("one.size") + F.col("other.size")
         return reduce(lambda a, b: a + b, differ) * (alike[0] + alike[1]) <= size * (alike[1] - alike[0])
 
-    roots = link_groups(staged(members, "members"), lambda pairs: _linked(pairs, sets, alike), near)
+    roots = link_groups(members, lambda pairs: _linked(pairs, sets, alike), near, staged(traits, "traits"))
     # a component's number is its least document id
     named = (
         classes.withColumnRenamed("id", "least")

@@ -3,12 +3,14 @@
 Groups overlap and may be large. Each round lays a few pivots of every group beside all other members. Members that a
 pivot has been laid beside, and members of one component, need not meet again, so a group of copies of one text is done
 after one round. Pivots grow in number until no group holds two components that have not met: every pair of a group is
-then verified, or known to be in one component.
+then verified, or known to be in one component. Groups do not need each other, so many members are taken in slices of their
+keys, and the disk holds the shuffles of one slice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ from clearlot.session import staged
 
 #: Pivots of a group in the first round, and how many times as many each further round has.
 FIRST_PIVOTS, MORE_PIVOTS = 1, 64
+#: Up to so many slices, each of about so many members or more.
+SLICES, MEMBERS_AT_ONCE = 8, 1_000_000
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -57,46 +61,50 @@ def components(links: DataFrame) -> DataFrame:
     return edges
 
 
+def _slices(members: DataFrame) -> list[Column]:
+    """Conditions on the key, one for each slice."""
+    count = min(SLICES, members.count() // MEMBERS_AT_ONCE + 1)
+    if count == 1:
+        return [F.lit(True)]
+    return [F.pmod(F.xxhash64("key"), F.lit(count)) == at for at in range(count)]
+
+
 def link_groups(
     members: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
     near: Callable[[DataFrame, DataFrame], Column] | None = None,
+    traits: DataFrame | None = None,
 ) -> DataFrame:
     """The components that the true links among members of a group make, as ``components`` returns them.
 
     ``members`` has ``key`` and ``id``, without repeated rows, and further columns that belong to the id. ``verify``
     returns the true links among the pairs ``a, b`` that it gets. ``near`` may name a condition that linked rows of two
-    frames of members fulfil.
+    frames of members fulfil. Wide columns that only ``near`` needs can come as ``traits``, one row for each ``id``.
     """
     extra = [name for name in members.columns if name not in ("key", "id")]
     members = members.withColumn("root", F.col("id"))
     links = met = roots = None
     pivots = FIRST_PIVOTS
-    while True:
-        place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        chosen = staged(members.withColumn("place", place).where(F.col("place") <= pivots).drop("place"), "pivots")
-        one, other = chosen.alias("one"), members.alias("other")
-        beside = (F.col("one.key") == F.col("other.key")) & (F.col("one.root") != F.col("other.root"))
-        beside &= F.col("one.id") != F.col("other.id")
+
+    def described(rows: DataFrame) -> DataFrame:
+        return rows if traits is None else rows.join(traits, "id")
+
+    def beside(chosen: DataFrame, members: DataFrame) -> DataFrame:
+        one, other = described(chosen).alias("one"), described(members).alias("other")
+        meet = (F.col("one.key") == F.col("other.key")) & (F.col("one.root") != F.col("other.root"))
+        meet &= F.col("one.id") != F.col("other.id")
         if near is not None:
-            beside &= near(one, other)
-        pairs = (
-            other.join(one, beside)
+            meet &= near(one, other)
+        return (
+            other.join(one, meet)
             .select(
                 F.least(F.col("one.id"), F.col("other.id")).alias("a"),
                 F.greatest(F.col("one.id"), F.col("other.id")).alias("b"),
             )
             .distinct()
         )
-        if met is not None:
-            pairs = pairs.join(met, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        found = verify(pairs)
-        found = staged(found, "links")
-        met = pairs if met is None else met.unionByName(pairs)
-        if links is None or not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            roots = components(links)
+
+    def still_open(chosen: DataFrame, members: DataFrame) -> DataFrame:
         rest = (
             members.join(chosen.select("key", "id"), ["key", "id"], "left_anti")
             .drop("root")
@@ -109,7 +117,31 @@ def link_groups(
             .where(F.col("low") < F.col("high"))
             .select("key")
         )
-        members = staged(rest.join(open_keys, "key", "left_semi"), "members")
+        return rest.join(open_keys, "key", "left_semi")
+
+    def in_slices(step: Callable[[DataFrame, DataFrame], DataFrame], label: str) -> DataFrame:
+        made = [staged(step(chosen, members.where(part)), label) for part, chosen in zip(parts, pivot_rows, strict=True)]
+        return reduce(DataFrame.unionByName, made)
+
+    while True:
+        parts = _slices(members)
+        place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+        pivot_rows = [
+            staged(members.where(part).withColumn("place", place).where(F.col("place") <= pivots).drop("place"), "pivots")
+            for part in parts
+        ]
+        pairs = in_slices(beside, "pairs")
+        if met is not None:
+            pairs = pairs.join(met, ["a", "b"], "left_anti")
+        if len(parts) > 1 or met is not None:
+            pairs = staged(pairs.distinct(), "pairs")
+        found = verify(pairs)
+        found = staged(found, "links")
+        met = pairs if met is None else met.unionByName(pairs)
+        if links is None or not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            roots = components(links)
+        members = in_slices(still_open, "members")
         if members.isEmpty():
             return roots
         pivots *= MORE_PIVOTS

@@ -119,3 +119,9 @@ def staged(frame: DataFrame, label: str, partition_by: tuple[str, ...] = ()) ->
     with shuffles_removed(spark):
         writer.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def unstaged(frame: DataFrame) -> None:
+    """Delete what ``staged`` wrote for ``frame``, which nothing may read any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+        remove_folder(frame.sparkSession, folder)
