@@ -339,6 +339,7 @@ def _classified(
         return reduce(lambda a, b: a + b, differ) * (alike[0] + alike[1]) <= size * (alike[1] - alike[0])
 
     roots = link_groups(members, lambda pairs: _linked(pairs, sets, alike), near, staged(traits, "traits"))
+    unstaged(sets)
     # a component's number is its least document id
     named = (
         classes.withColumnRenamed("id", "least")

@@ -306,20 +306,20 @@ def label_languages(
             else:
                 made = [(UNDETERMINED, 0.0, [])] * len(texts)
             new = [pa.array(list(v), f.type) for v, f in zip(zip(*made, strict=True), list(arrow)[len(kept) :], strict=True)]
-            old = [column.cast(f.type) for column, f in zip(rows.columns[1:], arrow, strict=False)]
+            old = [rows.column(name).cast(f.type) for name, f in zip(keep, arrow, strict=False)]
             return pa.RecordBatch.from_arrays([*old, *new], schema=arrow)
 
         for batch in batches:
             texts, held, first = [], 0, 0
-            for at, text in enumerate(batch.column(0).to_pylist()):
-                texts.append(words_of(text))
+            for at, text in enumerate(batch.column(text_column)):
+                texts.append(words_of(text.as_py()))
                 held += len(texts[-1])
                 if held >= WORDS_AT_ONCE or at + 1 == batch.num_rows:
                     yield labelled(batch.slice(first, at + 1 - first), texts)
                     texts, held, first = [], 0, at + 1
 
-    # the text goes along under a name of its own, as it may be kept, too
-    return docs.select(F.col(text_column).alias("__text"), *keep).mapInArrow(
+    # the text goes along once, also if it is kept
+    return docs.select(*dict.fromkeys([text_column, *keep])).mapInArrow(
         lambda batches: then_given_back(task(batches)), schema
     )
 
